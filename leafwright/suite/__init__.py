@@ -1 +1,5 @@
 """Registered queries, their fixtures and their SQL oracles."""
+
+from leafwright.suite import page_queries, review_queries
+
+REGISTRY = {**page_queries.QUERIES, **review_queries.QUERIES}
