@@ -66,9 +66,12 @@ def parse_yaml(fm: Column) -> Column:
 
         cols = ["valid", "is_map", "tags_kind", "tags", "tags_all_text"]
 
+        # The C parser gives the same data several times faster, where it is built in.
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
         def read(text: str) -> tuple:
             try:
-                data = yaml.safe_load(text)
+                data = yaml.load(text, Loader=loader)
             except (yaml.YAMLError, ValueError):
                 return False, False, None, None, None
             if not isinstance(data, dict):

@@ -24,7 +24,8 @@ WHITESPACE = "".join(
 )
 
 # The line ends at which a text is cut to lines.
-LINE_BREAK = r"\r\n|[\n\x0B\x0C\r\x1C-\x1E\x85\x{2028}\x{2029}]"
+LINE_BREAK_CHAR = r"[\n\x0B\x0C\r\x1C-\x1E\x85\x{2028}\x{2029}]"
+LINE_BREAK = r"\r\n|" + LINE_BREAK_CHAR
 
 # Markup entities that are always decoded, ``&amp;`` last.
 BASIC_ENTITIES = (

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leafwright.functions.frontmatter import fm_field, fm_has, parse_yaml, with_frontmatter
 from leafwright.functions.pages import headings, hunks, internal_links
-from leafwright.functions.text import WHITESPACE, pattern, pytrim, split_lines, unquote_value
+from leafwright.functions.text import LINE_BREAK, LINE_BREAK_CHAR, WHITESPACE, pattern, pytrim, split_lines, unquote_value
 from leafwright.operators.words import CheckRules
 
 
@@ -357,11 +357,16 @@ def _(p: PageColumns) -> Column:
     return p.body.rlike(pattern(r"Assembly\s*:.*\.dll", "i"))
 
 
+# Whitespace inside a line, and the page up to its second fence line.
+_INLINE = r"[ \t\x1F\xA0\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]*"
+_TO_FENCE = rf"(?s)^{_INLINE}---{_INLINE}(?:{LINE_BREAK}).*?(?<={LINE_BREAK_CHAR}){_INLINE}---{_INLINE}(?={LINE_BREAK_CHAR}|\z)"
+
+
 @check("body_unchanged")
 def _(p: PageColumns) -> Column:
-    lines = F.transform(split_lines(p.content), pytrim)
-    fences = F.filter(F.transform(lines, lambda line, i: F.when(line == "---", i + 1)), lambda x: x.isNotNull())
-    fm_end = F.when(F.get(lines, 0) == "---", F.get(fences, 1))
+    # Lines are counted in front of the closing fence only; the body is not cut to lines.
+    to_fence = F.regexp_extract(p.content, _TO_FENCE, 0)
+    fm_end = F.when(to_fence != "", F.regexp_count(to_fence, F.lit(LINE_BREAK)) + 1)
     inside = F.forall(hunks(p.patch), lambda h: h["start"] + h["count"] - 1 <= fm_end)
     return F.when(p.patch.isNull() | (p.patch == ""), True).otherwise(fm_end.isNotNull() & inside)
 

@@ -1,5 +1,11 @@
 """Registered queries, their fixtures and their SQL oracles."""
 
-from leafwright.suite import page_queries, review_queries
+from leafwright.suite import catalog_queries, cleanup_queries, page_queries, review_queries, site_queries
 
-REGISTRY = {**page_queries.QUERIES, **review_queries.QUERIES}
+REGISTRY = {
+    **page_queries.QUERIES,
+    **review_queries.QUERIES,
+    **site_queries.QUERIES,
+    **catalog_queries.QUERIES,
+    **cleanup_queries.QUERIES,
+}

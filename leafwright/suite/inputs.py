@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafwright.sources.readers import spread
 from leafwright.suite import fixtures as fx
 
 
+# Tables whose rows are long texts, and the key to spread them by.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
     """Make the driver tables known by name."""
     for name in names or fx.TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name in TEXT_TABLES:
+            df = spread(df, TEXT_TABLES[name])
+        df.createOrReplaceTempView(name)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
