@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafwright.operators.groups import split_large_groups
+
 
 def write_pages(df: DataFrame, path: str, by: tuple[str, ...] = ("family",), mode: str = "overwrite") -> None:
     """Clean pages as a table with a folder per family."""
@@ -33,18 +35,24 @@ def export_pages(df: DataFrame, folder: str) -> None:
     df.select("family", "name", "content").foreachPartition(write)
 
 
-def updates_json(df: DataFrame) -> DataFrame:
-    """Update list as one JSON array, ``[]`` when there is none (one entry per package, so small)."""
-    item = F.struct("family", "nuget", "version")
-    items = F.array_sort(F.collect_list(F.struct("pos", item.alias("u")) if "pos" in df.columns else F.struct(item.alias("u"))))
-    return df.agg(F.to_json(F.transform(items, lambda x: x["u"])).alias("value")).select(
-        F.coalesce("value", F.lit("[]")).alias("value")
-    )
+def updates_json(df: DataFrame, size: int = 10000) -> DataFrame:
+    """Update list as a JSON array: ``part, value``.
+
+    There is one row, ``[]`` when nothing is to be updated; a list of more than
+    ``size`` updates goes on in further rows.
+    """
+    parts = split_large_groups(df.withColumn("_all", F.lit(0)), ["_all"], "family", size)
+    order = F.col("pos") if "pos" in df.columns else F.col("family")
+    entry = F.struct(order.alias("at"), F.struct("family", "nuget", "version").alias("u"))
+    arrays = parts.groupBy("part").agg(F.array_sort(F.collect_list(entry)).alias("_u"))
+    listed = arrays.select("part", F.to_json(F.transform("_u", lambda x: x["u"])).alias("value"))
+    none = df.agg(F.count("*").alias("_n")).filter("_n = 0")
+    return listed.unionByName(none.select(F.lit(0).cast("bigint").alias("part"), F.lit("[]").alias("value")))
 
 
 def write_updates(df: DataFrame, path: str) -> None:
-    """Update list as a text file with a JSON array."""
-    updates_json(df).coalesce(1).write.mode("overwrite").text(path)
+    """Update list as text lines, each a JSON array."""
+    updates_json(df).select("value").write.mode("overwrite").text(path)
 
 
 def write_search_index(df: DataFrame, path: str) -> None:

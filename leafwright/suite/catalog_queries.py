@@ -120,7 +120,7 @@ QUERIES = {
     ),
     "updates_as_json": (
         updates_as_json,
-        f"""SELECT '[' || coalesce(string_agg('{{"family":"' || family || '","nuget":"' || nuget || '","version":"' || version || '"}}', ','
+        f"""SELECT CAST(0 AS BIGINT) AS part, '[' || coalesce(string_agg('{{"family":"' || family || '","nuget":"' || nuget || '","version":"' || version || '"}}', ','
         ORDER BY family), '') || ']' AS value FROM ({_UPDATES}) u""",
     ),
     "status_upsert": (

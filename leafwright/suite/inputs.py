@@ -14,7 +14,8 @@ TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Make the driver tables known by name."""
+    """Make the driver tables known by name; times are read as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     for name in names or fx.TABLES:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         if name in TEXT_TABLES:
