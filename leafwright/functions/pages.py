@@ -47,14 +47,24 @@ def raw_description(content: Column) -> Column:
     return pytrim(found)
 
 
+def description_line(raw: Column) -> Column:
+    """A raw description on one line, markup kept."""
+    return pytrim(single_line(raw))
+
+
+def summary_line(raw: Column, full_entities: bool = False) -> Column:
+    """A raw description on one line as plain text."""
+    return pytrim(single_line(html_to_text(raw, full_entities)))
+
+
 def page_description(content: Column) -> Column:
-    """The description on one line, markup kept."""
-    return pytrim(single_line(raw_description(content)))
+    """The description of a page on one line, markup kept."""
+    return description_line(raw_description(content))
 
 
 def page_summary(content: Column, full_entities: bool = False) -> Column:
-    """The description on one line as plain text."""
-    return pytrim(single_line(html_to_text(raw_description(content), full_entities)))
+    """The description of a page on one line as plain text."""
+    return summary_line(raw_description(content), full_entities)
 
 
 def page_category(title: Column) -> Column:

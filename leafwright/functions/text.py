@@ -71,27 +71,37 @@ def unquote_value(col: Column) -> Column:
     return F.btrim(pytrim(col), F.lit("\"'"))
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value worked out once, however often ``fn`` names it.
+
+    A column is an expression, so using it n times writes it out n times, and
+    nested steps multiply.  A lambda variable is bound once.
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _without_last_break(col: Column) -> Column:
+    return F.regexp_replace(col, rf"(?:{LINE_BREAK})\z", "")
+
+
 def split_lines(col: Column) -> Column:
     """Lines of a text; a final line end does not make one more empty line."""
-    lines = F.split(col, LINE_BREAK, -1)
-    ends_open = F.element_at(lines, -1) == ""
-    return F.when(ends_open, F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+    return F.split(_without_last_break(col), LINE_BREAK, -1)
 
 
 def single_line(col: Column) -> Column:
     """Join the lines of a text with one space."""
-    return F.array_join(split_lines(col), " ")
+    return F.regexp_replace(_without_last_break(col), LINE_BREAK, " ")
 
 
 def normalise_lines(col: Column) -> Column:
     """Join the lines of a text with ``\\n`` (no line end at the end)."""
-    return F.array_join(split_lines(col), "\n")
+    return F.regexp_replace(_without_last_break(col), LINE_BREAK, "\n")
 
 
 def drop_first_line(col: Column) -> Column:
     """Text without its first line, other lines joined with ``\\n``."""
-    lines = split_lines(col)
-    return F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "\n")
+    return F.regexp_replace(normalise_lines(col), r"^[^\n]*\n?", "")
 
 
 def truncate_text(col: Column, limit: int = 4000, marker: str = "\n...[truncated]") -> Column:
@@ -115,13 +125,14 @@ def replace_matches(col: Column, regex: str | Column, fn: Callable[[Column], Col
     matches a text holds.
     """
     regex_col = F.lit(regex) if isinstance(regex, str) else regex
-    pieces = F.split(col, regex_col, -1)
-    matches = F.regexp_extract_all(col, regex_col, F.lit(0))
-    fresh = F.transform(matches, fn)
-    joined = F.array_join(
-        F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(fresh, i), F.lit("")))), ""
-    )
-    return F.when(F.size(matches) > 0, joined).otherwise(col)
+
+    def changed(text: Column) -> Column:
+        pieces = F.split(text, regex_col, -1)
+        fresh = F.transform(F.regexp_extract_all(text, regex_col, F.lit(0)), fn)
+        joined = F.array_join(F.zip_with(pieces, fresh, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+        return F.when(F.rlike(text, regex_col), joined).otherwise(text)
+
+    return let(col, changed)
 
 
 def quote_regex(col: Column) -> Column:
@@ -131,7 +142,8 @@ def quote_regex(col: Column) -> Column:
 
 def percent_decode(col: Column) -> Column:
     """Decode ``%xx``; ``+`` stays, a text with a bad escape stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B"))), col)
+    decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return let(col, lambda c: F.when(c.contains("%"), F.coalesce(decoded(c), c)).otherwise(c))
 
 
 def strip_markup(col: Column) -> Column:

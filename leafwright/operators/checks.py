@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leafwright.functions.frontmatter import fm_field, fm_has, parse_yaml, with_frontmatter
 from leafwright.functions.pages import headings, hunks, internal_links
-from leafwright.functions.text import LINE_BREAK, LINE_BREAK_CHAR, WHITESPACE, pattern, pytrim, split_lines, unquote_value
+from leafwright.functions.text import LINE_BREAK, LINE_BREAK_CHAR, WHITESPACE, let, pattern, pytrim, split_lines, unquote_value
 from leafwright.operators.words import CheckRules
 
 
@@ -191,11 +191,13 @@ def _(p: PageColumns) -> Column:
     words = F.regexp_extract_all(
         F.concat_ws(" ", *fields), F.lit(pattern(r"\b[a-z]{4,}\b")), F.lit(0)
     )
-    # In sorted order a word that comes too often sits n places before itself.
-    ordered = F.array_sort(words)
-    often = F.exists(
-        F.transform(ordered, lambda w, i: F.get(ordered, i + p.rules.word_repeats).eqNullSafe(w)),
-        lambda same: same,
+    # In sorted order a word that comes too often equals the one n places on.
+    n = p.rules.word_repeats
+    often = let(
+        F.array_sort(words),
+        lambda o: F.exists(
+            F.zip_with(o, F.slice(o, F.lit(n + 1), F.size(o)), lambda a, b: a.eqNullSafe(b)), lambda same: same
+        ),
     )
     return _blank(p.fm) | ~often
 
@@ -340,8 +342,11 @@ def _(p: PageColumns) -> Column:
         return ~p.body.contains("|") | (F.size(F.array_distinct(F.transform(rows, pipes))) <= 1)
     # Neighbouring rows must agree; any other line parts two tables.
     widths = F.transform(F.split(p.body, "\n", -1), lambda s: F.when(s.rlike(row), pipes(s)))
-    broken = F.exists(
-        F.transform(widths, lambda w, i: F.get(widths, i - 1) != w), lambda x: F.coalesce(x, F.lit(False))
+    broken = let(
+        widths,
+        lambda w: F.exists(
+            F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.coalesce(a != b, F.lit(False))), lambda x: x
+        ),
     )
     return ~p.body.contains("|") | ~broken
 

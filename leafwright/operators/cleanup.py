@@ -11,17 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.functions.pages import (
+    description_line,
     family_slug,
     is_home_page,
     output_name,
     page_category,
-    page_description,
-    page_summary,
     page_title,
+    raw_description,
+    summary_line,
 )
 from leafwright.functions.text import (
     drop_first_line,
     html_to_text,
+    let,
     pattern,
     percent_decode,
     pytrim,
@@ -96,34 +98,37 @@ def section_to_table(content: Column, section: str, family: Column, anchored: bo
     """
     level = "###" if section == "Namespaces" else "##"
     start = r"(?<![^\n])" if anchored else ""
+    heading = f"{level} {section}\n\n"
     block = pattern(rf"{start}{level} {section}\n\n(.*?)(?=\n###|\n##|\z)", "s")
-    found = F.regexp_extract(content, block, 0)
-    inside = replace_xref(F.regexp_extract(content, block, 1))
     if section == "Namespaces":
         item = F.lit(pattern(ITEM_LINK))
     else:
         item = F.lit(pattern(ITEM_DELEGATE if section == "Delegates" else ITEM_PLAIN, "s"))
+    head = f"## {section}\n\n| {SECTIONS[section]} Name | Description |\n| --- | --- |\n"
 
-    def group(i: int) -> Column:
-        return F.regexp_extract_all(inside, item, F.lit(i))
+    def row(name: Column, link: Column, note: Column) -> Column:
+        target = F.replace(F.lower(link), F.lit(".md"), F.lit(""))
+        return F.concat(
+            F.lit("| ["), name, F.lit("](/"), family, F.lit("/"), target, F.lit("/) | "), note, F.lit(" |\n")
+        )
 
-    links = F.transform(
-        group(2),
-        lambda x: F.concat(F.lit("/"), family, F.lit("/"), F.replace(F.lower(x), F.lit(".md"), F.lit("")), F.lit("/")),
-    )
-    if section == "Namespaces":
-        notes = F.transform(links, lambda x: F.lit(""))
-    else:
-        notes = F.transform(group(3), lambda x: F.replace(pytrim(x), F.lit("\n"), F.lit(" ")))
-    rows = F.transform(
-        F.arrays_zip(group(1).alias("name"), links.alias("link"), notes.alias("note")),
-        lambda r: F.concat(
-            F.lit("| ["), r["name"], F.lit("]("), r["link"], F.lit(") | "), r["note"], F.lit(" |\n")
-        ),
-    )
-    head = f"## {section}\n\n| {SECTIONS[section]} Name | Description |\n| --- | --- |\n"
-    table = F.concat(F.lit(head), F.array_join(rows, ""))
-    return F.when(found != "", F.replace(content, found, table)).otherwise(content)
+    def table(inside: Column) -> Column:
+        group = lambda i: F.regexp_extract_all(inside, item, F.lit(i))
+        named = F.zip_with(group(1), group(2), lambda n, t: F.struct(n.alias("name"), t.alias("link")))
+        if section == "Namespaces":
+            rows = F.transform(named, lambda r: row(r["name"], r["link"], F.lit("")))
+        else:
+            note = lambda n: F.replace(pytrim(n), F.lit("\n"), F.lit(" "))
+            rows = F.zip_with(named, group(3), lambda r, n: row(r["name"], r["link"], note(n)))
+        return F.concat(F.lit(head), F.array_join(rows, ""))
+
+    def changed(text: Column) -> Column:
+        swap = lambda found: F.when(found == "", text).otherwise(
+            F.replace(text, found, let(replace_xref(F.regexp_extract(found, block, 1)), table))
+        )
+        return F.when(text.contains(heading), let(F.regexp_extract(text, block, 0), swap)).otherwise(text)
+
+    return let(content, changed)
 
 
 def format_examples(content: Column, example_text_first: bool = False) -> Column:
@@ -165,8 +170,10 @@ def clean_yaml(col: Column, escape_single: bool = True, full_entities: bool = Fa
     A single quote is escaped too as shipped, though YAML does not allow it
     there; ``escape_single=False`` leaves it.
     """
-    text = percent_decode(F.coalesce(col, F.lit("")))
-    text = F.when(text.contains("<") & text.contains(">"), html_to_text(text, full_entities)).otherwise(text)
+    plain = lambda t: F.when(
+        t.contains("<") & t.contains(">"), html_to_text(t, full_entities)
+    ).otherwise(t)
+    text = let(percent_decode(F.coalesce(col, F.lit(""))), plain)
     text = pytrim(F.regexp_replace(text, pattern(r"^```[a-zA-Z0-9]+\s*"), ""))
     text = pytrim(F.replace(text, F.lit("\n"), F.lit(" ")))
     for char in ("\\", '"', "'") if escape_single else ("\\", '"'):
@@ -182,11 +189,13 @@ def frontmatter_block(
     def quoted(key: str, value: Column) -> list[Column]:
         return [F.lit(f'{key}: "'), value, F.lit('"\n')]
 
-    name = clean_yaml(title, escape_single)
+    names = let(
+        clean_yaml(title, escape_single),
+        lambda name: F.concat(*quoted("linkTitle", name), *quoted("title", name)),
+    )
     return F.concat(
         F.lit("---\n"),
-        *quoted("linkTitle", name),
-        *quoted("title", name),
+        names,
         *quoted("description", clean_yaml(description, escape_single)),
         *quoted("summary", clean_yaml(summary, escape_single)),
         F.lit("categories:\n  - "),
@@ -219,13 +228,16 @@ def set_layout(content: Column, layout: str) -> Column:
 
 def page_meta(df: DataFrame, content: str = "content", full_entities: bool = False) -> DataFrame:
     """Add ``title``, ``description``, ``summary`` and ``category`` of raw pages."""
-    page = F.col(content)
-    return df.select(
-        "*",
-        page_title(page).alias("title"),
-        page_description(page).alias("description"),
-        page_summary(page, full_entities).alias("summary"),
-    ).withColumn("category", page_category(F.col("title")))
+    read = df.select(
+        "*", page_title(F.col(content)).alias("title"), raw_description(F.col(content)).alias("_raw")
+    )
+    return read.select(
+        *df.columns,
+        "title",
+        description_line(F.col("_raw")).alias("description"),
+        summary_line(F.col("_raw"), full_entities).alias("summary"),
+        page_category(F.col("title")).alias("category"),
+    )
 
 
 def clean_pages(
@@ -240,16 +252,16 @@ def clean_pages(
     """Clean raw pages: ``family_name, version, name, content`` to ``family, name, content``.
 
     Titles and summaries come from the raw text.  Sections become tables on
-    namespace pages only.  Each step is its own column, so that no step is
-    worked out twice.
+    namespace pages only.  No step is worked out twice.
     """
     family_name, version, name = F.col("family_name"), F.col("version"), F.col("name")
     family = F.col("_family")
     out = page_meta(df, "content", full_entities).withColumn("_family", family_slug(family_name, prefix))
     out = out.withColumn("_body", drop_first_line(F.col("content")))
+    tables = F.col("_body")
     for section in SECTIONS:
-        table = section_to_table(F.col("_body"), section, family)
-        out = out.withColumn("_body", F.when(F.col("category") == "Namespace", table).otherwise(F.col("_body")))
+        tables = section_to_table(tables, section, family)
+    out = out.withColumn("_body", F.when(F.col("category") == "Namespace", tables).otherwise(F.col("_body")))
     out = out.withColumn("_body", replace_xref(F.col("_body")))
     out = out.withColumn("_body", format_examples(F.col("_body"), example_text_first))
     out = out.withColumn("_body", rewrite_links(F.col("_body"), family_name, family))

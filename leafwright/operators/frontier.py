@@ -53,7 +53,7 @@ def is_sitemap_index(body: Column) -> Column:
 
 
 def locations(docs: DataFrame, strict: bool = True) -> DataFrame:
-    """``sitemap_url, body, pos, loc, lastmod`` of all valid payloads."""
+    """``sitemap_url, is_index, pos, loc, lastmod`` of all valid payloads."""
     found = valid_sitemaps(docs, strict).filter(is_sitemap(F.col("sitemap_url")))
     entries = found.select(
         "sitemap_url", is_sitemap_index(F.col("body")).alias("is_index"), parse_sitemap(F.col("body")).alias("_locs")
@@ -78,9 +78,8 @@ def parse_lastmod(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), F.try_to_date(text, "yyyy-M-d"))
 
 
-def sitemap_urls(docs: DataFrame, strict: bool = True) -> DataFrame:
+def sitemap_urls(locs: DataFrame) -> DataFrame:
     """``sitemap_url, pos, url, lastmod`` of the pages named in sitemaps."""
-    locs = locations(docs, strict)
     return locs.filter(~is_sitemap(F.col("loc"))).select(
         "sitemap_url", "pos", F.col("loc").alias("url"), "lastmod"
     )
@@ -107,6 +106,7 @@ def expand_sitemaps(
     index_test: str = "suffix",
     strict: bool = True,
     dedupe: bool = False,
+    locs: DataFrame | None = None,
 ) -> DataFrame:
     """All sitemaps to visit: ``subdomain, step, p1, p2, sitemap_url``; the last three give the order.
 
@@ -114,8 +114,9 @@ def expand_sitemaps(
     host, step 1 what it names, step 2 (``depth`` 2) what the sitemaps of steps
     0 and 1 name, step 3 family sitemaps and what they name.  The index is
     expanded in both steps, so its sitemaps come twice unless ``dedupe``.
+    ``locs`` takes :func:`locations` that were worked out before.
     """
-    nested = nested_sitemaps(locations(docs, strict), index_test)
+    nested = nested_sitemaps(locations(docs, strict) if locs is None else locs, index_test)
     index_url = F.concat(F.lit("https://"), "subdomain", F.lit("/sitemap.xml"))
     live = valid_sitemaps(docs, strict).select("sitemap_url").distinct()
     zero = F.lit(0).cast("bigint")
@@ -149,9 +150,9 @@ def sitemap_inventory(docs: DataFrame, hosts: DataFrame, families: Sequence[str]
     )
 
 
-def candidate_urls(docs: DataFrame, visits: DataFrame, strict: bool = True) -> DataFrame:
+def candidate_urls(locs: DataFrame, visits: DataFrame) -> DataFrame:
     """URLs of all visited sitemaps, in visit order; a sitemap visited twice gives its URLs twice."""
-    return visits.join(sitemap_urls(docs, strict), "sitemap_url")
+    return visits.join(sitemap_urls(locs), "sitemap_url")
 
 
 def frontier(

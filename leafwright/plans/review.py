@@ -12,6 +12,10 @@ from leafwright.operators import change_sets as cs
 from leafwright.operators import metrics, scoring, state
 from leafwright.operators.checks import DEFAULT_CHECKLIST, CheckDef, run_checks
 from leafwright.operators.words import CheckRules
+from leafwright.session import settle
+
+# Up to this many keys (a few megabytes) are sent to every scan task.
+FEW_CHANGE_SETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -35,7 +39,7 @@ class ReviewSettings:
 
 @dataclass(frozen=True)
 class ReviewRun:
-    """Tables of a review run, all lazy."""
+    """Tables of a review run."""
 
     files: DataFrame
     reviews: DataFrame
@@ -65,22 +69,31 @@ def review(
 ) -> ReviewRun:
     """Review the open change sets that were not reviewed before.
 
-    The narrow change-set rows are filtered first (branch, state, files), and
-    only the files of what is left bring their content into the plan.
+    Narrow change-set rows are filtered first (branch, state, files).  When few
+    sets are left, their keys go to the scan and only their files are checked.
+    When many are left, all files are checked where they are read and the
+    narrow results are joined: page contents are never shuffled.  Chosen sets
+    and file results are written to the work folder, so contents are read once
+    for decisions, comments, state and metrics together.
     """
     keys = list(scoring.CHANGE_SET_KEYS)
     selected = cs.select_change_sets(change_sets, settings.branch_prefix, settings.labels)
     markdown = cs.select_markdown(changed_files, settings.path_contains)
     fresh = cs.not_reviewed(selected, seen)
-    # One narrow aggregate says what each change set has to offer.
-    offered = markdown.groupBy(*keys).agg(
-        F.count("*").alias("files_found"), F.count("content").alias("files_readable")
-    )
-    candidates = fresh.join(offered.filter("files_readable > 0"), keys)
-    chosen = cs.limit_reviews(candidates, settings.max_reviews)
-    files = review_files(
-        markdown.join(chosen.select(*keys), keys, "left_semi"), answers, answer_on, settings
-    )
+    offered = markdown.groupBy(*keys).agg(F.count("*").alias("files_found"))
+    candidates = fresh
+    if settings.max_reviews is not None:
+        # Only sets that can be reviewed count towards the limit.
+        readable = markdown.filter("content IS NOT NULL").select(*keys).distinct()
+        candidates = fresh.join(readable, keys, "left_semi")
+    chosen = settle(cs.limit_reviews(candidates, settings.max_reviews), "chosen")
+    chosen_keys = chosen.select(*keys)
+    if chosen.count() <= FEW_CHANGE_SETS:
+        markdown_chosen = markdown.join(F.broadcast(chosen_keys), keys, "left_semi")
+        reviewed = review_files(markdown_chosen, answers, answer_on, settings)
+    else:
+        reviewed = review_files(markdown, answers, answer_on, settings).join(chosen_keys, keys, "left_semi")
+    files = settle(reviewed, "files")
     scores = scoring.change_set_scores(files, settings.checklist)
     decided = scoring.with_decision(scores, settings.approve, settings.request_changes, settings.label_prefix)
     reviews = chosen.join(decided, keys)

@@ -9,8 +9,8 @@ from leafwright.sources.readers import spread
 from leafwright.suite import fixtures as fx
 
 
-# Tables whose rows are long texts, and the key to spread them by.
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+# Tables whose rows are costly to work on, and the key to spread them by.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey"}
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:

@@ -9,6 +9,8 @@ from leafwright.operators import frontier as fr
 from leafwright.operators.keywords import in_range, keywords_by_page
 from leafwright.operators.search_index import merge_entries, merge_search
 from leafwright.operators.state import mark_processed
+from leafwright.plans import site
+from leafwright.session import settle
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import fixture, hosts, query_rows, search_docs, sitemap_docs
 
@@ -48,7 +50,7 @@ def keywords_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs of all sitemaps."""
-    return fr.sitemap_urls(sitemap_docs(spark, sf_dir)).select(
+    return fr.sitemap_urls(fr.locations(sitemap_docs(spark, sf_dir))).select(
         "sitemap_url", F.col("pos").cast("bigint").alias("pos"), "url", "lastmod",
         F.date_format(fr.parse_lastmod(F.col("lastmod")), "yyyy-MM-dd").alias("lastmod_date"),
     )
@@ -78,33 +80,33 @@ def sitemap_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("site_url", "sitemap_url", F.col("step").cast("bigint").alias("step"))
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = sitemap_docs(spark, sf_dir)
-    return fr.candidate_urls(docs, fr.expand_sitemaps(docs, hosts(spark, sf_dir), FAMILIES))
+def _site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, F.Column]:
+    # Payloads are landed once, as a fetch job would leave them.
+    docs = settle(sitemap_docs(spark, sf_dir), "sitemaps")
+    return docs, hosts(spark, sf_dir), fixture(spark, sf_dir, "ledger"), now()
 
 
 def url_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs never processed."""
-    urls = fr.frontier(_candidates(spark, sf_dir), fixture(spark, sf_dir, "ledger"), now())
-    return urls.select("subdomain", "url").groupBy("subdomain", "url").agg(F.count("*").alias("times"))
+    urls = site.due_urls(*_site(spark, sf_dir), families=FAMILIES)
+    return urls.groupBy("subdomain", "url").agg(F.count("*").alias("times"))
 
 
 def url_frontier_lastmod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URLs never processed, or due again by their change date."""
-    urls = fr.frontier(_candidates(spark, sf_dir), fixture(spark, sf_dir, "ledger"), now(), use_lastmod=True)
-    return urls.select("subdomain", "url").groupBy("subdomain", "url").agg(F.count("*").alias("times"))
+    urls = site.due_urls(*_site(spark, sf_dir), families=FAMILIES, use_lastmod=True)
+    return urls.groupBy("subdomain", "url").agg(F.count("*").alias("times"))
 
 
 def url_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of the URLs to be submitted."""
-    urls = fr.frontier(_candidates(spark, sf_dir), fixture(spark, sf_dir, "ledger"), now())
-    return fr.to_batches(urls, BATCH).select("subdomain", "batch_no", F.array_join("urls", " ").alias("urls"))
+    batches = site.url_batches(*_site(spark, sf_dir), size=BATCH, families=FAMILIES)
+    return batches.select("subdomain", "batch_no", F.array_join("urls", " ").alias("urls"))
 
 
 def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches taken apart again."""
-    urls = fr.frontier(_candidates(spark, sf_dir), fixture(spark, sf_dir, "ledger"), now())
-    rows = fr.explode_batches(fr.to_batches(urls, BATCH))
+    rows = fr.explode_batches(site.url_batches(*_site(spark, sf_dir), size=BATCH, families=FAMILIES))
     return rows.select("subdomain", "batch_no", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
