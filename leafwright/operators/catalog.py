@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,8 +78,9 @@ def pick_artifacts(listing: DataFrame, keys: Sequence[str] = ("nuget", "family")
 
     Names are compared without case.  The largest XML wins, the first walked of
     equal ones; of libraries the last walked wins.  A package without either is
-    an error row.
+    an error row.  Without ``walk_ord`` files are walked in path order.
     """
+    order = "walk_ord" if "walk_ord" in listing.columns else "path"
     name = F.lower(F.element_at(F.split("path", "/", -1), -1))
 
     def named(ext: str) -> Column:
@@ -88,8 +88,8 @@ def pick_artifacts(listing: DataFrame, keys: Sequence[str] = ("nuget", "family")
 
     xml, dll = named(".xml"), named(".dll")
     picked = listing.groupBy(*keys).agg(
-        F.max_by(F.when(xml, F.col("path")), F.when(xml, F.struct("length", -F.col("walk_ord")))).alias("xml_path"),
-        F.max_by(F.when(dll, F.col("path")), F.when(dll, F.col("walk_ord"))).alias("dll_path"),
+        F.min_by(F.when(xml, F.col("path")), F.when(xml, F.struct(-F.col("length"), order))).alias("xml_path"),
+        F.max_by(F.when(dll, F.col("path")), F.when(dll, F.col(order))).alias("dll_path"),
     )
     missing = F.concat_ws(
         ", ", F.when(F.col("xml_path").isNull(), "XML"), F.when(F.col("dll_path").isNull(), "DLL")
@@ -132,8 +132,3 @@ def with_folder(df: DataFrame, folders: DataFrame) -> DataFrame:
     return out.withColumn(
         "error", F.when(F.col("folder").isNull(), F.concat(F.lit("no folder for "), F.col("family")))
     )
-
-
-def any_of(*tests: Column) -> Column:
-    """OR of many tests."""
-    return reduce(lambda a, b: a | b, tests)

@@ -257,15 +257,16 @@ def clean_pages(
     family_name, version, name = F.col("family_name"), F.col("version"), F.col("name")
     family = F.col("_family")
     out = page_meta(df, "content", full_entities).withColumn("_family", family_slug(family_name, prefix))
-    out = out.withColumn("_body", drop_first_line(F.col("content")))
-    tables = F.col("_body")
-    for section in SECTIONS:
-        tables = section_to_table(tables, section, family)
-    out = out.withColumn("_body", F.when(F.col("category") == "Namespace", tables).otherwise(F.col("_body")))
-    out = out.withColumn("_body", replace_xref(F.col("_body")))
-    out = out.withColumn("_body", format_examples(F.col("_body"), example_text_first))
-    out = out.withColumn("_body", rewrite_links(F.col("_body"), family_name, family))
-    out = out.withColumn("_body", add_version(F.col("_body"), family_name, version, idempotent_version))
+
+    def with_tables(text: Column) -> Column:
+        tables = text
+        for section in SECTIONS:
+            tables = section_to_table(tables, section, family)
+        return F.when(F.col("category") == "Namespace", tables).otherwise(text)
+
+    body = let(drop_first_line(F.col("content")), with_tables)
+    body = format_examples(replace_xref(body), example_text_first)
+    body = add_version(rewrite_links(body, family_name, family), family_name, version, idempotent_version)
     layout = F.when(is_home_page(name, family_name, home_names), LAYOUT_HOME).otherwise(LAYOUT_SINGLE)
     block = frontmatter_block(
         F.col("title"), F.col("description"), F.col("summary"), F.col("category"), layout, escape_single
@@ -275,5 +276,5 @@ def clean_pages(
         *kept,
         family.alias("family"),
         output_name(name, family_name, home_names).alias("name"),
-        F.concat(block, F.lit("\n"), F.col("_body")).alias("content"),
+        F.concat(block, F.lit("\n"), body).alias("content"),
     )

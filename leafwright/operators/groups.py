@@ -24,7 +24,8 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    # A struct is never NULL, so rows without an order value count as first.
+    rank = F.struct(*order)
     if not rest:
         return df.select(*keys).distinct()
     best = df.groupBy(*keys).agg(pick(F.struct(*rest), rank).alias("_row"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.functions.text import title_case
+from leafwright.functions.text import let, title_case
 from leafwright.operators.checks import CheckDef
 from leafwright.operators.groups import split_large_groups
 
@@ -81,23 +81,24 @@ def parse_model_answer(body: Column) -> Column:
 
     NULL when the text is not a JSON object.
     """
-    v = F.try_parse_json(body)
-    # A text with another JSON value at the top has no fields.
-    is_object = F.schema_of_variant(v).startswith("OBJECT")
-
-    def texts(name: str) -> Column:
-        found = F.try_variant_get(v, f"$.{name}", "array<string>")
-        return F.coalesce(found, F.array().cast("array<string>")).alias(name)
-
-    known = F.try_variant_get(v, "$.recommendation", "string")
-    fields = [
-        *[F.coalesce(F.try_variant_get(v, f"$.{n}", "int"), F.lit(0)).alias(n) for n in MODEL_SCORES],
-        F.coalesce(F.try_variant_get(v, "$.summary", "string"), F.lit("")).alias("summary"),
-        texts("strengths"),
-        texts("issues"),
-        F.when(known.isin(*DECISION_LABELS), known).otherwise("REQUEST_CHANGES").alias("recommendation"),
-    ]
-    return F.when(is_object, F.struct(*fields)).cast(MODEL_TYPE)
+    none = F.array().cast("array<string>")
+
+    def read(v: Column) -> Column:
+        def texts(name: str) -> Column:
+            return F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"), none).alias(name)
+
+        known = F.try_variant_get(v, "$.recommendation", "string")
+        fields = [
+            *[F.coalesce(F.try_variant_get(v, f"$.{n}", "int"), F.lit(0)).alias(n) for n in MODEL_SCORES],
+            F.coalesce(F.try_variant_get(v, "$.summary", "string"), F.lit("")).alias("summary"),
+            texts("strengths"),
+            texts("issues"),
+            F.when(known.isin(*DECISION_LABELS), known).otherwise("REQUEST_CHANGES").alias("recommendation"),
+        ]
+        # A text with another JSON value at the top has no fields.
+        return F.when(F.schema_of_variant(v).startswith("OBJECT"), F.struct(*fields))
+
+    return let(F.try_parse_json(body), read).cast(MODEL_TYPE)
 
 
 def fallback_answer(issue: str | None = NO_MODEL_ISSUE) -> Column:

@@ -154,9 +154,9 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """Files of extracted packages in ``{nuget}/{family}/..``: ``nuget, family, path, length, walk_ord``.
+    """Files of extracted packages in ``{nuget}/{family}/..``: ``nuget, family, path, length``.
 
-    Contents are not read.  The walk order is the order of paths.
+    Contents are not read.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
@@ -164,7 +164,6 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     base = path.rstrip("/").rsplit("/", 1)[-1]
     below = F.element_at(F.split("path", f"/{base}/"), -1)
     parts = F.split(below, "/")
-    # Paths of one package are ordered by their text: the path itself is the walk order.
     return listing.select(
         F.get(parts, F.lit(0)).alias("nuget"), F.get(parts, F.lit(1)).alias("family"), "path", "length"
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.operators.groups import split_large_groups
+from leafwright.operators.groups import stable_bucket
+from leafwright.session import settle
 
 
 def write_pages(df: DataFrame, path: str, by: tuple[str, ...] = ("family",), mode: str = "overwrite") -> None:
@@ -41,12 +42,14 @@ def updates_json(df: DataFrame, size: int = 10000) -> DataFrame:
     There is one row, ``[]`` when nothing is to be updated; a list of more than
     ``size`` updates goes on in further rows.
     """
-    parts = split_large_groups(df.withColumn("_all", F.lit(0)), ["_all"], "family", size)
+    updates = settle(df, "updates")
+    parts = max(1, -(-updates.count() // size))
     order = F.col("pos") if "pos" in df.columns else F.col("family")
     entry = F.struct(order.alias("at"), F.struct("family", "nuget", "version").alias("u"))
-    arrays = parts.groupBy("part").agg(F.array_sort(F.collect_list(entry)).alias("_u"))
+    bucket = stable_bucket(F.col("family"), F.lit(parts)).alias("part")
+    arrays = updates.groupBy(bucket).agg(F.array_sort(F.collect_list(entry)).alias("_u"))
     listed = arrays.select("part", F.to_json(F.transform("_u", lambda x: x["u"])).alias("value"))
-    none = df.agg(F.count("*").alias("_n")).filter("_n = 0")
+    none = updates.agg(F.count("*").alias("_n")).filter("_n = 0")
     return listed.unionByName(none.select(F.lit(0).cast("bigint").alias("part"), F.lit("[]").alias("value")))
 
 
