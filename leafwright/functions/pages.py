@@ -111,8 +111,13 @@ def headings(body: Column) -> Column:
 
 
 def internal_links(body: Column) -> Column:
-    """Targets of Markdown links that do not start with ``http``."""
-    return F.regexp_extract_all(body, F.lit(pattern(r"\[.*?\]\(((?!http)[^)]+)\)")), F.lit(1))
+    """Targets of Markdown links that do not start with ``http``.
+
+    Only the target is taken, so a match may start at the last bracket in
+    front of it.  Each bracket is then looked at up to the next one and not to
+    the end of its line, which may be a megabyte of data.
+    """
+    return F.regexp_extract_all(body, F.lit(pattern(r"\[[^\[\n]*?\]\(((?!http)[^)]+)\)")), F.lit(1))
 
 
 def hunks(patch: Column) -> Column:

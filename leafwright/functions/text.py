@@ -151,7 +151,7 @@ def strip_markup(col: Column) -> Column:
     no_blocks = F.regexp_replace(
         col, pattern(r"<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", "is"), ""
     )
-    return F.regexp_replace(no_blocks, r"<[A-Za-z/!?][^>]*>", "")
+    return F.regexp_replace(no_blocks, r"<[A-Za-z/!?][^>]*+>", "")
 
 
 def _unescape_all(col: Column) -> Column:

@@ -119,26 +119,32 @@ def expand_sitemaps(
     nested = nested_sitemaps(locations(docs, strict) if locs is None else locs, index_test)
     index_url = F.concat(F.lit("https://"), "subdomain", F.lit("/sitemap.xml"))
     live = valid_sitemaps(docs, strict).select("sitemap_url").distinct()
-    zero = F.lit(0).cast("bigint")
+    zero = F.lit(0)
 
-    def visits(df: DataFrame, step: int, p1: Column, p2: Column, url: str) -> DataFrame:
-        return df.select(
-            "subdomain", F.lit(step).alias("step"), p1.cast("bigint").alias("p1"),
-            p2.cast("bigint").alias("p2"), F.col(url).alias("sitemap_url"),
-        )
+    def visit(step: int, p1: Column, p2: Column) -> Column:
+        big = [p.cast("bigint").alias(n) for p, n in ((p1, "p1"), (p2, "p2"))]
+        return F.struct(F.lit(step).alias("step"), *big)
+
+    def visits(df: DataFrame, url: str, *at: Column) -> DataFrame:
+        return df.select("subdomain", F.explode(F.array(*at)).alias("_at"), F.col(url).alias("sitemap_url")).select(
+            "subdomain", "_at.step", "_at.p1", "_at.p2", "sitemap_url"
+        )
+
+    def below(df: DataFrame, url: str, *kept: str) -> DataFrame:
+        return df.select("subdomain", *kept, F.col(url).alias("sitemap_url")).join(nested, "sitemap_url")
 
     roots = hosts.withColumn("sitemap_url", index_url).join(live, "sitemap_url", "left_semi")
-    index = visits(roots, 0, zero, zero, "sitemap_url")
-    first = visits(index.join(nested, "sitemap_url"), 1, F.col("pos"), zero, "loc")
-    out = index.unionByName(first)
+    first = below(roots, "sitemap_url")
+    # What the index names is visited in step 1, and again in step 2.
+    twice = [visit(1, F.col("pos"), zero)] + ([visit(2, zero, F.col("pos"))] if depth >= 2 else [])
+    out = visits(roots, "sitemap_url", visit(0, zero, zero)).unionByName(visits(first, "loc", *twice))
     if depth >= 2:
-        sources = index.withColumn("_src", zero).unionByName(first.withColumn("_src", F.col("p1") + 1))
-        second = visits(sources.join(nested, "sitemap_url"), 2, F.col("_src"), F.col("pos"), "loc")
-        out = out.unionByName(second)
-    with_families = roots.filter("has_families").select("subdomain")
-    own = family_sitemaps(with_families, families, docs)
-    below = visits(own.join(nested, "sitemap_url"), 3, F.col("family_ord"), F.col("pos") + 1, "loc")
-    out = out.unionByName(visits(own, 3, F.col("family_ord"), zero, "sitemap_url")).unionByName(below)
+        second = below(first.withColumn("src", F.col("pos") + 1), "loc", "src")
+        out = out.unionByName(visits(second, "loc", visit(2, F.col("src"), F.col("pos"))))
+    own = family_sitemaps(roots.filter("has_families").select("subdomain"), families, docs)
+    named = below(own, "sitemap_url", "family_ord")
+    out = out.unionByName(visits(own, "sitemap_url", visit(3, F.col("family_ord"), zero)))
+    out = out.unionByName(visits(named, "loc", visit(3, F.col("family_ord"), F.col("pos") + 1)))
     return first_by(out, ["subdomain", "sitemap_url"], VISIT_ORDER) if dedupe else out
 
 

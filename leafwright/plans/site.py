@@ -23,16 +23,18 @@ def due_urls(
     """URLs to be submitted, in visit order.
 
     XML is parsed once: the locations go to the work folder, where the
-    expansion and the URLs each take the columns they need.
+    expansion and the URLs each take the columns they need.  The visits, a row
+    per sitemap, go there too, so their joins are not planned again with each
+    use of the URLs.
     """
     locs = settle(fr.locations(docs), "locations")
-    visits = fr.expand_sitemaps(docs, hosts, families, dedupe=dedupe, locs=locs)
+    visits = settle(fr.expand_sitemaps(docs, hosts, families, dedupe=dedupe, locs=locs), "visits")
     return fr.frontier(fr.candidate_urls(locs, visits), ledger, now, use_lastmod=use_lastmod)
 
 
 def url_batches(docs: DataFrame, hosts: DataFrame, ledger: DataFrame, now: Column, size: int = fr.BATCH_SIZE, **options) -> DataFrame:
-    """Batches of the URLs to be submitted."""
-    return fr.to_batches(due_urls(docs, hosts, ledger, now, **options), size)
+    """Batches of the URLs to be submitted (numbering reads them twice, so they are written once)."""
+    return fr.to_batches(settle(due_urls(docs, hosts, ledger, now, **options), "due"), size)
 
 
 def submitted(ledger: DataFrame, outcomes: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

@@ -57,7 +57,8 @@ def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _visits(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return fr.expand_sitemaps(sitemap_docs(spark, sf_dir), hosts(spark, sf_dir), FAMILIES, **options)
+    docs = settle(sitemap_docs(spark, sf_dir), "sitemaps")
+    return fr.expand_sitemaps(docs, hosts(spark, sf_dir), FAMILIES, **options)
 
 
 def _visit_columns(df: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def sitemap_expand_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sitemap_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of site and sitemap to submit."""
-    pairs = fr.sitemap_inventory(sitemap_docs(spark, sf_dir), hosts(spark, sf_dir), FAMILIES)
+    pairs = fr.sitemap_inventory(settle(sitemap_docs(spark, sf_dir), "sitemaps"), hosts(spark, sf_dir), FAMILIES)
     return pairs.select("site_url", "sitemap_url", F.col("step").cast("bigint").alias("step"))
 
 

@@ -136,6 +136,7 @@ def test_changed_files_and_permissive(spark, tmp_path):
 
 
 def test_spread_leaves_large_tables(spark):
-    df = spark.range(10)
+    df = spark.range(10_000_000).select("id", F.col("id").alias("x"))
     assert rd.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rd.spread(spark.range(10), "id").rdd.getNumPartitions() == 1
     assert rd.spread(df, "id", small=1) is df

@@ -130,3 +130,10 @@ def test_hunks(values):
 def test_prompt(values):
     got = values(["x" * 5], lambda c: pg.review_prompt(c, 'A {{"k"}} {content} {{z}}', limit=4))
     assert got == ['A {"k"} xxxx\n...[truncated] {z}']
+
+
+@FEW
+@given(st.lists(st.text(alphabet="[]()ah\\n !", max_size=18), min_size=100, max_size=200))
+def test_links_are_found_as_by_a_line_scan(values, texts):
+    texts = [t.replace("h", "http") for t in texts] + ["[a](http://x) b](c) [d [e](f) [g\n](h)"]
+    assert values(texts, pg.internal_links) == [re.findall(r"\[.*?\]\(((?!http)[^)]+)\)", t) for t in texts]
