@@ -59,6 +59,19 @@ def review_files(
     return scored.withColumn("issues", scoring.file_issues(F.col("check_results"), F.col("ai")))
 
 
+def _reached(sets: DataFrame, chosen: DataFrame) -> DataFrame:
+    """What a run came to see before its limit stopped it.
+
+    Later products are not looked at; later sets of the last product are known
+    but wait.  The place where it stopped is one row.
+    """
+    order = ("product_ord", "created_at", "pr_number")
+    last = chosen.orderBy(*[F.col(c).desc() for c in order]).select(*order).first()
+    place = F.struct(*order)
+    stop = F.struct(*[F.lit(last[c]).cast(chosen.schema[c].dataType).alias(c) for c in order])
+    return sets.filter(F.col("product_ord") <= last["product_ord"]).withColumn("waiting", place > stop)
+
+
 def review(
     change_sets: DataFrame,
     changed_files: DataFrame,
@@ -88,7 +101,10 @@ def review(
         candidates = fresh.join(readable, keys, "left_semi")
     chosen = settle(cs.limit_reviews(candidates, settings.max_reviews), "chosen")
     chosen_keys = chosen.select(*keys)
-    if chosen.count() <= FEW_CHANGE_SETS:
+    n_chosen = chosen.count()
+    if n_chosen == settings.max_reviews:
+        selected, fresh = _reached(selected, chosen), _reached(fresh, chosen)
+    if n_chosen <= FEW_CHANGE_SETS:
         markdown_chosen = markdown.join(F.broadcast(chosen_keys), keys, "left_semi")
         reviewed = review_files(markdown_chosen, answers, answer_on, settings)
     else:
@@ -99,6 +115,10 @@ def review(
     reviews = chosen.join(decided, keys)
     merged = F.lit(settings.auto_merge) & (F.col("decision") == "APPROVE")
     results = decided.select(*keys, "decision", "files")
+    if "waiting" not in selected.columns:
+        selected = selected.withColumn("waiting", F.lit(False))
+    elif settings.max_reviews is not None:
+        fresh = fresh.filter("NOT waiting")
     outcomes = (
         selected.join(fresh.select(*keys, F.lit(True).alias("_fresh")), keys, "left")
         .join(offered, keys, "left")
@@ -107,10 +127,15 @@ def review(
             *keys,
             "product",
             "product_ord",
-            F.when(F.col("decision").isNotNull(), "reviewed").otherwise("skipped").alias("outcome"),
+            F.when(F.col("decision").isNotNull(), "reviewed")
+            .when(F.col("waiting"), "waiting")
+            .otherwise("skipped")
+            .alias("outcome"),
             "decision",
             F.coalesce(merged, F.lit(False)).alias("merged"),
-            F.when(F.col("_fresh"), F.coalesce("files_found", F.lit(0))).otherwise(0).alias("files_found"),
+            F.when(F.col("_fresh") & ~F.col("waiting"), F.coalesce("files_found", F.lit(0)))
+            .otherwise(0)
+            .alias("files_found"),
             F.coalesce("files", F.lit(0)).alias("files_reviewed"),
         )
     )
@@ -142,7 +167,8 @@ def run_report(
     """Metrics rows of a run, one per product.
 
     ``usage`` has ``product, tokens, calls, duration_ms``.  Tokens and calls
-    are those of the run so far, products in order.
+    are those of the run so far, products in order.  ``product_dim`` has
+    ``product, display, website`` with lower-case keys.
     """
     order = run.outcomes.select("product", "product_ord").distinct()
     so_far = metrics.running_usage(order.join(usage, "product", "left").fillna(0, ["tokens", "calls", "duration_ms"]))
@@ -150,7 +176,8 @@ def run_report(
         metrics.run_counters(run.outcomes)
         .filter("NOT is_total")
         .join(so_far, "product")
-        .join(product_dim, "product", "left")
+        .withColumn("_key", F.lower("product"))
+        .join(product_dim.select(F.col("product").alias("_key"), "display", "website"), "_key", "left")
         .join(run.platforms, "product", "left")
     )
     filled = counters.select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from leafwright.operators import frontier as fr
 from leafwright.operators.checks import CHECKS, CheckDef, add_check_columns, run_checks
 from leafwright.operators.cleanup import clean_pages
+from leafwright.operators.metrics import run_counters
 from leafwright.operators.keywords import keywords_by_page
 from leafwright.plans import catalog, review, site
 from leafwright.plans.review import ReviewSettings
@@ -65,8 +66,10 @@ def test_batches_number_per_sitemap(spark):
 
 def _review(spark, **settings):
     answers = fixture(spark, SF, "ai_response").select("doc_id", "body")
+    # Words are the last product here: their sets are all reviewed in the fixture.
+    sets = change_sets(spark, SF).withColumn("product_ord", (F.col("product_ord") + 2) % 3)
     return review.review(
-        change_sets(spark, SF), fixture(spark, SF, "changed_file"), fixture(spark, SF, "review_state"), answers,
+        sets, fixture(spark, SF, "changed_file"), fixture(spark, SF, "review_state"), answers,
         settings=ReviewSettings(labels=("docs",), **settings),
     )
 
@@ -86,8 +89,13 @@ def test_limit_counts_reviewable_sets_only(spark):
     run = _review(spark, max_reviews=5)
     got = decisions(run)
     assert len(got) == 5 and all(whole[d[0]] == d for d in got)
-    first = run.reviews.agg(F.max("product_ord")).first()[0]
-    assert first <= 1  # products in order
+    assert run.reviews.agg(F.max("product_ord")).first()[0] == 0  # products in order
+    kinds = {r.outcome: r["count"] for r in run.outcomes.groupBy("outcome").count().collect()}
+    assert kinds["reviewed"] == 5 and kinds["waiting"] > 0
+    assert run.outcomes.select("product").distinct().count() == 1  # later products are not looked at
+    assert run.outcomes.filter("outcome = 'waiting' AND files_found > 0").count() == 0
+    metrics = run_counters(run.outcomes).filter("is_total").first()
+    assert (metrics.reviewed, metrics.found) == (5, sum(kinds.values()))
 
 
 def test_second_run_reviews_nothing(spark):
