@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from leafwright.suite import REGISTRY
 from leafwright.suite.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in REGISTRY}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
