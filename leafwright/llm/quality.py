@@ -11,13 +11,14 @@ read whole.  Repeated rows get the same score.  Rows without a label train nothi
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafwright.llm import learn
+from leafwright.llm.learn import Ftrl, logistic, summed
 from leafwright.llm.texts import flat, held_out, mixed, read, slices, span_hashes, words
 
 # Shape classes: capital letters, small letters and all bytes of other scripts, digits.
@@ -30,19 +31,7 @@ _SHAPE[0x80:] = ord("a")
 _LATIN, _LATIN_CAPITALS = 0xC3, (0x80, 0x9E)
 
 
-@dataclass(frozen=True)
-class Ftrl:
-    """Settings of the training.  ``sample`` bounds the labelled rows that it reads."""
-
-    bits: int = 18
-    alpha: float = 0.3
-    beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.1
-    sample: int = 20_000
-    epochs: int = 2
-    seed: int = 7
-    scale: float = 20.0
+_SCALE = 20.0
 
 
 def _shapes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray):
@@ -61,7 +50,7 @@ def _shapes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray):
     return shape[keep], before[starts], before[stops]
 
 
-def _features(data: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grams(data: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and feature number of each n-gram, and the number of words of each row."""
     starts, stops, row = words(data, ends)
     count = np.bincount(row, minlength=len(ends) - 1)
@@ -73,93 +62,38 @@ def _features(data: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray
         two = mixed(h[:-1] * np.uint64(3) + h[1:])[pair]
         rows += [row, row[1:][pair]]
         found += [h, two]
-    numbers = (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64) if found else np.zeros(0, np.int64)
+    numbers = (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
     return np.concatenate(rows), numbers, count
 
 
-def _train_rows(batches: Iterator[pa.RecordBatch], cfg: Ftrl) -> Iterator[pa.RecordBatch]:
-    """Features of each labelled row, with repeats summed."""
-    for batch in batches:
-        data, ends = flat(batch.column("text"))
-        for a, b in slices(ends):
-            row, number, count = _features(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], cfg.bits)
-            key, repeats = np.unique(row << cfg.bits | number, return_counts=True)
-            at = np.searchsorted(key >> cfg.bits, np.arange(b - a + 1))
-            share = repeats / np.maximum(count, 1)[key >> cfg.bits]
-            number = (key & ((1 << cfg.bits) - 1)).astype(np.int32)
-            yield pa.record_batch(
-                {
-                    "place": batch.column("place").slice(a, b - a),
-                    "label": batch.column("label").slice(a, b - a),
-                    "number": pa.ListArray.from_arrays(at.astype(np.int32), number),
-                    "share": pa.ListArray.from_arrays(at.astype(np.int32), share.astype(np.float32)),
-                }
-            )
-
-
-def weights(z: np.ndarray, n: np.ndarray, cfg: Ftrl) -> np.ndarray:
-    """The closed form of the regularised leader."""
-    w = -(z - np.sign(z) * cfg.l1) / ((cfg.beta + np.sqrt(n)) / cfg.alpha + cfg.l2)
-    return np.where(np.abs(z) <= cfg.l1, 0.0, w)
-
-
-def _learn(batches: Iterator[pa.RecordBatch], cfg: Ftrl) -> Iterator[pa.RecordBatch]:
-    """One pass of updates over ordered rows; gives the weights, the bias last."""
-    size = 1 << cfg.bits
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
-    for batch in batches:
-        at = np.asarray(batch.column("number").offsets)
-        numbers, shares = np.asarray(batch.column("number").values), np.asarray(batch.column("share").values)
-        for i, label in enumerate(batch.column("label").to_pylist()):
-            f = np.append(numbers[at[i] : at[i + 1]], size)
-            x = np.append(shares[at[i] : at[i + 1]] * cfg.scale, 1.0)
-            w = weights(z[f], n[f], cfg)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
-            more = n[f] + g * g
-            z[f] += g - (np.sqrt(more) - np.sqrt(n[f])) / cfg.alpha * w
-            n[f] = more
-    yield pa.record_batch({"model": pa.array([weights(z, n, cfg).astype("<f4").tobytes()], pa.binary())})
+def features(data: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, number and share of each distinct n-gram."""
+    row, number, count = _grams(data, ends, bits)
+    row, number, repeats = summed(row, number, bits)
+    return row, number, repeats / np.maximum(count, 1)[row] * _SCALE
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", cfg: Ftrl = Ftrl()) -> np.ndarray:
-    """Weights learnt from labelled rows of (doc_id, text) that are not held out.
-
-    At most ``cfg.sample`` labelled rows count, those with the smallest seeded hash of their id.  The hashed features
-    are worked out where the texts lie; one task then passes over the bounded rows.
-    """
-    known = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.min(label).cast("double").alias("label"))
-    known = known.withColumn("place", F.xxhash64("doc_id", F.lit(cfg.seed)))
-    known = known.orderBy("place", "doc_id").limit(cfg.sample)
-    # At most cfg.sample rows of three numbers.
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("place", "label", "text")
-    rows = rows.mapInArrow(
-        lambda batches: _train_rows(batches, cfg), "place long, label double, number array<int>, share array<float>"
-    )
-    passes = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(cfg.epochs))))
-    ordered = passes.repartition(1).sortWithinPartitions("epoch", "place", "label")
-    model = ordered.drop("epoch").mapInArrow(lambda batches: _learn(batches, cfg), "model binary").collect()
-    return np.frombuffer(model[0].model, "<f4") if model else np.zeros((1 << cfg.bits) + 1, np.float32)
+    """Weights learnt from the labelled rows that are not held out."""
+    return learn.train(docs, labels, label, lambda data, ends: features(data, ends, cfg.bits), cfg)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: np.ndarray, cfg: Ftrl) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, ends = flat(batch.column("text"))
         scores = [np.zeros(0)]
         for a, b in slices(ends):
-            row, number, count = _features(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], cfg.bits)
-            dot = np.bincount(row, model[number], b - a) / np.maximum(count, 1) * cfg.scale + model[-1]
-            scores.append(1 / (1 + np.exp(-np.clip(dot, -35, 35))))
-        kept = [c for c in batch.schema.names if c != "text"]
-        out = {c: batch.column(c) for c in kept}
-        yield pa.record_batch({**out, "score": pa.array(np.concatenate(scores), pa.float64())})
+            row, number, count = _grams(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], bits)
+            dot = np.bincount(row, model[number], b - a) / np.maximum(count, 1) * _SCALE
+            scores.append(logistic(dot + model[-1]))
+        yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(np.concatenate(scores))})
 
 
 def score(docs: DataFrame, model: np.ndarray, cfg: Ftrl = Ftrl()) -> DataFrame:
     """``doc_id, score`` of each row of (doc_id, text); row-local."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        lambda batches: _score(batches, model, cfg), f"doc_id {kind}, score double"
+        lambda batches: _score(batches, model, cfg.bits), f"doc_id {kind}, score double"
     )
 
 
