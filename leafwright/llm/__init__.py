@@ -6,12 +6,13 @@ from leafwright.llm.packing import op10_packing
 from leafwright.llm.paragraphs import op9_paragraphs
 from leafwright.llm.phrases import op7_fingerprints
 from leafwright.llm.quality import op3_quality
+from leafwright.llm.repeats import op2_substrings
 from leafwright.llm.simhash import op5_simhash
 from leafwright.llm.topk import op4_top_k
 from leafwright.llm.toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op3_quality, op4_top_k, op5_simhash, op6_edit_counts, op7_fingerprints, op8_mixing, op9_paragraphs, op10_packing)
+    for f in (op1_toxicity, op2_substrings, op3_quality, op4_top_k, op5_simhash, op6_edit_counts, op7_fingerprints, op8_mixing, op9_paragraphs, op10_packing)
 }
 SQL: dict[str, str] = {}
