@@ -1,9 +1,10 @@
 """SimHash near-duplicates: a binary trie of fingerprints joined with itself under a Hamming budget.
 
 A fingerprint is one bit per bit of the hashes of a text's word shingles.  Two fingerprints that differ in at most
-``budget`` bits agree on at least one of ``budget + 1`` blocks of bits.  For each block the bits are turned so that it
-comes first: that is a trie whose walk of node pairs is pruned to equal nodes down to the depth of the block, so Spark
-can deal the subtrees out by the block's value.  Subtrees with many fingerprints go on by node pairs of further bits,
+``budget`` bits agree on at least ``blocks - budget`` of ``blocks`` blocks of bits.  For each choice of that many
+blocks the bits are turned so that these come first: that is a trie whose walk of node pairs is pruned to equal nodes
+down to the depth of the blocks, so Spark can deal the subtrees out by their value.  More blocks mean more tries with
+smaller subtrees.  Subtrees with many fingerprints go on by node pairs of further bits,
 again only pairs within the budget, until a task's part is small.  There the walk goes on pair by pair of nodes.
 
 Equal fingerprints are one trie leaf, so thousands of copies cost one.  Null and empty texts have the fingerprint zero
@@ -13,6 +14,7 @@ and link like any other.  Rows without an id take no part in naming a component,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -66,17 +68,12 @@ def fingerprints(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def _turned(fp: np.ndarray, by: np.ndarray) -> np.ndarray:
-    by = by.astype(np.uint64)
-    return fp << by | fp >> (np.uint64(BITS) - by) % np.uint64(BITS)
-
-
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
 def walk(
-    left: np.ndarray, right: np.ndarray | None, budget: int, leaf: int = 8
+    left: np.ndarray, right: np.ndarray | None, budget: int, leaf: int = 64
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of sorted distinct 64-bit values within ``budget`` differing bits.
 
@@ -91,7 +88,7 @@ def walk(
         a, b, c, d = todo.pop()
         if a == b or c == d:
             continue
-        if (b - a) * (d - c) <= leaf * leaf or (b - a == 1 and d - c <= 64 * leaf):
+        if (b - a) * (d - c) <= leaf * leaf or min(b - a, d - c) == 1:
             x, y = np.nonzero(_differing(left[a:b, None], right[None, c:d]) <= budget)
             x, y = x + a, y + c
             yield (x[x < y], y[x < y]) if same else (x, y)
@@ -131,24 +128,49 @@ def _forest(values: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]])
     return links[:, 0], links[:, 1]
 
 
-def links(distinct: DataFrame, budget: int = 2, part: int = 1024) -> DataFrame:
-    """Links ``fp_a, fp_b`` that join all distinct fingerprints ``fp`` within ``budget`` differing bits.
+def deal(distinct: DataFrame, budget: int, blocks: int, level: int) -> DataFrame:
+    """``turn, node, width, bits, fp``: each fingerprint under every choice of ``blocks - budget`` blocks of bits.
 
-    A trie is dealt out at the depth where a node of evenly spread fingerprints has about ``part`` of them, at most
-    at the depth of the block.  Of the pairs within a part only a spanning forest leaves it, so links never grow with
-    the square of a group.
+    ``bits`` is the fingerprint with the chosen blocks first, ``node`` its first ``width`` bits: at most ``level``,
+    and none beyond the chosen blocks.
     """
-    blocks = budget + 1
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-    level = max(0, (distinct.count() // part).bit_length())
-    turns = [F.struct(F.lit(t).alias("turn"), F.lit(min(w - t, level)).alias("width")) for t, w in zip(edges, edges[1:])]
-    turns = F.explode(F.array(*turns))
-    dealt = distinct.select("fp", turns.alias("_t")).select("fp", "_t.turn", "_t.width")
-    rest = BITS - F.col("turn")
-    turned = F.when(F.col("turn") == 0, F.col("fp")).otherwise(
-        F.expr("shiftleft(fp, turn)").bitwiseOR(F.expr("shiftrightunsigned(fp, 64 - turn)"))
-    )
-    dealt = dealt.withColumn("bits", turned).withColumn("node", F.expr("CASE WHEN width = 0 THEN 0L ELSE shiftrightunsigned(bits, 64 - width) END"))
+    spans = list(zip(edges, edges[1:]))
+    choices = list(combinations(range(blocks), blocks - budget))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = batch.column("fp").to_numpy().view(np.uint64)
+            parts = [fp << np.uint64(a) >> np.uint64(BITS - b + a) for a, b in spans]
+            for turn, chosen in enumerate(choices):
+                bits = np.zeros(len(fp), np.uint64)
+                for i in [*chosen, *(i for i in range(blocks) if i not in chosen)]:
+                    a, b = spans[i]
+                    bits = bits << np.uint64(b - a) | parts[i]
+                width = min(level, sum(spans[i][1] - spans[i][0] for i in chosen))
+                node = bits >> np.uint64(BITS - width) if width else np.zeros(len(fp), np.uint64)
+                yield pa.record_batch(
+                    {
+                        "turn": np.full(len(fp), turn, np.int32),
+                        "node": node.view(np.int64),
+                        "width": np.full(len(fp), width, np.int32),
+                        "bits": bits.view(np.int64),
+                        "fp": fp.view(np.int64),
+                    }
+                )
+
+    return distinct.select("fp").mapInArrow(run, "turn int, node long, width int, bits long, fp long")
+
+
+def links(distinct: DataFrame, budget: int = 2, blocks: int | None = None, part: int = 1024) -> DataFrame:
+    """Links ``fp_a, fp_b`` that join all distinct fingerprints ``fp`` within ``budget`` differing bits.
+
+    Tries are dealt out at the depth where a node of evenly spread fingerprints has about ``part`` of them, at most
+    at the depth of the chosen blocks.  Of the pairs within a part only a spanning forest leaves it, so links never
+    grow with the square of a group.
+    """
+    blocks = blocks or budget + 1
+    dealt = deal(distinct, budget, blocks, max(0, (distinct.count() // part).bit_length()))
     # Large subtrees: as many further bits as bring a node near the size of a part.
     large = dealt.groupBy("turn", "node").agg(F.count("*").alias("_n")).filter(F.col("_n") > 4 * part)
     depth = F.least(F.ceil(F.log2(F.col("_n") / part)).cast("int"), F.lit(12))
@@ -169,13 +191,12 @@ def links(distinct: DataFrame, budget: int = 2, part: int = 1024) -> DataFrame:
     dealt = dealt.withColumn("child", child).withColumn("flip", F.explode(flips))
     other = F.expr("child ^ flip")
     dealt = dealt.select(
-        "turn", "node", F.least("child", other).alias("one"), F.greatest("child", other).alias("two"), "child", "fp"
+        "turn", "node", F.least("child", other).alias("one"), F.greatest("child", other).alias("two"), "child", "bits", "fp"
     )
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        turn, _, one, two = key
-        fps = rows["fp"].to_numpy().view(np.uint64)
-        bits = _turned(fps, np.full(1, turn))
+        _, _, one, two = key
+        fps, bits = (rows[c].to_numpy().view(np.uint64) for c in ("fp", "bits"))
         order = np.argsort(bits)
         bits, fps, child = bits[order], fps[order], rows["child"].to_numpy()[order]
         if one == two:
@@ -189,14 +210,14 @@ def links(distinct: DataFrame, budget: int = 2, part: int = 1024) -> DataFrame:
     return dealt.groupBy("turn", "node", "one", "two").applyInPandas(run, "fp_a long, fp_b long")
 
 
-def near_classes(docs: DataFrame, n: int = 3, budget: int = 2) -> DataFrame:
+def near_classes(docs: DataFrame, n: int = 3, budget: int = 2, blocks: int | None = None) -> DataFrame:
     """``doc_id, fp, component_id`` of each row of (doc_id, text).
 
     ``component_id`` is the smallest id that can be reached over links, a row's own included.
     """
     rows = settle(fingerprints(docs, n), "simhash")
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    pairs = links(classes.select("fp"), budget)
+    pairs = links(classes.select("fp"), budget, blocks)
     names = classes.select(F.col("fp").alias("fp_a"), F.col("first").alias("a"))
     pairs = pairs.join(names, "fp_a").join(names.toDF("fp_b", "b"), "fp_b").select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
     found = components(pairs)
@@ -206,6 +227,22 @@ def near_classes(docs: DataFrame, n: int = 3, budget: int = 2) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, n: int = 5, budget: int = 8, blocks: int = 10) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row of the smallest id stays.
+
+    Of rows that repeat that id the one of the least text stays.  Rows without an id stay, as do empty texts.
+    """
+    kept = near_classes(docs.filter("doc_id IS NOT NULL AND trim(text) <> ''").select("doc_id", "text"), n, budget, blocks)
+    gone = kept.filter("component_id <> doc_id").select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = kept.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
+    # Repeats of an id are few; one row of each is picked, all other rows are not touched.
+    repeated = rest.join(again, "doc_id", "left_semi")
+    best = F.min_by(F.struct(*docs.columns), F.struct("text", "source", "lang")).alias("_row")
+    single = repeated.groupBy("doc_id").agg(best).select("_row.*")
+    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(single.select(docs.columns))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: ``doc_id, fingerprint, component_id``; 3-word shingles, links at 2 differing bits."""
     found = near_classes(read(spark, sf_dir, "documents", "doc_id", "text"), n=3, budget=2)

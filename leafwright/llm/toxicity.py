@@ -36,7 +36,7 @@ LOOKS = {
 # Channel costs, as negative logarithms of rough chances.
 _LOOK, _DROP, _BREAK, _ONCE, _TWICE, _MANY, _JOIN, _PART = 1.0, 3.0, 4.0, 0.4, 0.8, 2.0, 0.3, 2.5
 # Weight of the language model against the channel, and of the shorter context in it.
-_MODEL, _SHORT = 1.0, 4.0
+_MODEL, _SHORT = 0.3, 4.0
 
 # Character classes: 0 for all that is no letter, 1 to 26 for a to z, the others for bytes of other letters.
 _CLASSES = 27 + 32
@@ -156,10 +156,10 @@ def _spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     trace[:-1] = _SIGN[data[:-1]] & letter[1:] & ~edge[1:n]
     # Three equal letters; in two-byte letters every other byte.
     same = letter[:-2] & (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & (data[:-2] < 0x80)
-    trace[:-2] |= same
+    trace[:-2] |= same & ~edge[1 : n - 1] & ~edge[2:n]
     if n >= 6:
         wide = (data[:-5] >= 0xC3) & (data[:-5] < 0xE0) & (data[:-5] == data[2:-3]) & (data[2:-3] == data[4:-1])
-        trace[:-5] |= wide & (data[1:-4] == data[3:-2]) & (data[3:-2] == data[5:])
+        trace[:-5] |= wide & (data[1:-4] == data[3:-2]) & (data[3:-2] == data[5:]) & ~edge[2 : n - 3] & ~edge[4 : n - 1]
     starts_word = solid.copy()
     starts_word[1:] &= ~solid[:-1] | edge[1:n]
     word_start = np.flatnonzero(starts_word)
@@ -275,8 +275,11 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, cfg: Ftrl = TOX
 
 
 def score(docs: DataFrame, costs: np.ndarray, model: np.ndarray, cfg: Ftrl = TOXIC, *keep: str) -> DataFrame:
-    """``doc_id`` and the columns ``keep``, with ``score`` and ``changed`` (restored spans) of each row; row-local."""
-    columns = ["doc_id", *[c for c in keep if c not in ("doc_id", "text")]]
+    """``doc_id`` and the columns ``keep``, with ``score`` and ``changed`` (restored spans) of each row; row-local.
+
+    Columns of ``docs`` of these two names are not kept.
+    """
+    columns = ["doc_id", *[c for c in keep if c not in ("doc_id", "score", "changed")]]
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
     known = np.flatnonzero(model[:-1])
 
@@ -297,7 +300,8 @@ def score(docs: DataFrame, costs: np.ndarray, model: np.ndarray, cfg: Ftrl = TOX
             found = [pa.array(np.concatenate(scores)), pa.array(np.concatenate(changes))]
             yield pa.record_batch([*[batch.column(c) for c in columns], *found], [*columns, "score", "changed"])
 
-    return docs.select(*columns, "text").mapInArrow(run, ", ".join([*kinds, "score double", "changed long"]))
+    text = [] if "text" in columns else ["text"]
+    return docs.select(*columns, *text).mapInArrow(run, ", ".join([*kinds, "score double", "changed long"]))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

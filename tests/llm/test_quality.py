@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from leafwright.llm.quality import Ftrl, _features, op3_quality, score, train
+from leafwright.llm.quality import Ftrl, _grams, op3_quality, score, train
 from leafwright.llm.texts import flat, held_out, slices, span_hashes, words
 
 from .conftest import ODD
@@ -52,7 +52,7 @@ def test_held_out_is_crc32(spark):
 def test_features_do_not_depend_on_place():
     texts = ["The cat SAT!! on\x0bthe mat ÄÖ äö", "", " x ", None, "The cat SAT!! on\x0bthe mat ÄÖ äö"]
     data, ends = flat(pa.array(texts))
-    row, number, count = _features(data, ends, 18)
+    row, number, count = _grams(data, ends, 18)
     assert count.tolist() == [8, 0, 1, 0, 8]
     first, last = sorted(number[row == 0].tolist()), sorted(number[row == 4].tolist())
     assert first == last and len(first) == 2 * (8 + 7)

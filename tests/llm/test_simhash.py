@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from leafwright.llm.components import components
-from leafwright.llm.simhash import fingerprint, links, near_classes, op5_simhash, walk
+from leafwright.llm.simhash import fingerprint, links, near_classes, one_of_each, op5_simhash, walk
 
 from .conftest import ODD, SF
 
@@ -62,8 +62,8 @@ def test_walk(budget):
         assert got == {p for p in want if p[0] >= len(a) > p[1]}
 
 
-@pytest.mark.parametrize("part", [2, 8, 1024])
-def test_links_whole(spark, part):
+@pytest.mark.parametrize("part, blocks", [(2, 3), (8, 4), (1024, 5)])
+def test_links_whole(spark, part, blocks):
     """A dense cluster, split to parts of any size, loses no link between different fingerprints."""
     rng = random.Random(5)
     fps = {7}
@@ -73,7 +73,7 @@ def test_links_whole(spark, part):
     fps = sorted(fps)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
-    found = components(links(df, 2, part).toDF("a", "b"))
+    found = components(links(df, 2, blocks, part).toDF("a", "b"))
     got = {r.node: r.component for r in found.collect()}
     want = dict(zip(signed, classes(fps, signed)))
     assert {f: got.get(f, f) for f in signed} == want
@@ -95,3 +95,14 @@ def test_components(spark):
 
 def test_fingerprint_bytes():
     assert fingerprint(b"A b\x0bC\xc3\x84", 3) == plain("a b\vcÄ")
+
+
+def test_one_of_each(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = words[:150] + ["other"] + words[151:]
+    rows = [(3, " ".join(words)), (1, " ".join(near)), (2, "a b c d e f"), (2, "a b c d e f"), (5, None), (6, ""), (7, ""), (None, "x")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(str(r.doc_id) for r in one_of_each(df).collect())
+    assert got == ["1", "2", "5", "6", "7", "None"]
+    assert one_of_each(df).columns == df.columns
+    assert one_of_each(df.limit(0)).count() == 0
