@@ -34,7 +34,7 @@ LOOKS = {
 }
 
 # Channel costs, as negative logarithms of rough chances.
-_LOOK, _DROP, _BREAK, _ONCE, _TWICE, _MANY, _JOIN, _PART = 1.0, 3.0, 4.0, 0.4, 0.8, 2.0, 0.3, 2.5
+_LOOK, _DROP, _BREAK, _ONCE, _TWICE, _MANY, _JOIN, _PART = 1.0, 3.0, 4.0, 0.3, 1.2, 2.0, 0.3, 2.5
 # Weight of the language model against the channel, and of the shorter context in it.
 _MODEL, _SHORT = 0.3, 4.0
 
@@ -115,7 +115,7 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         elif n == 1:
             readings = [(c, 0.0)]
         elif n == 2:
-            readings = [(c * 2, 0.0), (c, _TWICE)]
+            readings = [(c * 2, 0.0), (c, _MANY)]
         else:
             readings = [(c * n, _MANY), (c, _ONCE), (c * 2, _TWICE)]
         out.append(readings)

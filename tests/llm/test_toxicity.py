@@ -36,7 +36,7 @@ def test_cheapest_path_by_brute_force(costs):
     """The decoded path is the cheapest of all paths through the lattice."""
     from itertools import product
 
-    from leafwright.llm.toxicity import _CLASS
+    from leafwright.llm.toxicity import _CLASS, _MODEL
 
     def price(path):
         a, b, total, text = 0, 0, 0.0, ""
@@ -46,7 +46,7 @@ def test_cheapest_path_by_brute_force(costs):
             for byte in reading.encode():
                 c = int(_CLASS[byte])
                 if c or b:
-                    total += float(costs[a, b, c])
+                    total += _MODEL * float(costs[a, b, c])
                     a, b = b, c
         return total, " ".join(text.split())
 
