@@ -114,21 +114,26 @@ class RunIndex:
         self.levels: list[tuple[int, np.ndarray]] = []
         width = 7
         while True:
-            order = np.argsort(key, kind="stable")
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.append(False, np.diff(key[order]) != 0))
+            order = np.argsort(key)
+            sorted_key = key[order]
+            rank = np.empty(n, np.uint32)
+            rank[order] = np.cumsum(np.append(False, sorted_key[1:] != sorted_key[:-1]), dtype=np.uint32)
             self.levels.append((width, rank))
-            if width > sizes.max(initial=0) or rank[order[-1]] == n - 1:
+            key = rank.astype(np.uint64) << np.uint64(32)
+            if rank[order[-1]] == n - 1:
                 break
-            second = np.zeros(n, np.int64)
-            second[: n - width] = np.where(left[: n - width] > width, rank[width:] + 1, 0)
-            key = (rank.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
+            if width > sizes.max(initial=0):
+                # Equal texts are told apart by their place.
+                order = np.argsort(key | np.arange(n, dtype=np.uint64))
+                break
+            key[: n - width] |= np.where(left[: n - width] > width, rank[width:] + np.uint32(1), 0).astype(np.uint64)
             width *= 2
         self.suffixes = order
         self.left, self.signs = left, signs
         # The transform, and where its runs begin; a text's start is a run of its own.
-        before = signs[order - 1]
-        before[np.isin(order, self.first)] = 0
+        opens = np.zeros(n, bool)
+        opens[self.first] = True
+        before = np.where(opens[order], np.uint64(0), signs[order - 1])
         starts = np.append(True, before[1:] != before[:-1]) | (before == 0)
         self.heads = before[starts]
         run = np.flatnonzero(starts)
@@ -180,6 +185,12 @@ def later_windows(texts: list[bytes], least: int) -> np.ndarray:
 
 def _marked(rows: pd.DataFrame, least: int) -> pd.DataFrame:
     rows = rows.sort_values(["doc_id", "start"], kind="stable")
+    # The windows of a copy of a whole stretch all start earlier in the first of its kind.
+    copy = rows["bytes"].duplicated()
+    copies, rows = rows[copy], rows[~copy]
+    whole = pd.DataFrame(
+        {"doc_id": copies["doc_id"], "start": copies["start"], "windows": copies["bytes"].map(len) - (least - 1)}
+    )
     texts = rows["bytes"].tolist()
     found = later_windows(texts, least)
     size = np.array([len(t) + 1 for t in texts])
@@ -190,7 +201,8 @@ def _marked(rows: pd.DataFrame, least: int) -> pd.DataFrame:
     owner, low = owner[start], found[start] - first[owner[start]]
     count = np.diff(np.append(start, len(found)))
     base = rows["start"].to_numpy()[owner]
-    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy()[owner], "start": base + low, "windows": count})
+    later = pd.DataFrame({"doc_id": rows["doc_id"].to_numpy()[owner], "start": base + low, "windows": count})
+    return pd.concat([whole, later])
 
 
 def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, least: int) -> DataFrame:
@@ -225,7 +237,7 @@ def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, least: int) -> DataFr
     return joined.mapInArrow(run, "shard long, doc_id long, start int, bytes binary")
 
 
-def repeated(docs: DataFrame, least: int = LEAST, shard_bytes: int = 2 << 20, hot: int = 20_000) -> DataFrame:
+def repeated(docs: DataFrame, least: int = LEAST, shard_bytes: int = 1 << 19, hot: int = 20_000) -> DataFrame:
     """``doc_id, start, windows``: runs of window starts whose window also starts earlier; ``windows`` -1 for whole texts."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL")
     docs = docs.filter(F.octet_length("text") >= least)
