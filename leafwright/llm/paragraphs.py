@@ -140,10 +140,15 @@ def _verified(batches: Iterator[pd.DataFrame], like: float) -> Iterator[pd.DataF
         yield rows.drop(columns=["grams_a", "grams_b"])
 
 
+def _in_band(band: int, grams: bytes) -> np.ndarray:
+    """Shingle hashes that agree only with those of the same band."""
+    return np.frombuffer(grams, np.uint64) ^ mixed(np.array([band], np.int64).view(np.uint64))
+
+
 def _block_links(rows: pd.DataFrame, like: float) -> pd.DataFrame:
-    """Links of one block: each row of the left side with every row of the right side that is like it."""
+    """Links of one block: each row of the left side with every row of the right side and its band that is like it."""
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-    sets = [np.frombuffer(g, np.uint64) for g in right["grams"]]
+    sets = [_in_band(b, g) for b, g in zip(right["band"], right["grams"])]
     found: list[tuple] = []
     if len(left) and sets:
         size = np.array([len(s) for s in sets])
@@ -151,8 +156,8 @@ def _block_links(rows: pd.DataFrame, like: float) -> pd.DataFrame:
         order = np.argsort(held)
         owner, held = owner[order], held[order]
         names = list(zip(right["doc_id"], right["line"]))
-        for doc_id, line, grams in zip(left["doc_id"], left["line"], left["grams"]):
-            mine = np.frombuffer(grams, np.uint64)
+        for band, doc_id, line, grams in zip(left["band"], left["doc_id"], left["line"], left["grams"]):
+            mine = _in_band(band, grams)
             a, b = np.searchsorted(held, mine), np.searchsorted(held, mine, "right")
             hits = np.concatenate([owner[i:j] for i, j in zip(a.tolist(), b.tolist())])
             common = np.bincount(hits, minlength=len(sets))
@@ -190,10 +195,14 @@ def links(docs: DataFrame, classes: DataFrame, like: float, n: int, least: int,
     bands = odd.select("band", "size").distinct().withColumn("parts", count).drop("size")
     right = met.join(bands, "band").filter("first <> head").withColumn("j", spot)
     right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    both = left.select("band", "i", "j", "first", F.lit(0).alias("side"))
-    both = both.unionByName(right.select("band", "i", "j", "first", F.lit(1).alias("side")))
-    both = both.join(named, "first").select("band", "i", "j", "side", "first.doc_id", "first.line", "grams")
-    cross = both.groupBy("band", "i", "j").applyInPandas(
+    both = left.select("band", "parts", "i", "j", "first", F.lit(0).alias("side"))
+    both = both.unionByName(right.select("band", "parts", "i", "j", "first", F.lit(1).alias("side")))
+    both = both.join(named, "first").select("band", "parts", "i", "j", "side", "first.doc_id", "first.line", "grams")
+    # Small bands share groups; a band that is cut to blocks has its own.
+    groups = max(1, met.count() // block)
+    shared = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("band"), F.lit(groups))).otherwise(F.col("band"))
+    both = both.withColumn("group", shared).drop("parts")
+    cross = both.groupBy("group", "i", "j").applyInPandas(
         lambda rows: _block_links(rows, like), "doc_a long, line_a int, doc_b long, line_b int"
     )
     node = lambda side: F.struct(F.col(f"doc_{side}").alias("doc_id"), F.col(f"line_{side}").alias("line"))
