@@ -141,9 +141,8 @@ def quote_regex(col: Column) -> Column:
 
 
 def percent_decode(col: Column) -> Column:
-    """Decode ``%xx``; ``+`` stays, a text with a bad escape stays as it is."""
-    decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return let(col, lambda c: F.when(c.contains("%"), F.coalesce(decoded(c), c)).otherwise(c))
+    """Decode each run of ``%xx``; ``+`` and bad escapes stay as they are."""
+    return replace_matches(col, r"(?:%[0-9A-Fa-f]{2})+", lambda m: F.coalesce(F.try_url_decode(m), m))
 
 
 def strip_markup(col: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.functions.text import pattern, pytrim
+from leafwright.functions.text import let, pattern, pytrim
 from leafwright.operators.groups import first_by, number_in_order
 
 # Sizes and limits of submission.
@@ -41,9 +41,13 @@ def valid_sitemaps(docs: DataFrame, strict: bool = True) -> DataFrame:
 
 def parse_sitemap(body: Column) -> Column:
     """Locations of a sitemap or sitemap index: array of ``loc, lastmod``; empty for bad XML."""
-    doc = F.from_xml(pytrim(body), F.lit(SITEMAP_SCHEMA))
     none = F.array().cast("array<struct<loc string, lastmod string>>")
-    return F.concat(F.coalesce(doc["sitemap"], none), F.coalesce(doc["url"], none))
+
+    def whole(doc: Column) -> Column:
+        found = F.concat(F.coalesce(doc["sitemap"], none), F.coalesce(doc["url"], none))
+        return F.when(doc["_corrupt_record"].isNull(), found).otherwise(none)
+
+    return let(F.from_xml(pytrim(body), F.lit(f"{SITEMAP_SCHEMA}, _corrupt_record string")), whole)
 
 
 def is_sitemap_index(body: Column) -> Column:

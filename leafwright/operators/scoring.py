@@ -87,9 +87,14 @@ def parse_model_answer(body: Column) -> Column:
         def texts(name: str) -> Column:
             return F.coalesce(F.try_variant_get(v, f"$.{name}", "array<string>"), none).alias(name)
 
+        def score(name: str) -> Column:
+            # Points are clamped later, so a number beyond the range of int may be cut to it.
+            n = F.coalesce(F.try_variant_get(v, f"$.{name}", "bigint"), F.lit(0))
+            return F.greatest(F.least(n, F.lit((1 << 31) - 1)), F.lit(-(1 << 31))).cast("int")
+
         known = F.try_variant_get(v, "$.recommendation", "string")
         fields = [
-            *[F.coalesce(F.try_variant_get(v, f"$.{n}", "int"), F.lit(0)).alias(n) for n in MODEL_SCORES],
+            *[score(n).alias(n) for n in MODEL_SCORES],
             F.coalesce(F.try_variant_get(v, "$.summary", "string"), F.lit("")).alias("summary"),
             texts("strengths"),
             texts("issues"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,15 +30,16 @@ def build_session(app: str = "leafwright", **settings: str) -> SparkSession:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``.  Only where that
-    is unset, as in tests, a local folder is made.
+    The cluster names the folder in ``spark.checkpoint.dir``.  Only in local
+    mode, as in tests, a local folder is made where that is unset; elsewhere
+    each executor would write to a disk of its own.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        held = spark.sparkContext.getCheckpointDir()
-        base = held or tempfile.mkdtemp(prefix="leafwright-")
-        if not held:
-            spark.sparkContext.setCheckpointDir(base)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="leafwright-")
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

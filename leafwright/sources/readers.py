@@ -125,9 +125,9 @@ def read_search_index(spark: SparkSession, path: str, families: Sequence[str]) -
 
 
 def read_query_rows(
-    spark: SparkSession, path: str, end_date: Column, days: int = 28, row_limit: int | None = 25000
+    spark: SparkSession, path: str, end_date: Column, days: int = 28, row_limit: int | None = None
 ) -> DataFrame:
-    """Search-query rows of the days before ``end_date``, at most ``row_limit`` as in one call."""
+    """Search-query rows of the days before ``end_date``; ``row_limit`` is how many one call of the service gives."""
     rows = spark.read.schema(QUERY_ROW_SCHEMA).json(path)
     rows = rows.filter(F.col("date").between(F.date_sub(end_date, days), end_date))
     return rows if row_limit is None else rows.limit(row_limit)

@@ -55,6 +55,7 @@ def test_percent_decode(values, texts):
 
 def test_percent_decode_keeps_a_bad_escape(values):
     assert values(["100% sure", "a+b", "%41"], tx.percent_decode) == ["100% sure", "a+b", "A"]
+    assert values(["100% of List%601", "%zz%C3%A9%", "%41%4"], tx.percent_decode) == ["100% of List`1", "%zzé%", "A%4"]
 
 
 @FEW
