@@ -104,7 +104,7 @@ def drop_first_line(col: Column) -> Column:
     return F.regexp_replace(normalise_lines(col), r"^[^\n]*\n?", "")
 
 
-def truncate_text(col: Column, limit: int = 4000, marker: str = "\n...[truncated]") -> Column:
+def truncate_text(col: Column, limit: int, marker: str = "\n...[truncated]") -> Column:
     """Cut a text to ``limit`` characters and say so."""
     return F.when(F.length(col) > limit, F.concat(F.substring(col, 1, limit), F.lit(marker))).otherwise(col)
 

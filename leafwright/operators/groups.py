@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafwright.session import settle
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order``.
@@ -32,31 +36,30 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> Dat
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def stable_bucket(item: Column, parts: Column) -> Column:
-    """Bucket of a text that any engine with md5 can work out again."""
-    return F.pmod(F.conv(F.substring(F.md5(item), 1, 8), 16, 10).cast("bigint"), parts)
-
-
-def split_large_groups(
-    df: DataFrame, keys: Sequence[str], item: str, size: int, part: str = "part"
+def split_in_order(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, part: str = "part"
 ) -> DataFrame:
-    """Add ``part``: 0 for groups of up to ``size`` rows, a hash bucket for larger ones.
-
-    Grouping by ``keys`` and ``part`` afterwards gives every row of every group,
-    yet no task gets a group much above ``size``.  Counts are combined before
-    the shuffle; the list of large groups is nearly always empty, and Spark
-    picks the join by its measured size.
+    """Add ``part``: the rows of each key in ``order``, ``size`` to a part, from 0.
+
+    Grouping by ``keys`` and ``part`` afterwards gives every row of every key,
+    yet no task gets a group above ``size``.  Rows are laid out by range of key
+    and order, so a hot key covers several tasks; each range tells how many
+    rows of its keys it holds, and running sums over these give the positions.
+    The layout is written once, so ranges cannot move between its two readers.
+    Parts are ranges of positions at every size; an empty ``keys`` is one key.
     """
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > size)
-        .select(*keys, F.ceil(F.col("_n") / size).cast("bigint").alias("_parts"))
-    )
-    bucket = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.coalesce(stable_bucket(F.col(item), F.col("_parts")), F.lit(0))
-    )
-    return df.join(large, list(keys), "left").withColumn(part, bucket.cast("bigint")).drop("_parts")
+    rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    laid = settle(rows.withColumn("_id", F.monotonically_increasing_id()), "in-order")
+    # The upper bits of the id name the range.
+    laid = laid.withColumn("_range", F.shiftright("_id", 33))
+    ranges = laid.groupBy(*keys, "_range").agg(F.min("_id").alias("_low"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")
+    named = {c: f"_of_{c}" for c in [*keys, "_range"]}
+    starts = ranges.select(*[F.col(c).alias(n) for c, n in named.items()], shift.alias("_shift"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in named.items()])
+    at = F.floor((F.col("_id") + F.col("_shift")) / size).cast("bigint")
+    return laid.join(starts, same).select(*df.columns, at.alias(part))
 
 
 def number_in_order(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.functions.pages import lang_from_url
-from leafwright.operators.groups import split_large_groups
+from leafwright.operators.groups import split_in_order
 
 # Path parts of listing pages.
 LISTING_PARTS = ("/tag/", "/categories/", "/archives/")
@@ -36,11 +36,11 @@ def in_range(df: DataFrame, end: Column, days: int = 28, date: str = "date") ->
 def keywords_by_page(rows: DataFrame, updated: Column, size: int = 25000, default_lang: str = "en") -> DataFrame:
     """``url, part, keywords, lang, last_updated``: distinct keywords of each page, sorted.
 
-    ``part`` is 0 except on pages with more than ``size`` keywords, which get
-    several rows.  Repeats are dropped before the pairs are shuffled.
+    A page has a row for each ``size`` keywords: ``part`` 0 holds the first ones
+    in sorted order, and so on.  Repeats are dropped before the pairs are shuffled.
     """
     pairs = drop_listing_pages(valid_query_rows(rows)).distinct()
-    parts = split_large_groups(pairs, ["page"], "query", size)
+    parts = split_in_order(pairs, ["page"], ["query"], size)
     return parts.groupBy("page", "part").agg(F.sort_array(F.collect_list("query")).alias("keywords")).select(
         F.col("page").alias("url"),
         "part",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leafwright.functions.text import let, title_case
 from leafwright.operators.checks import CheckDef
-from leafwright.operators.groups import split_large_groups
+from leafwright.operators.groups import split_in_order
 
 CHANGE_SET_KEYS = ("repo_url", "pr_number")
 
@@ -252,9 +252,9 @@ def merge_candidates(reviews: DataFrame, reviewer: str, auto_merge: bool = True)
 def merge_issues(
     files: DataFrame, keys: Sequence[str] = CHANGE_SET_KEYS, issues: str = "issues", size: int = 5000
 ) -> DataFrame:
-    """Distinct issues of each change set, sorted; sets with more than ``size`` get several parts."""
+    """Distinct issues of each change set, sorted, ``size`` to a part."""
     rows = files.select(*keys, F.explode(issues).alias("issue")).distinct()
-    parts = split_large_groups(rows, keys, "issue", size)
+    parts = split_in_order(rows, keys, ["issue"], size)
     return parts.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("issue")).alias("issues"))
 
 

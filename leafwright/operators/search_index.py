@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.operators.groups import split_large_groups
+from leafwright.operators.groups import split_in_order
 
 # Families of the search index, in merge order.
 SEARCH_FAMILIES = tuple(
@@ -44,9 +44,9 @@ def _entries(docs: DataFrame) -> DataFrame:
 def merge_search(docs: DataFrame, size: int = 10000) -> DataFrame:
     """``lang, page_path, part, data, other``: the merged index, a row per page.
 
-    A page with more than ``size`` keys goes on in further parts.
+    A page has a row for each ``size`` keys, in order of section and key.
     """
-    rows = split_large_groups(_entries(docs), ["lang", "page_path"], "key", size)
+    rows = split_in_order(_entries(docs), ["lang", "page_path"], ["section", "key"], size)
     entry = F.struct("key", "value")
 
     def section(name: str):

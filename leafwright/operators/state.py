@@ -7,6 +7,8 @@ the caller to write to a new path, never over the one being read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +21,14 @@ REVIEW_KEYS = ("repo_url", "pr_number")
 def upsert(state: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Put ``new`` rows in the place of ``state`` rows with the same keys.
 
-    Rows of ``new`` beat rows of ``state``; among new rows the last by ``order`` wins.
+    Rows of ``new`` beat rows of ``state``, which has one row per key; among new
+    rows the last by ``order`` wins.  Only new rows are grouped: the state is
+    filtered by their keys and, when these are few, does not move at all.
     """
-    rows = state.withColumn("_gen", F.lit(0)).unionByName(new.select(*state.columns).withColumn("_gen", F.lit(1)))
-    return last_by(rows, list(keys), ["_gen", *order]).select(*state.columns)
+    last = last_by(new.select(*state.columns), list(keys), list(order) or list(keys)).select(*state.columns)
+    fresh = last.select(*[F.col(c).alias(f"_new_{c}") for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in keys])
+    return state.join(fresh, same, "left_anti").unionByName(last)
 
 
 def save_reviews(state: DataFrame, new: DataFrame) -> DataFrame:

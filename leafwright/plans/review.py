@@ -14,9 +14,6 @@ from leafwright.operators.checks import DEFAULT_CHECKLIST, CheckDef, run_checks
 from leafwright.operators.words import CheckRules
 from leafwright.session import settle
 
-# Up to this many keys (a few megabytes) are sent to every scan task.
-FEW_CHANGE_SETS = 100_000
-
 
 @dataclass(frozen=True)
 class ReviewSettings:
@@ -82,12 +79,12 @@ def review(
 ) -> ReviewRun:
     """Review the open change sets that were not reviewed before.
 
-    Narrow change-set rows are filtered first (branch, state, files).  When few
-    sets are left, their keys go to the scan and only their files are checked.
-    When many are left, all files are checked where they are read and the
-    narrow results are joined: page contents are never shuffled.  Chosen sets
-    and file results are written to the work folder, so contents are read once
-    for decisions, comments, state and metrics together.
+    Narrow change-set rows are filtered first (branch, state, files), and only
+    files of the chosen sets are checked.  The chosen keys are a written table,
+    so Spark knows their size and sends them to the scan tasks below its
+    broadcast threshold; beyond it, contents are shuffled by key once.  File
+    results are written to the work folder, so contents are checked once for
+    decisions, comments, state and metrics together.
     """
     keys = list(scoring.CHANGE_SET_KEYS)
     selected = cs.select_change_sets(change_sets, settings.branch_prefix, settings.labels)
@@ -104,12 +101,8 @@ def review(
     n_chosen = chosen.count()
     if n_chosen == settings.max_reviews:
         selected, fresh = _reached(selected, chosen), _reached(fresh, chosen)
-    if n_chosen <= FEW_CHANGE_SETS:
-        markdown_chosen = markdown.join(F.broadcast(chosen_keys), keys, "left_semi")
-        reviewed = review_files(markdown_chosen, answers, answer_on, settings)
-    else:
-        reviewed = review_files(markdown, answers, answer_on, settings).join(chosen_keys, keys, "left_semi")
-    files = settle(reviewed, "files")
+    markdown_chosen = markdown.join(chosen_keys, keys, "left_semi")
+    files = settle(review_files(markdown_chosen, answers, answer_on, settings), "files")
     scores = scoring.change_set_scores(files, settings.checklist)
     decided = scoring.with_decision(scores, settings.approve, settings.request_changes, settings.label_prefix)
     reviews = chosen.join(decided, keys)

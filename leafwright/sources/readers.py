@@ -25,24 +25,6 @@ STATUS_VALUE = "map<string, struct<nuget:string, version:string, processed:strin
 QUERY_ROW_SCHEMA = "keys array<string>, date date"
 SITEMAP_SCHEMA = "subdomain string, sitemap_url string, status int, body string"
 
-# Inputs below the first size are spread, to tasks of the second.
-SMALL_INPUT = 1 << 30
-SPREAD_BYTES = 1 << 18
-
-
-def spread(df: DataFrame, key: str, small: int = SMALL_INPUT) -> DataFrame:
-    """Use all cores on a small table.
-
-    A small file often is one row group, so one task, however costly its rows
-    are.  Only tables below ``small`` bytes are shuffled; a large table has
-    splits enough and is left as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= small:
-        return df
-    parts = min(df.sparkSession.sparkContext.defaultParallelism, 1 + size // SPREAD_BYTES)
-    return df.repartition(parts, key)
-
 
 def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return (

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.operators.groups import stable_bucket
-from leafwright.session import settle
+from leafwright.operators.groups import split_in_order
 
 
 def write_pages(df: DataFrame, path: str, by: tuple[str, ...] = ("family",), mode: str = "overwrite") -> None:
@@ -39,15 +38,13 @@ def export_pages(df: DataFrame, folder: str) -> None:
 def updates_json(df: DataFrame, size: int = 10000) -> DataFrame:
     """Update list as a JSON array: ``part, value``.
 
-    There is one row, ``[]`` when nothing is to be updated; a list of more than
-    ``size`` updates goes on in further rows.
+    Each row holds ``size`` updates, in order of ``pos`` if there is one, else of
+    ``family``; there is one row, ``[]``, when nothing is to be updated.
     """
-    updates = settle(df, "updates")
-    parts = max(1, -(-updates.count() // size))
-    order = F.col("pos") if "pos" in df.columns else F.col("family")
-    entry = F.struct(order.alias("at"), F.struct("family", "nuget", "version").alias("u"))
-    bucket = stable_bucket(F.col("family"), F.lit(parts)).alias("part")
-    arrays = updates.groupBy(bucket).agg(F.array_sort(F.collect_list(entry)).alias("_u"))
+    order = "pos" if "pos" in df.columns else "family"
+    updates = split_in_order(df, [], [order], size)
+    entry = F.struct(F.col(order).alias("at"), F.struct("family", "nuget", "version").alias("u"))
+    arrays = updates.groupBy("part").agg(F.array_sort(F.collect_list(entry)).alias("_u"))
     listed = arrays.select("part", F.to_json(F.transform("_u", lambda x: x["u"])).alias("value"))
     none = updates.agg(F.count("*").alias("_n")).filter("_n = 0")
     return listed.unionByName(none.select(F.lit(0).cast("bigint").alias("part"), F.lit("[]").alias("value")))

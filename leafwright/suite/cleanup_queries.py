@@ -77,7 +77,7 @@ def page_output_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frontmatter made from page texts full of quotes and line ends."""
-    text = F.substring("content", 1, 200)
+    text = F.col("content")
     return pages(spark, sf_dir).select(
         "doc_id",
         cl.frontmatter_block(text, text, text, F.lit("Class"), F.lit("reference-single")).alias("block"),
@@ -194,7 +194,7 @@ QUERIES = {
     ),
     "page_frontmatter": (
         page_frontmatter,
-        f"""WITH s AS (SELECT doc_id, substr(content, 1, 200) AS t FROM ({fx.PAGE}) p), y AS (SELECT doc_id, {_YAML} AS v FROM s)
+        f"""WITH s AS (SELECT doc_id, content AS t FROM ({fx.PAGE}) p), y AS (SELECT doc_id, {_YAML} AS v FROM s)
         SELECT doc_id, {_lines("'---'", "'linkTitle: ' || chr(34) || v || chr(34)", "'title: ' || chr(34) || v || chr(34)",
         "'description: ' || chr(34) || v || chr(34)", "'summary: ' || chr(34) || v || chr(34)", "'categories:'", "'  - Class'",
         "'layout: ' || chr(34) || 'reference-single' || chr(34)", "'---'")} AS block FROM y""",

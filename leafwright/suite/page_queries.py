@@ -53,10 +53,11 @@ def one_check(check_id: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_check_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass counts of all checks by language, good pages told apart."""
     tables(spark, sf_dir, "labels")
-    df = pages(spark, sf_dir).join(spark.table("labels").select("doc_id", "quality"), "doc_id", "left")
     plain = [c for c in ALL_CHECKS if c.id != "body_unchanged"]
-    df = df.select("lang", F.coalesce("quality", F.lit(-1)).cast("bigint").alias("quality"), "content")
-    flags = add_check_columns(df, plain)
+    # Checks first: contents end where they are read, only flags are joined.
+    flags = add_check_columns(pages(spark, sf_dir).select("doc_id", "lang", "content"), plain).drop("content")
+    flags = flags.join(spark.table("labels").select("doc_id", "quality"), "doc_id", "left")
+    flags = flags.withColumn("quality", F.coalesce("quality", F.lit(-1)).cast("bigint"))
     return check_pass_rates(flags, plain, ["lang", "quality"])
 
 

@@ -19,6 +19,10 @@ def tuples(df, *cols):
     return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())
 
 
+def tuples_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
 # --- groups ------------------------------------------------------------------
 
 
@@ -28,15 +32,26 @@ def test_first_and_last_by(spark):
     assert tuples(groups.last_by(df, ["k"], ["o"]), "k", "v") == [("a", "y"), ("b", "z")]
 
 
-def test_large_groups_are_split_and_whole(spark):
+def test_groups_are_split_in_order_and_whole(spark):
     key = F.when(F.col("id") < 700, "hot").otherwise(F.concat(F.lit("cold"), F.col("id") % 30))
     df = spark.range(1000).select(key.alias("k"), F.col("id").cast("string").alias("v"))
-    out = groups.split_large_groups(df, ["k"], "v", 100)
-    sizes = {(r.k, r.part): r["count"] for r in out.groupBy("k", "part").count().collect()}
-    assert len([1 for k, _ in sizes if k == "hot"]) == 7
-    assert max(n for (k, _), n in sizes.items() if k == "hot") < 200
-    assert {p for k, p in sizes if k.startswith("cold")} <= {0}
-    assert tuples(out, "k", "v") == tuples(df, "k", "v")
+    want = {}
+    for k, v in tuples(df, "k", "v"):
+        want.setdefault(k, []).append(v)
+    for size in (100, 7, 1000):
+        got = {}
+        for k, part, v in tuples(groups.split_in_order(df, ["k"], ["v"], size), "k", "part", "v"):
+            got.setdefault((k, part), []).append(v)
+        assert got == {(k, i // size): vs[i : i + size] for k, vs in want.items() for i in range(0, len(vs), size)}
+
+
+def test_split_keeps_rows_without_a_key_or_an_item(spark):
+    df = spark.createDataFrame([(None, "a"), (None, None), ("k", None), ("k", "b"), ("k", "b")], "k string, v string")
+    out = groups.split_in_order(df, ["k"], ["v"], 2)
+    assert sorted(map(str, tuples_of(out))) == sorted(
+        map(str, [(None, None, 0), (None, "a", 0), ("k", None, 0), ("k", "b", 0), ("k", "b", 1)])
+    )
+    assert groups.split_in_order(df.limit(0), ["k"], ["v"], 2).count() == 0
 
 
 def test_numbers_follow_blocks(spark):
@@ -308,7 +323,9 @@ def test_keywords(spark):
 def test_hot_page_keywords_are_whole(spark):
     rows = spark.range(5000).select(F.array(F.lit("https://h/x"), F.col("id").cast("string")).alias("keys"))
     out = keywords_by_page(rows, F.current_date(), size=500).collect()
-    assert len(out) == 10 and max(len(r.keywords) for r in out) < 700
+    assert len(out) == 10 and {len(r.keywords) for r in out} == {500}
+    inorder = [k for r in sorted(out, key=lambda r: r.part) for k in r.keywords]
+    assert inorder == sorted(map(str, range(5000)))
     assert sorted(k for r in out for k in r.keywords) == sorted(map(str, range(5000)))
 
 
@@ -319,5 +336,6 @@ def test_updates_json(spark):
     assert [tuple(r) for r in updates_json(spark.createDataFrame([], schema)).collect()] == [(0, "[]")]
     some = spark.createDataFrame([(f"f{i}", "n", "1") for i in range(30)], schema)
     assert len(json.loads(updates_json(some).first().value)) == 30
-    parts = [json.loads(r.value) for r in updates_json(some, size=10).collect()]
-    assert len(parts) == 3 and sorted(u["family"] for p in parts for u in p) == sorted(f"f{i}" for i in range(30))
+    parts = [json.loads(r.value) for r in updates_json(some, size=10).orderBy("part").collect()]
+    assert [len(p) for p in parts] == [10] * 3
+    assert [u["family"] for p in parts for u in p] == sorted(f"f{i}" for i in range(30))

@@ -78,10 +78,14 @@ def decisions(run):
     return sorted(tuple(r) for r in run.reviews.select("pr_number", "total_score", "decision").collect())
 
 
-def test_few_and_many_change_sets_give_the_same(spark, monkeypatch):
-    few = decisions(_review(spark))
-    monkeypatch.setattr(review, "FEW_CHANGE_SETS", 0)
-    assert decisions(_review(spark)) == few and few
+def test_review_is_the_same_with_and_without_broadcast(spark):
+    sent = decisions(_review(spark))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert decisions(_review(spark)) == sent and sent
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_limit_counts_reviewable_sets_only(spark):
