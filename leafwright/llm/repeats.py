@@ -12,8 +12,9 @@ or before in the same one.  The job never compares documents with each other:
    hold the same window.  Of each set of equal windows, all but the first are marked.
 4. Marked windows are gathered by document, and their bytes cut out.
 
-Anchors with very many stretches are dealt out by window instead, each window by its own hash, so no shard grows with
-one anchor.  Null texts are empty.  Ids are those of documents: rows that repeat an id are one document, and are
+Anchors with very many stretches are dealt out by window instead, each window by its own hash and, as one window may be
+as common, by a salt of its place.  Salted groups mark their own repeats first; only the first window of each kind in
+a group goes on to the shard where all groups meet.  So no shard grows with one anchor or one window.  Null texts are empty.  Ids are those of documents: rows that repeat an id are one document, and are
 treated alike.  Rows without an id take no part and stay whole.  Texts under ``least`` bytes stay whole.
 """
 
@@ -205,8 +206,20 @@ def _marked(rows: pd.DataFrame, least: int) -> pd.DataFrame:
     return pd.concat([whole, later])
 
 
-def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, least: int) -> DataFrame:
-    """``shard, doc_id, start, bytes`` of the asked stretches (doc_id, held); those of hot anchors window by window."""
+def _first_round(rows: pd.DataFrame, least: int) -> pd.DataFrame:
+    """The marks of a group and, in a salted one, the first window of each kind, which has its ``bytes``."""
+    marks = _marked(rows, least).assign(shard=0, bytes=None)
+    if rows["salt"].iat[0] < 0:
+        return marks
+    firsts = rows.sort_values(["doc_id", "start"], kind="stable").drop_duplicates("bytes")
+    return pd.concat([marks, firsts.assign(windows=1)[list(marks.columns)]])
+
+
+def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, salts: int, least: int) -> DataFrame:
+    """``shard, salt, doc_id, start, bytes`` of the asked stretches (doc_id, held).
+
+    Those of hot anchors come window by window with one of ``salts`` salts, others as they are with salt -1.
+    """
     joined = docs.join(asked, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +227,8 @@ def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, least: int) -> DataFr
             out: list[tuple] = []
 
             def made() -> pa.RecordBatch:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                names = ("shard", "doc_id", "start", "bytes")
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+                names = ("shard", "salt", "doc_id", "start", "bytes")
                 return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
             for doc_id, text, held in zip(*(batch.column(c) for c in ("doc_id", "text", "held"))):
@@ -223,18 +236,19 @@ def _texts_of(docs: DataFrame, asked: DataFrame, hot: int, least: int) -> DataFr
                 for s in held.as_py():
                     a, n = s["start"], s["windows"]
                     if s["size"] <= hot:
-                        out.append((s["anchor"], doc_id, a, data[a : a + n + least - 1]))
+                        out.append((s["anchor"], -1, doc_id, a, data[a : a + n + least - 1]))
                     else:
+                        salt = xxhash.xxh64_intdigest(f"{doc_id} {a}") % salts
                         for i in range(a, a + n):
                             window = data[i : i + least]
-                            out.append((xxhash.xxh64_intdigest(window) >> 1, doc_id, i, window))
+                            out.append((xxhash.xxh64_intdigest(window) >> 1, salt, doc_id, i, window))
                     if len(out) >= 20_000:
                         yield made()
                         out = []
             if out:
                 yield made()
 
-    return joined.mapInArrow(run, "shard long, doc_id long, start int, bytes binary")
+    return joined.mapInArrow(run, "shard long, salt int, doc_id long, start int, bytes binary")
 
 
 def repeated(docs: DataFrame, least: int = LEAST, shard_bytes: int = 1 << 19, hot: int = 20_000) -> DataFrame:
@@ -252,16 +266,20 @@ def repeated(docs: DataFrame, least: int = LEAST, shard_bytes: int = 1 << 19, ho
     # Without the copies, fewer anchors occur twice.
     sizes = met.groupBy("anchor").agg(F.count("*").alias("size"), F.sum(F.col("windows") + (least - 1)).alias("bytes"))
     sizes = sizes.filter("size > 1")
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    total, most = sizes.agg(F.sum("bytes"), F.max("size")).first()
+    shards, salts = max(1, -(-(total or 0) // shard_bytes)), max(1, -(-(most or 0) // hot))
     asked = met.join(sizes.drop("bytes"), "anchor").groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "start", "windows", F.col("size").cast("int").alias("size"))).alias("held")
     )
-    texts = _texts_of(docs, asked, hot, least)
+    texts = _texts_of(docs, asked, hot, salts, least)
     texts = texts.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(shards)))
-    marked = texts.groupBy("shard").applyInPandas(
-        lambda rows: _marked(rows, least), "doc_id long, start int, windows int"
+    kinds = "doc_id long, start int, windows int"
+    first = texts.groupBy("shard", "salt").applyInPandas(
+        lambda rows: _first_round(rows, least), f"{kinds}, shard long, bytes binary"
     )
+    first = settle(first, "marks")
+    later = first.filter("bytes IS NOT NULL").groupBy("shard").applyInPandas(lambda rows: _marked(rows, least), kinds)
+    marked = first.filter("bytes IS NULL").select("doc_id", "start", "windows").unionByName(later)
     whole = copies.select("doc_id", F.lit(0).alias("start"), F.lit(-1).alias("windows"))
     return marked.unionByName(whole)
 
