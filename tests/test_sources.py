@@ -133,10 +133,3 @@ def test_changed_files_and_permissive(spark, tmp_path):
     parsed = spark.createDataFrame([("1",), (None,)], "p string")
     good, bad = rd.permissive(parsed, "p")
     assert good.count() == 1 and bad.first().errors == 1
-
-
-def test_spread_leaves_large_tables(spark):
-    df = spark.range(10_000_000).select("id", F.col("id").alias("x"))
-    assert rd.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert rd.spread(spark.range(10), "id").rdd.getNumPartitions() == 1
-    assert rd.spread(df, "id", small=1) is df
