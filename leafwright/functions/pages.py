@@ -52,9 +52,9 @@ def description_line(raw: Column) -> Column:
     return pytrim(single_line(raw))
 
 
-def summary_line(raw: Column, full_entities: bool = False) -> Column:
+def summary_line(raw: Column) -> Column:
     """A raw description on one line as plain text."""
-    return pytrim(single_line(html_to_text(raw, full_entities)))
+    return pytrim(single_line(html_to_text(raw)))
 
 
 def page_description(content: Column) -> Column:
@@ -62,9 +62,9 @@ def page_description(content: Column) -> Column:
     return description_line(raw_description(content))
 
 
-def page_summary(content: Column, full_entities: bool = False) -> Column:
+def page_summary(content: Column) -> Column:
     """The description of a page on one line as plain text."""
-    return summary_line(raw_description(content), full_entities)
+    return summary_line(raw_description(content))
 
 
 def page_category(title: Column) -> Column:

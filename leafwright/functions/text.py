@@ -9,8 +9,8 @@ write plain patterns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,17 +27,6 @@ WHITESPACE = "".join(
 LINE_BREAK_CHAR = r"[\n\x0B\x0C\r\x1C-\x1E\x85\x{2028}\x{2029}]"
 LINE_BREAK = r"\r\n|" + LINE_BREAK_CHAR
 
-# Markup entities that are always decoded, ``&amp;`` last.
-BASIC_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&amp;", "&"),
-)
-
 
 def pattern(regex: str, flags: str = "") -> str:
     """Add the Java flags that give ``regex`` Unicode classes and ``\\n`` line ends.
@@ -153,25 +142,58 @@ def strip_markup(col: Column) -> Column:
     return F.regexp_replace(no_blocks, r"<[A-Za-z/!?][^>]*+>", "")
 
 
-def _unescape_all(col: Column) -> Column:
-    # Nested, so that it travels to executors that do not have this package.
-    def unescape(texts: pd.Series) -> pd.Series:
-        import html
+# What code points 128 to 159 stand for in numbered entities, by the rule of browsers: Windows-1252 where it has a sign.
+_WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160))
+_CUT = "\x01"
+
+
+def _named(names: dict[str, str]) -> Column:
+    """A map literal; Spark folds it once for each plan."""
+    return F.map_from_arrays(F.split(F.lit(_CUT.join(names)), _CUT), F.split(F.lit(_CUT.join(names.values())), _CUT))
+
+
+def decode_entities(col: Column) -> Column:
+    """Decode markup entities, named and numbered, with or without the closing semicolon, as browsers do."""
+    known = _named(html5)
+    # Names that need no semicolon also count in front of other letters; the longest goes first.
+    open_names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    head = f"^({'|'.join(open_names)})"
+
+    def numbered(body: Column) -> Column:
+        hexadecimal = body.rlike("^#[xX]")
+        digits = F.regexp_extract(body, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+        short = F.concat(F.lit("0"), F.substring(digits, 1, 8))
+        number = F.when(hexadecimal, F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10)).cast("bigint")
 
-        return texts.map(html.unescape, na_action="ignore")
+        def sign(n: Column) -> Column:
+            low = n.between(1, 8) | n.between(14, 31) | n.isin(11, 127)
+            none = low | n.between(0xFDD0, 0xFDEF) | (n % 65536).isin(0xFFFE, 0xFFFF)
+            plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+            wrong = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF) | (F.length(digits) > 8)
+            return (
+                F.when(wrong, "\ufffd")
+                .when(n.between(128, 159), F.substring(F.lit(_WINDOWS), (n - 127).cast("int"), F.lit(1)))
+                .when(none, "")
+                .otherwise(plain)
+            )
 
-    return F.pandas_udf(unescape, "string")(col)
+        return let(number, sign)
 
+    def decoded(match: Column) -> Column:
+        body = F.substring(match, 2, 1 << 30)
+        start = F.regexp_extract(body, head, 1)
+        rest = F.substring(body, F.length(start) + 1, F.lit(1 << 30))
+        return (
+            F.when(body.startswith("#"), numbered(body))
+            .when(F.map_contains_key(known, body), F.try_element_at(known, body))
+            .when(start != "", F.concat(F.try_element_at(known, start), rest))
+            .otherwise(match)
+        )
 
-def decode_entities(col: Column, full: bool = False) -> Column:
-    """Decode markup entities: the common ones on the JVM, or all with ``full``."""
-    if full:
-        return _unescape_all(col)
-    for name, char in BASIC_ENTITIES:
-        col = F.replace(col, F.lit(name), F.lit(char))
-    return col
+    entity = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+    return replace_matches(col, entity, decoded)
 
 
-def html_to_text(col: Column, full_entities: bool = False) -> Column:
+def html_to_text(col: Column) -> Column:
     """Plain text of markup."""
-    return decode_entities(strip_markup(col), full_entities)
+    return decode_entities(strip_markup(col))

@@ -53,13 +53,14 @@ LAYOUT_HOME, LAYOUT_SINGLE = "reference-home", "reference-single"
 
 
 def replace_xref(content: Column) -> Column:
-    """Put the decoded target in the place of each ``<xref href="..">``."""
-    tag = pattern(r"<xref\b[^>]*>(?:[^<]*</xref\s*>)?", "i")
-    href = pattern(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')""", "i")
+    """Put the decoded target in the place of each ``<xref href="..">`` and all it holds.
+
+    The element ends before the next ``<xref`` if it is not closed till then; then only its tag goes.
+    """
+    tag = pattern(r"<xref\b[^>]*>(?:[^<]*+(?:<(?!/?xref\b)[^<]*+)*+</xref\s*>)?", "i")
+    href = pattern(r"""^<xref\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", "i")
     return replace_matches(
-        content,
-        tag,
-        lambda m: percent_decode(F.concat(F.regexp_extract(m, href, 1), F.regexp_extract(m, href, 2))),
+        content, tag, lambda m: percent_decode(F.concat(*[F.regexp_extract(m, href, i) for i in (1, 2, 3)]))
     )
 
 
@@ -70,7 +71,8 @@ def rewrite_links(content: Column, family_name: Column, family: Column) -> Colum
     )
     home = F.concat(F.lit("Namespace: ["), family_name, F.lit("](/"), family, F.lit("/)"))
     content = replace_matches(content, own, lambda m: home)
-    link = pattern(r"\[([^\]]+)\]\((?!https?://)([^)]+\.md)\)")
+    # From the last bracket before the target: earlier ones that never close cost nothing and stay as they are.
+    link = pattern(r"\[([^\[\]]+)\]\((?!https?://)([^)]+\.md)\)")
 
     def moved(m: Column) -> Column:
         text, target = F.regexp_extract(m, link, 1), F.lower(F.regexp_extract(m, link, 2))
@@ -164,14 +166,14 @@ def format_examples(content: Column, example_text_first: bool = False) -> Column
     return F.regexp_replace(content, pattern(r"\[(?:Visual Basic|VB\.NET)\]\s*"), "")
 
 
-def clean_yaml(col: Column, escape_single: bool = True, full_entities: bool = False) -> Column:
+def clean_yaml(col: Column, escape_single: bool = True) -> Column:
     """Text that can stand between double quotes in YAML.
 
     A single quote is escaped too as shipped, though YAML does not allow it
     there; ``escape_single=False`` leaves it.
     """
     plain = lambda t: F.when(
-        t.contains("<") & t.contains(">"), html_to_text(t, full_entities)
+        t.contains("<") & t.contains(">"), html_to_text(t)
     ).otherwise(t)
     text = let(percent_decode(F.coalesce(col, F.lit(""))), plain)
     text = pytrim(F.regexp_replace(text, pattern(r"^```[a-zA-Z0-9]+\s*"), ""))
@@ -226,7 +228,7 @@ def set_layout(content: Column, layout: str) -> Column:
     )
 
 
-def page_meta(df: DataFrame, content: str = "content", full_entities: bool = False) -> DataFrame:
+def page_meta(df: DataFrame, content: str = "content") -> DataFrame:
     """Add ``title``, ``description``, ``summary`` and ``category`` of raw pages."""
     read = df.select(
         "*", page_title(F.col(content)).alias("title"), raw_description(F.col(content)).alias("_raw")
@@ -235,7 +237,7 @@ def page_meta(df: DataFrame, content: str = "content", full_entities: bool = Fal
         *df.columns,
         "title",
         description_line(F.col("_raw")).alias("description"),
-        summary_line(F.col("_raw"), full_entities).alias("summary"),
+        summary_line(F.col("_raw")).alias("summary"),
         page_category(F.col("title")).alias("category"),
     )
 
@@ -247,7 +249,6 @@ def clean_pages(
     escape_single: bool = True,
     example_text_first: bool = False,
     idempotent_version: bool = False,
-    full_entities: bool = False,
 ) -> DataFrame:
     """Clean raw pages: ``family_name, version, name, content`` to ``family, name, content``.
 
@@ -256,7 +257,7 @@ def clean_pages(
     """
     family_name, version, name = F.col("family_name"), F.col("version"), F.col("name")
     family = F.col("_family")
-    out = page_meta(df, "content", full_entities).withColumn("_family", family_slug(family_name, prefix))
+    out = page_meta(df, "content").withColumn("_family", family_slug(family_name, prefix))
 
     def with_tables(text: Column) -> Column:
         tables = text

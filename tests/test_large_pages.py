@@ -14,6 +14,9 @@ SHAPES = {
     "words": "word " * (4 * N),
     "lines": "a b c\n" * N,
     "brackets": "[1,2]," * N + " [a](b.md)",
+    "open brackets": "[" * (4 * N),
+    "open xrefs": '<xref href="a"><b>' * N,
+    "entities": "&copy;&#8212;" * N,
     "links": "[a](b.md) " * N,
     "rows": "|a|b|\n" * N,
     "tags": "<pre>x</pre>" * N,

@@ -1,6 +1,7 @@
 """Text helpers against what Python does with the same text."""
 
 import html
+import html.entities
 import re
 import string
 from urllib.parse import unquote
@@ -67,8 +68,10 @@ def test_replace_matches_is_a_substitution(values, texts):
 
 def test_entities(values):
     texts = ["a &lt;b&gt; &amp;lt; &quot;x&#39;", "&eacute;&hellip;", None]
-    assert values(texts, lambda c: tx.decode_entities(c, full=True)) == [html.unescape(t) if t else t for t in texts]
-    assert values(texts[:1], tx.decode_entities) == [html.unescape(texts[0])]
+    texts += ["&copy; &mdash;&#8212;&#x2014; &notit; &notin; &amp;copy; &bogus; & &; &#0;&#128;&#129;&#xD800;&#1114112;",
+              "&#99999999999;&#xffffffffffffffffff;&#65;&#x41z &#1;&#xFFFE;&#13;| &NewLine;&Tab;&hearts;&fjlig; &ampx &ltt"]
+    texts += [" ".join(f"&{name}" for name in html.entities.html5), "".join(f"&#{n};" for n in range(1, 300))]
+    assert values(texts, tx.decode_entities) == [html.unescape(t) if t else t for t in texts]
 
 
 def test_html_to_text(values):
