@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafwright.operators import catalog as cat
 from leafwright.operators.cleanup import clean_pages
+from leafwright.session import settle
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ def pages_to_publish(
     raw: DataFrame, published: DataFrame, prefix: str = "Acme.", home_names: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Clean pages with ``path`` and ``change``; unchanged ones are left out."""
-    clean = clean_pages(raw, prefix, home_names).withColumn("path", F.concat_ws("/", "family", "name"))
-    change = cat.changed_pages(clean, published)
-    return clean.join(change.filter("change <> 'unchanged'"), "path")
+    # Cleaned once; then only hashes meet the published pages, and the paths that changed meet the written pages.
+    clean = settle(clean_pages(raw, prefix, home_names).withColumn("path", F.concat_ws("/", "family", "name")), "clean")
+    change = settle(cat.changed_pages(clean, published).filter("change <> 'unchanged'"), "changed")
+    return clean.join(change, "path")

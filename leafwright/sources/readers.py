@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.operators.checks import CheckDef
+from leafwright.operators.frontier import explode_batches
 
 REVIEW_STATE_SCHEMA = (
     "repo_url string, pr_number int, product string, decision string, score int,"
@@ -21,6 +22,10 @@ CHANGED_FILE_SCHEMA = (
     "repo_url string, pr_number int, file_ord int, path string, status string, patch string,"
     " additions int, deletions int, content string"
 )
+STATUS_SCHEMA = "family string, nuget string, version string, processed date"
+LEDGER_SCHEMA = "url string, processed_at timestamp"
+BATCH_SCHEMA = "subdomain string, batch_no bigint, urls array<string>"
+SEARCH_SCHEMA = "page_path string, part bigint, data map<string,string>, other map<string,string>, lang string"
 STATUS_VALUE = "map<string, struct<nuget:string, version:string, processed:string>>"
 QUERY_ROW_SCHEMA = "keys array<string>, date date"
 SITEMAP_SCHEMA = "subdomain string, sitemap_url string, status int, body string"
@@ -59,11 +64,10 @@ def read_status(spark: SparkSession, path: str, strict: bool = False) -> DataFra
 
     A missing or damaged file gives an empty table; ``strict`` makes it an error.
     """
-    schema = "family string, nuget string, version string, processed date"
     if not _exists(spark, path):
         if strict:
             raise FileNotFoundError(path)
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], STATUS_SCHEMA)
     text = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", STATUS_VALUE)
     if strict:
@@ -72,11 +76,16 @@ def read_status(spark: SparkSession, path: str, strict: bool = False) -> DataFra
     return rows.select("family", "s.nuget", "s.version", F.try_to_date("s.processed", "yyyy-MM-dd").alias("processed"))
 
 
-def read_version_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Version feeds, one JSON file per package named after it: ``nuget, versions``."""
+def read_version_feed(spark: SparkSession, path: str, glob: str = "*.json", by_folder: bool = False) -> DataFrame:
+    """Version feeds, one JSON file per package named after it: ``nuget, versions``.
+
+    With ``by_folder`` the folder ``nuget=..`` names the package, as in files that Spark wrote.
+    """
+    folder = F.try_url_decode(F.regexp_extract("file_path", r"/nuget=([^/]+)/[^/]+$", 1))
+    named = F.try_url_decode(folder) if by_folder else F.regexp_replace("name", r"\.json$", "")
     parsed = F.from_json("value", "versions array<string>")
-    return _whole_files(spark, path, "*.json").select(
-        F.lower(F.regexp_replace("name", r"\.json$", "")).alias("nuget"),
+    return _whole_files(spark, path, glob).select(
+        F.lower(named).alias("nuget"),
         F.coalesce(parsed["versions"], F.array().cast("array<string>")).alias("versions"),
     )
 
@@ -122,9 +131,8 @@ def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Processed URLs: ``url, processed_at``; a missing file gives an empty table."""
-    schema = "url string, processed_at timestamp"
     if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], LEDGER_SCHEMA)
     text = spark.read.text(path, wholetext=True)
     rows = text.select(F.explode(F.from_json("value", "map<string, string>")).alias("url", "t"))
     return rows.select("url", F.try_to_timestamp("t").alias("processed_at"))
@@ -176,11 +184,36 @@ def read_filter_rules(path: str) -> list[tuple[str, str]]:
     return [(action, rule["uidRegex"]) for item in data.get("apiRules", []) for action, rule in item.items()]
 
 
+def _table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """A written table; a missing one is an empty one."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_status_table(spark: SparkSession, path: str) -> DataFrame:
+    """Package status as ``write_status`` leaves it."""
+    return _table(spark, path, STATUS_SCHEMA)
+
+
+def read_ledger_table(spark: SparkSession, path: str) -> DataFrame:
+    """Processed URLs as ``write_ledger`` leaves them."""
+    return _table(spark, path, LEDGER_SCHEMA)
+
+
+def read_batch_table(spark: SparkSession, path: str) -> DataFrame:
+    """URL batches as ``write_batches`` leaves them: ``subdomain, batch_no, pos, url``."""
+    return explode_batches(_table(spark, path, BATCH_SCHEMA, "json"))
+
+
+def read_search_table(spark: SparkSession, path: str) -> DataFrame:
+    """Search index as ``write_search_index`` leaves it: ``lang, page_path, part, data, other``."""
+    return _table(spark, path, SEARCH_SCHEMA, "json").select("lang", "page_path", "part", "data", "other")
+
+
 def read_review_state(spark: SparkSession, path: str) -> DataFrame:
     """Saved reviews; a missing table is an empty one."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], REVIEW_STATE_SCHEMA)
-    return spark.read.schema(REVIEW_STATE_SCHEMA).parquet(path)
+    return _table(spark, path, REVIEW_STATE_SCHEMA)
 
 
 def read_changed_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -79,3 +79,13 @@ def append_metrics(df: DataFrame, path: str) -> None:
 def write_review_state(df: DataFrame, path: str) -> None:
     """Write the new state table; an existing path is an error, so the table being read is never lost."""
     df.write.mode("errorifexists").parquet(path)
+
+
+def write_status(df: DataFrame, path: str) -> None:
+    """Write the new status table; as with the review state, to a path of its own."""
+    df.select("family", "nuget", "version", "processed").write.mode("errorifexists").parquet(path)
+
+
+def write_ledger(df: DataFrame, path: str) -> None:
+    """Write the new table of processed URLs; as with the review state, to a path of its own."""
+    df.select("url", "processed_at").write.mode("errorifexists").parquet(path)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from leafwright.functions.pages import family_slug
 from leafwright.operators import cleanup as cl
 from leafwright.operators import frontier as fr
-from leafwright.operators.catalog import version_updates
+from leafwright.operators.catalog import apply_updates, version_updates
 from leafwright.operators.keywords import keywords_by_page
 from leafwright.operators.search_index import merge_search
+from leafwright.operators.state import mark_processed
 from leafwright.session import work_path
 from leafwright.sources import readers as rd
 from leafwright.sources import sinks as sk
@@ -65,11 +66,10 @@ def sink_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search index written by language and read back."""
     path = work_path(spark, "search")
     sk.write_search_index(merge_search(search_docs(spark, sf_dir)), path)
-    schema = "page_path string, part bigint, data map<string,string>, other map<string,string>, lang string"
     text = lambda m: F.array_join(
         F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";"
     )
-    back = spark.read.schema(schema).json(path)
+    back = rd.read_search_table(spark, path)
     return back.select("lang", "page_path", "part", text("data").alias("data"), text("other").alias("other"))
 
 
@@ -83,6 +83,47 @@ def sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("urls", F.array_join("urls", " "))
 
 
+def source_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of written batches, in order."""
+    path = work_path(spark, "batches")
+    docs, sites, ledger, time = site_queries._site(spark, sf_dir)
+    sk.write_batches(
+        site_queries.site.url_batches(docs, sites, ledger, time, size=site_queries.BATCH, families=site_queries.FAMILIES), path
+    )
+    rows = rd.read_batch_table(spark, path)
+    whole = rows.groupBy("subdomain", "batch_no").agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("u"))
+    return whole.select("subdomain", "batch_no", F.array_join(F.col("u.url"), " ").alias("urls"))
+
+
+def sink_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed URLs written, read as the ledger of the next run, and written again after it."""
+    first, second = work_path(spark, "ledger"), work_path(spark, "ledger")
+    sk.write_ledger(fixture(spark, sf_dir, "ledger"), first)
+    ledger = rd.read_ledger_table(spark, first)
+    sk.write_ledger(mark_processed(ledger, site_queries._outcomes(spark, sf_dir), now()), second)
+    return rd.read_ledger_table(spark, second).select(
+        "url", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at")
+    )
+
+
+def sink_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status table written after an update and read back."""
+    path = work_path(spark, "status")
+    status = fixture(spark, sf_dir, "package_status")
+    sk.write_status(apply_updates(status, version_updates(status, feeds(spark, sf_dir))), path)
+    return catalog_queries._text(rd.read_status_table(spark, path))
+
+
+def source_version_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version feeds landed as a JSON file per package."""
+    path = work_path(spark, "feeds")
+    # Spark names its own files, so the folder of a package names it.
+    landed = feeds(spark, sf_dir).select("nuget", F.to_json(F.struct("versions")).alias("value"))
+    landed.repartition("nuget").write.partitionBy("nuget").text(path)
+    rows = rd.read_version_feed(spark, path, glob="*.txt", by_folder=True)
+    return rows.select("nuget", F.array_join("versions", " ").alias("versions"))
+
+
 def sink_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean pages written by family and read back."""
     path = work_path(spark, "pages")
@@ -141,6 +182,13 @@ QUERIES = {
     "sink_keywords": (sink_keywords, site_queries.QUERIES["keywords_by_page"][1]),
     "sink_search_index": (sink_search_index, site_queries.QUERIES["search_merge"][1]),
     "sink_batches": (sink_batches, site_queries.QUERIES["url_batches"][1]),
+    "source_batches": (source_batches, site_queries.QUERIES["url_batches"][1]),
+    "sink_ledger": (sink_ledger, site_queries.QUERIES["ledger_upsert"][1]),
+    "sink_status": (sink_status, catalog_queries.QUERIES["status_after_updates"][1]),
+    "source_version_feed": (
+        source_version_feed,
+        f"SELECT lower(nuget) AS nuget, concat_ws(' ', v1, v2) AS versions FROM ({fx.VERSION_FEED}) f",
+    ),
     "sink_pages": (sink_pages, cleanup_queries.QUERIES["page_clean"][1]),
     "sink_updates": (sink_updates, catalog_queries.QUERIES["version_updates"][1]),
     "sink_review_state": (

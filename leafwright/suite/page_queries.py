@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -322,12 +323,18 @@ wd AS (SELECT doc_id, [CASE WHEN regexp_full_match(s, '\\|.+\\|') THEN length(s)
 SELECT doc_id, coalesce(list_bool_and([coalesce(ws[i] = ws[i + 1], true) for i in range(1, len(ws))]), true) AS passed FROM wd
 """
 
+# The named entities of HTML 4, the ampersand last, with or without its semicolon.
+_ENTITIES = reduce(
+    lambda sql, name: f"replace({sql}, '&{name};', chr({name2codepoint[name]}))",
+    [name for name in name2codepoint if name != "amp"],
+    "replace(replace(t, '&#39;', ''''), '&apos;', '''')",
+)
+
 HTML_TEXT = r"""
 WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g') AS t FROM pages),
 b AS (SELECT page_id, regexp_replace(t, '<[A-Za-z/!?][^>]*>', '', 'g') AS t FROM a)
-SELECT page_id, replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-       '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&') AS text FROM b
-"""
+SELECT page_id, {ENTITIES} AS text FROM b
+""".replace("{ENTITIES}", f"regexp_replace({_ENTITIES}, '&amp;?', '&', 'g')")
 
 AI_NORMALISED = f"""
 WITH a AS ({fx.AI_RESPONSE}),
