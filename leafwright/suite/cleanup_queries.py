@@ -109,11 +109,20 @@ def _lines(*parts: str) -> str:
 
 _CODE_ONE = "'<pre><code class=\"lang-csharp\">[C#] one(' || CAST(p_size AS VARCHAR) || ');</code></pre>'"
 _CODE_TWO = f"'<pre><code class=\"lang-csharp\">a' || {NL} || 'b</code></pre>'"
+_OPEN = '<pre><code class="lang-csharp">'
+# Examples, code in two languages, stray markers: as shipped, text in an example keeps its tags.
+_MARKERS = (
+    f"replace(replace(replace(replace(replace({{c}}, '<example>{_OPEN}e1</code></pre></example>', "
+    f"{NL} || '```csharp' || {NL} || 'e1' || {NL} || '```'), "
+    f"'{_OPEN}[C#] c1' || {NL} || '[Visual Basic] v1</code></pre>', "
+    f"{NL} || '```csharp' || {NL} || 'c1' || {NL} || '```' || {NL} || '```vb' || {NL} || 'v1' || {NL} || '```'), "
+    f"'<pre>a</attachedfile>b</pre>', '<pre>ab</pre>'), 'x [VB.NET] y', 'x y'), '{_OPEN}t1</code></pre>', '`t1`')"
+)
 _EXAMPLES = (
-    "replace(replace({c}, " + _CODE_ONE + ", '`one(' || CAST(p_size AS VARCHAR) || ');`'), " + _CODE_TWO + ", "
+    "replace(replace(" + _MARKERS + ", " + _CODE_ONE + ", '`one(' || CAST(p_size AS VARCHAR) || ');`'), " + _CODE_TWO + ", "
     f"{NL} || '```csharp' || {NL} || 'a' || {NL} || 'b' || {NL} || '```')"
 )
-_XREF = "replace({c}, '<xref href=\"Sys.T%601\"></xref>', 'Sys.T`1')"
+_XREF = "replace({c}, '<xref href=\"Sys.T%601\"><b>t</b> &copy;</xref>', 'Sys.T`1')"
 _OWN = "replace({c}, '[Acme.' || " + _B + " || '](Acme.' || " + _B + " || '.md)', '[Acme.' || " + _B + " || '](/' || fam || '/)')"
 _DEEP = "replace({c}, '](X/' || p_brand || '.md)', '](/' || fam || '/x/' || lower(p_brand) || ')')"
 _PLAIN = (

@@ -250,7 +250,8 @@ SELECT path, CASE WHEN doc_id % 6 = 1 THEN content || 'old' ELSE content END AS
 FROM ({PAGE}) pg WHERE doc_id % 4 <> 0
 """
 
-# Raw generated pages: every seventh is the home page of its family.
+# Raw generated pages: every seventh is the home page of its family.  A block in two languages never follows another
+# C# block here: the rule for it, as shipped, starts at the first such block of a page (tests/test_cleanup.py).
 RAW_PAGE = """
 SELECT p_partkey, 'Acme.' || replace(p_brand, '#', '') AS family_name, '25.' || CAST(p_partkey % 12 AS STRING) AS version,
        CASE WHEN p_partkey % 7 = 0 THEN 'Acme.' || replace(p_brand, '#', '') ELSE 'P' || CAST(p_partkey AS STRING) END || '.md' AS name,
@@ -261,7 +262,15 @@ SELECT p_partkey, 'Acme.' || replace(p_brand, '#', '') AS family_name, '25.' ||
        'A ' || p_name || ' <b>kind</b>' || chr(10) || 'of part.' || chr(10) || chr(10) || '```csharp' || chr(10) || 'x' || chr(10) || '```' || chr(10) ||
        CASE WHEN p_partkey % 3 = 0 THEN '<pre><code class="lang-csharp">[C#] one(' || CAST(p_size AS STRING) || ');</code></pre>' || chr(10) ELSE '' END ||
        CASE WHEN p_partkey % 3 = 1 THEN '<pre><code class="lang-csharp">a' || chr(10) || 'b</code></pre>' || chr(10) ELSE '' END ||
-       CASE WHEN p_partkey % 5 = 0 THEN 'See <xref href="Sys.T%601"></xref> here.' || chr(10) ELSE '' END ||
+       CASE p_partkey % 11
+            WHEN 1 THEN '<example><pre><code class="lang-csharp">e1</code></pre></example>' || chr(10)
+            WHEN 2 THEN CASE WHEN p_partkey % 3 = 0 THEN '' ELSE
+              '<pre><code class="lang-csharp">[C#] c1' || chr(10) || '[Visual Basic] v1</code></pre>' || chr(10) END
+            WHEN 3 THEN '<pre>a</attachedfile>b</pre>' || chr(10)
+            WHEN 4 THEN 'x [VB.NET] y' || chr(10)
+            WHEN 5 THEN '<example>Text <pre><code class="lang-csharp">t1</code></pre></example>' || chr(10)
+            ELSE '' END ||
+       CASE WHEN p_partkey % 5 = 0 THEN 'See <xref href="Sys.T%601"><b>t</b> &copy;</xref> here.' || chr(10) ELSE '' END ||
        CASE WHEN p_partkey % 6 = 0 THEN 'Go to [L](X/' || p_brand || '.md) or [M](https://a/b.md).' || chr(10) ELSE '' END ||
        chr(10) || '## Classes' || chr(10) || chr(10) || '[A](Acme.A.md)' || chr(10) || chr(10) || 'First thing.' || chr(10) || chr(10) ||
        '[B' || CAST(p_partkey AS STRING) || '](B.md)' || chr(10) || chr(10) || '### Namespaces' || chr(10) || chr(10) || '[N](Acme.N.md)' || chr(10)

@@ -144,3 +144,18 @@ def test_whole_page(spark):
         "```\nx\n```\n\n## Enums\n\n| Enum Name | Description |\n| --- | --- |\n| [E](/words/e/) |  |\n"
     )
     assert "reference-single" in other.content and "[E](/words/e)" in other.content
+
+
+def test_two_languages_start_at_the_first_block(values):
+    """As shipped: the rule runs on from an earlier C# block to the next one with Visual Basic."""
+    one, two = f"{cl.CODE_OPEN}[C#] a{cl.CODE_CLOSE}", f"{cl.CODE_OPEN}[C#] b [Visual Basic] c{cl.CODE_CLOSE}"
+    got = values([f"{one} {two}"], cl.format_examples)[0]
+    assert got == f"\n```csharp\na{cl.CODE_CLOSE} {cl.CODE_OPEN}[C#] b\n```\n```vb\nc\n```"
+
+
+def test_xref_with_markup(values):
+    texts = [
+        'a <xref href="T%601"><b>t</b></xref> z', "<xref href=x%60>y</xref>", "<xref data-href='n' href='y'/>",
+        '<xref href="a"><b>open <xref href="b">in</xref>',
+    ]
+    assert values(texts, cl.replace_xref) == ["a T`1 z", "x`", "y", "a<b>open b"]
