@@ -5,7 +5,8 @@ or before in the same one.  The job never compares documents with each other:
 
 1. Each window of ``least`` bytes has an anchor, the k-gram of least hash in it; equal windows have equal anchors.
    Windows in a row with the same anchor form one stretch of text.
-2. Only anchors that occur twice can hold a repeat.  Whole copies of a document are settled by their hash before.
+2. Only anchors that occur twice, or stretches that have their anchor twice in a window, as text of a short period
+   does, can hold a repeat.  Whole copies of a document are settled by their hash before.
 3. The stretches of an anchor meet in one shard.  A shard builds the run-compressed Burrows-Wheeler transform of its
    stretches and keeps suffix-array samples at the ends of the runs.  From the samples alone, one stream in text
    order gives each position its neighbour in suffix order and the length of their match; where it is long, both
@@ -39,15 +40,20 @@ _PLACES = np.uint64(127)
 
 
 def _anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Row, anchor hash, first window start (in the row) and number of windows of each stretch of the flat texts."""
+    """Row, anchor hash, first window start (in the row), number of windows and ``own`` of each stretch of the flat texts.
+
+    ``own`` tells that windows of the stretch can be equal: of two that are ``d`` apart, the first holds the anchor
+    also ``d`` before its place.
+    """
     reach = least - _GRAM + 1
     total = len(data) - least + 1
     none = np.zeros(0, np.int64)
     if total <= 0:
-        return none, none, none, none
+        return none, none, none, none, none.astype(bool)
     at = np.arange(len(data) - _GRAM + 1)
     # The low bits name the place, so that the least value also tells where it is.
     key = (span_hashes(data, at, at + _GRAM) & ~_PLACES) | (at.astype(np.uint64) & _PLACES)
+    grams = key
     width = 1
     while width * 2 <= reach:
         key = np.minimum(key[:-width], key[width:])
@@ -60,14 +66,16 @@ def _anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray
     inside = start + least <= ends[row + 1]
     start, place, row, key = start[inside], place[inside], row[inside], key[inside]
     if not len(start):
-        return none, none, none, none
+        return none, none, none, none, none.astype(bool)
     first = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(row) != 0) | (np.diff(start) != 1)))
     count = np.diff(np.append(first, len(start)))
-    return row[first], (key[first] >> np.uint64(7)).astype(np.int64), start[first] - ends[row[first]], count
+    apart = start - np.repeat(start[first], count)
+    own = np.logical_or.reduceat((apart > 0) & ((grams[place - apart] ^ key) <= _PLACES), first)
+    return row[first], (key[first] >> np.uint64(7)).astype(np.int64), start[first] - ends[row[first]], count, own
 
 
 def stretches(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``anchor, doc_id, start, windows`` of all stretches of rows (doc_id, text)."""
+    """``anchor, doc_id, start, windows, own`` of all stretches of rows (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,18 +86,19 @@ def stretches(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 for low in range(0, max(1, int(ends[b] - ends[a])) if b == a + 1 else 1, SLICE_BYTES):
                     high = ends[b] if b > a + 1 else min(ends[b], ends[a] + low + SLICE_BYTES + least - 1)
                     at = np.minimum(ends[a : b + 1] - ends[a], high - ends[a] - low) if b == a + 1 else ends[a : b + 1] - ends[a]
-                    row, anchor, start, count = _anchors(data[ends[a] + low : high], at, least)
+                    row, anchor, start, count, own = _anchors(data[ends[a] + low : high], at, least)
                     yield pa.record_batch(
                         {
                             "anchor": anchor,
                             "doc_id": ids[a:b][row].astype(np.int64),
                             "start": (start + low).astype(np.int32),
                             "windows": count.astype(np.int32),
+                            "own": own,
                         }
                     )
 
     kept = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    return kept.mapInArrow(run, "anchor long, doc_id long, start int, windows int")
+    return kept.mapInArrow(run, "anchor long, doc_id long, start int, windows int, own boolean")
 
 
 class RunIndex:
@@ -261,11 +270,14 @@ def repeated(docs: DataFrame, least: int = LEAST, shard_bytes: int = 1 << 19, ho
     copies = hashes.join(firsts, "sha").filter("doc_id <> first").select("doc_id").distinct()
     copies = settle(copies, "copies")
     found = stretches(docs, least)
-    twice = found.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
+    twice = found.groupBy("anchor").agg(F.count("*").alias("_n"), F.max("own").alias("_own"))
+    twice = twice.filter("_n > 1 OR _own").select("anchor")
     met = settle(found.join(twice, "anchor").join(copies, "doc_id", "left_anti"), "stretches")
     # Without the copies, fewer anchors occur twice.
-    sizes = met.groupBy("anchor").agg(F.count("*").alias("size"), F.sum(F.col("windows") + (least - 1)).alias("bytes"))
-    sizes = sizes.filter("size > 1")
+    sizes = met.groupBy("anchor").agg(
+        F.count("*").alias("size"), F.sum(F.col("windows") + (least - 1)).alias("bytes"), F.max("own").alias("_own")
+    )
+    sizes = sizes.filter("size > 1 OR _own").drop("_own")
     total, most = sizes.agg(F.sum("bytes"), F.max("size")).first()
     shards, salts = max(1, -(-(total or 0) // shard_bytes)), max(1, -(-(most or 0) // hot))
     asked = met.join(sizes.drop("bytes"), "anchor").groupBy("doc_id").agg(
