@@ -35,6 +35,9 @@ LOOKS = {
 
 # Channel costs, as negative logarithms of rough chances.
 _LOOK, _DROP, _BREAK, _ONCE, _TWICE, _MANY, _JOIN, _PART = 1.0, 3.0, 4.0, 0.3, 1.2, 2.0, 0.3, 2.5
+# A look-alike after the last letter may be meant as it is: marks, and three equal signs, more often than digits and
+# currency signs.
+_MARK, _PLAIN, _MARKS = 0.5, 2.5, "!|+*"
 # Weight of the language model against the channel, and of the shorter context in it.
 _MODEL, _SHORT = 0.3, 4.0
 
@@ -49,6 +52,7 @@ _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[ord("A") : ord("Z") + 1] += 32
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS if ord(c) < 128]] = True
+_WIDE = [c.encode() for c in LOOKS if ord(c) >= 128]
 _BETWEEN = " .-_*"
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in _BETWEEN]] = True
@@ -100,20 +104,29 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 def lattice(span: str) -> list[list[tuple[str, float]]]:
     """Readings of each run of equal signs of a span in small letters, with their channel costs."""
-    spaced = re.fullmatch(r"\S(?:[%s]\S)+" % re.escape(_BETWEEN), span) is not None
+    spaced = re.fullmatch(r"\S(?:[%s]{1,2}\S)+" % re.escape(_BETWEEN), span) is not None
+    doubled = re.fullmatch(r"\W*?(?:(\S)\1+){3,}\W*", span) is not None
+    last = max((i for i, c in enumerate(span) if c.isalpha()), default=-1)
     out = []
     for run in re.finditer(r"(.)\1*", span, re.S):
         c, n = run.group(1), len(run.group())
         if c in LOOKS and not (spaced and c in _BETWEEN):
-            readings = [(x, _LOOK) for x in LOOKS[c]] + [("", _DROP), (" ", _BREAK)]
+            once, twice = (_LOOK + _DROP, _LOOK) if n == 2 and not doubled else (_LOOK, _LOOK + _TWICE)
+            # Digits and currency signs are dropped or kept sign by sign.
+            signs = 1 if c in _MARKS else min(n, 2)
+            readings = [(x, once) for x in LOOKS[c]] + [("", _DROP * signs), (" ", _BREAK * signs)]
             if n > 1:
-                readings += [(x + x, _LOOK + _TWICE) for x in LOOKS[c]]
+                readings += [(x + x, twice) for x in LOOKS[c]]
+            if run.start() > last and not spaced:
+                readings.append((run.group(), _MARK if c in _MARKS or n > 2 else _PLAIN * signs))
         elif spaced and c in _BETWEEN:
             readings = [("", _JOIN), (" ", _PART)]
         elif not c.isalpha():
-            readings = [(" ", 0.0)]
+            readings = [(run.group(), 0.0)]
         elif n == 1:
             readings = [(c, 0.0)]
+        elif doubled and n == 2:
+            readings = [(c, _ONCE), (c * 2, _TWICE)]
         elif n == 2:
             readings = [(c * 2, 0.0), (c, _MANY)]
         else:
@@ -130,7 +143,9 @@ def decode(span: str, costs: np.ndarray) -> str:
         for (a, b), (cost, text) in best.items():
             for reading, price in readings:
                 p, q, total = a, b, cost + price
-                for byte in reading.encode():
+                # Signs of several bytes are no letters.
+                signs = not reading.isascii() and not any(x.isalpha() for x in reading)
+                for byte in b" " if signs else reading.encode():
                     c = int(_CLASS[byte])
                     if c or q:
                         total += _MODEL * float(costs[p, q, c])
@@ -147,19 +162,31 @@ def _spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     solid = ~SPACES[data]
-    letter = _LETTER[data]
+    look = _SIGN[data]
+    for sign in _WIDE:
+        at = np.flatnonzero(data == sign[0])
+        at = at[at + len(sign) <= n]
+        for i, byte in enumerate(sign):
+            at = at[data[at + i] == byte]
+        for i in range(len(sign)):
+            look[at + i] = True
+    letter = _LETTER[data] & ~look
     edge = np.zeros(n + 1, bool)
     edge[ends[1:-1]] = True
     edge[0] = edge[n] = True
-    # A look-alike before a letter, or after a letter and before another look-alike or the word's end.
+    # A look-alike before or after a letter.
     trace = np.zeros(n, bool)
-    trace[:-1] = _SIGN[data[:-1]] & letter[1:] & ~edge[1:n]
+    trace[:-1] = look[:-1] & letter[1:] & ~edge[1:n]
+    trace[1:] |= look[1:] & letter[:-1] & ~edge[1:n]
     # Three equal letters; in two-byte letters every other byte.
     same = letter[:-2] & (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & (data[:-2] < 0x80)
     trace[:-2] |= same & ~edge[1 : n - 1] & ~edge[2:n]
     if n >= 6:
         wide = (data[:-5] >= 0xC3) & (data[:-5] < 0xE0) & (data[:-5] == data[2:-3]) & (data[2:-3] == data[4:-1])
         trace[:-5] |= wide & (data[1:-4] == data[3:-2]) & (data[3:-2] == data[5:]) & ~edge[2 : n - 3] & ~edge[4 : n - 1]
+        # Three doubled letters in a row.
+        pair = letter[:-1] & (data[:-1] == data[1:]) & (data[:-1] < 0x80) & ~edge[1:n]
+        trace[:-5] |= pair[:-4] & pair[2:-2] & pair[4:] & ~edge[2 : n - 3] & ~edge[4 : n - 1]
     starts_word = solid.copy()
     starts_word[1:] &= ~solid[:-1] | edge[1:n]
     word_start = np.flatnonzero(starts_word)
@@ -167,7 +194,8 @@ def _spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends_word[:-1] &= ~solid[1:] | edge[1:n]
     word_stop = np.flatnonzero(ends_word) + 1
     at = np.unique(np.searchsorted(word_start, np.flatnonzero(trace & solid), "right") - 1)
-    # Runs of at least four single letters or look-alikes with one separator between each two.
+    # Runs of at least four single letters or look-alikes with one or two separators between each two, three if no space
+    # is among these.
     single = letter & (data < 0x80) | _SIGN[data]
     alone = np.zeros(n, bool)
     alone[1:-1] = single[1:-1] & _BREAKS[data[:-2]] & _BREAKS[data[2:]]
@@ -178,9 +206,14 @@ def _spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     run = np.flatnonzero(alone & letter | alone & _SIGN[data])
     run = run[~_BREAKS[data[run]]]
     if len(run):
-        cut = np.flatnonzero(np.append(True, (np.diff(run) != 2) | edge[run[1:]] | edge[run[1:] - 1]))
+        step = np.diff(run)
+        apart = (step > 3) | edge[run[1:]] | edge[run[1:] - 1] | (step == 3) & edge[run[1:] - 2]
+        cut = np.flatnonzero(np.append(True, apart))
         length = np.diff(np.append(cut, len(run)))
-        keep = length >= 4
+        begin, end = run[cut], run[cut + length - 1]
+        signs = np.append(0, np.cumsum(letter)), np.append(0, np.cumsum(SPACES[data]))
+        letters, blanks = (x[end + 1] - x[begin] for x in signs)
+        keep = (length >= 4) & ((end - begin == 2 * (length - 1)) | (letters > 1)) | (length == 3) & (letters > 1) & (blanks == 0)
         spaced = np.stack([run[cut[keep]], run[cut[keep] + length[keep] - 1] + 1], 1)
     else:
         spaced = np.zeros((0, 2), np.int64)

@@ -65,6 +65,23 @@ def test_restore(spark, odd, none, costs):
     assert restore(odd, costs).count() == len(ODD) and restore(none, costs).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text, plain",
+    [("an idio7, so", "an idiot, so"), ("garbag3", "garbage"), ("useles5", "useless"), ("idio+", "idiot"), ("a55 a$$", "ass ass"),
+     ("a £oser los€r", "a loser loser"), ("an i  d  i  o  t", "an idiot"), ("i. d. i. o. t", "idiot"), ("l--o--s--e--r", "loser"),
+     ("so a.s.s", "so ass"), ("a-s-s", "ass"), ("iiddiioott ssttuuppiidd", "idiot stupid"), ("STUP1D!!", "stupid!!")],
+)
+def test_restore_of_each_shape(spark, costs, text, plain):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert restore(df, costs).first().restored == plain
+
+
+def test_clean_noise_stays(spark, costs):
+    text = "THE!! OF!! that*** with*** DE!! this*** AND!! is! the$$$ 5€ £20 12€, at 3.5 for 2024 - 10, 1 - 2, (the!!), from***."
+    got = restore(spark.createDataFrame([(1, text)], "doc_id long, text string"), costs).first()
+    assert (got.restored, got.changed) == (text.lower(), 0)
+
+
 def test_disguised_insults_are_found(spark, costs):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
