@@ -1,5 +1,8 @@
 """Operators on large text corpora for training data, their queries and their SQL."""
 
+from leafwright.llm import centroids
+from leafwright.llm.centroids import op11_centroids
+from leafwright.llm.dialogues import op12_dialogue_repair
 from leafwright.llm.edits import op6_edit_counts
 from leafwright.llm.mixing import op8_mixing
 from leafwright.llm.packing import op10_packing
@@ -13,6 +16,9 @@ from leafwright.llm.toxicity import op1_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_substrings, op3_quality, op4_top_k, op5_simhash, op6_edit_counts, op7_fingerprints, op8_mixing, op9_paragraphs, op10_packing)
+    for f in (
+        op1_toxicity, op2_substrings, op3_quality, op4_top_k, op5_simhash, op6_edit_counts, op7_fingerprints,
+        op8_mixing, op9_paragraphs, op10_packing, op11_centroids, op12_dialogue_repair,
+    )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_centroids": centroids.SQL}
