@@ -6,7 +6,9 @@ share of each length, then the longest that fit while much is left, then an exac
 few thousand words.  Which documents of a length are taken is a matter of their seeded hash.
 
 Null texts have size 0; documents of size 0 are in every whole round and add nothing.  A null source is a source of
-its own, the last.  Repeated rows are rows of their own; equal ids are told apart by their order only.
+its own, the last.  Repeated rows are rows of their own; equal ids are told apart by their text, and rows equal in both by
+their order only, which makes no difference.  Of documents of a length those of the least hash are taken.  Texts of any
+length are counted whole, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafwright.llm.texts import read
+from leafwright.llm.texts import packed, read
 from leafwright.session import settle
 
 SEED = 11
@@ -102,46 +104,45 @@ def _plans(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rounds = int(target // total) if total else 1
     budget = max(0, round(target) - rounds * total)
     more = fill(size, n, budget)
-    return pd.DataFrame({"_key": rows["key"], "_size": size, "_rounds": rounds, "_more": more})
+    return pd.DataFrame({"key": rows["key"], "size": size, "rounds": rounds, "more": more})
 
 
 def mix(docs: DataFrame, size: Column, most: int = MOST, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 to ``most``) added.
 
     ``docs`` needs doc_id and source.  Its rows are shuffled once, to rank those of one source, size and hash range;
-    all else is worked out on counts.  Columns of ``docs`` of the names added are replaced.
+    all else is worked out on counts.  The hash is that of the id and, where there is one, the text, so rows without an
+    id are spread too.  Columns of ``docs`` of the names added are replaced, others stay, whatever their names.
     """
     added = ["size", "source_size", "target", "copies"]
-    ties = [F.xxhash64(c) for c in ("doc_id", "text") if c in docs.columns]
-    rows = docs.withColumn("_size", size).drop(*added)
+    own = [F.col(c) for c in ("doc_id", "text") if c in docs.columns]
     # A source as a text that is never null, so that it can be joined on.
     name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    rows = rows.withColumn("_key", name).withColumn("_hash", F.xxhash64("doc_id", F.lit(seed)))
-    rows = rows.withColumn("_range", F.shiftrightunsigned("_hash", 56))
-    at = ["_key", "_size", "_range"]
-    blocks = settle(rows.groupBy(*at).agg(F.count("*").alias("_n")), "mix-counts")
-    counts = blocks.groupBy("_key", "_size").agg(F.sum("_n").alias("n"))
-    sources = counts.groupBy("_key").agg(F.sum(F.col("_size") * F.col("n")).alias("source_size"))
-    source = F.when(F.col("_key") != "", F.substr("_key", F.lit(2)))
-    aims = targets(sources.withColumn("source", source), most).withColumn("_key", name).drop("source")
-    held = counts.filter("_size > 0").join(aims, "_key")
-    held = held.select(F.col("_key").alias("key"), F.col("_size").alias("size"), "n", "source_size", "target")
-    plans = held.groupBy("key").applyInPandas(_plans, "_key string, _size long, _rounds int, _more long")
-    before = Window.partitionBy("_key", "_size").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    blocks = blocks.join(plans, ["_key", "_size"], "left").join(aims, "_key")
-    ranked = Window.partitionBy(*at).orderBy("_hash", "doc_id", *ties)
-    out = rows.withColumn("_rank", F.row_number().over(ranked)).join(blocks, at)
-    copies = F.when(F.col("_size") == 0, F.lit(1)).otherwise(
-        F.col("_rounds") + (F.col("_start") + F.col("_rank") <= F.col("_more")).cast("int")
+    rows = docs.select(packed(docs).alias("row"), name.alias("key"), size.alias("size"), F.xxhash64(*own, F.lit(seed)).alias("hash"))
+    rows = rows.withColumn("range", F.shiftrightunsigned("hash", 56))
+    at = ["key", "size", "range"]
+    blocks = settle(rows.groupBy(*at).agg(F.count("*").alias("n")), "mix-counts")
+    counts = blocks.groupBy("key", "size").agg(F.sum("n").alias("n"))
+    sources = counts.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    source = F.when(F.col("key") != "", F.substr("key", F.lit(2)))
+    aims = targets(sources.withColumn("source", source), most).withColumn("key", name).drop("source")
+    held = counts.filter("size > 0").join(aims, "key").select("key", "size", "n", "source_size", "target")
+    plans = held.groupBy("key").applyInPandas(_plans, "key string, size long, rounds int, more long")
+    before = Window.partitionBy("key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    blocks = blocks.join(plans, ["key", "size"], "left").join(aims, "key")
+    ranked = Window.partitionBy(*at).orderBy("hash", "row.doc_id")
+    out = rows.withColumn("rank", F.row_number().over(ranked)).join(blocks, at)
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(
+        F.col("rounds") + (F.col("start") + F.col("rank") <= F.col("more")).cast("int")
     )
     out = out.withColumn("copies", copies.cast("int"))
-    return out.select(*[c for c in docs.columns if c not in added], F.col("_size").alias("size"), *added[1:])
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: ``doc_id, size, source_size, target, taken``."""
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
-    sized = settle(docs.select("doc_id", "source", size_of(F.col("text")).alias("words")), "sizes")
+    sized = settle(docs.select("doc_id", "source", size_of(F.col("text")).alias("words"), F.xxhash64("text").alias("text")), "sizes")
     mixed = mix(sized, F.col("words"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
