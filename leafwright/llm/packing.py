@@ -6,8 +6,10 @@ the two partitions with the largest difference between their fullest and empties
 one with empty ones of the other, until one is left.  If a window then exceeds the capacity, the group is done anew
 with one window more.
 
-A null text is empty and has only the end id.  Repeated rows are packed as often as they are there.  Sequences are
-numbered by group, without meaning beyond being distinct.
+A null text is empty and has only the end id.  Repeated rows are packed as often as they are there, rows without an id
+like any other.  Pieces of equal length are dealt in the order of their ids and starts.  Texts of any length are cut to
+pieces whole.  Sequences are numbered by group, without meaning beyond being distinct.  Other columns are left out, and
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -117,10 +119,15 @@ def _pack(key: tuple, rows: pd.DataFrame, window: int, groups: int) -> pd.DataFr
 
 
 def pack(found: DataFrame, window: int = WINDOW, group_windows: int = 256) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; a group of pieces has about ``group_windows`` windows of ids."""
+    """Pieces with ``sequence_id`` and ``offset``; a group of pieces has about ``group_windows`` windows of ids.
+
+    ``found`` is a written table, as rows are dealt out by their place in it.
+    """
     total = found.filter(F.col("length") < window).agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (window * group_windows)))
-    part = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).cast("long")
+    # Pieces of one id, or of none, are spread by their place too.
+    place = F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id())
+    part = F.pmod(place, F.lit(groups)).cast("long")
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return found.withColumn("part", part).groupBy("part").applyInPandas(
         lambda key, rows: _pack(key, rows, window, groups), kind
