@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leafwright.llm import learn
 from leafwright.llm.learn import Ftrl, logistic, summed
@@ -313,7 +314,7 @@ def score(docs: DataFrame, costs: np.ndarray, model: np.ndarray, cfg: Ftrl = TOX
     Columns of ``docs`` of these two names are not kept.
     """
     columns = ["doc_id", *[c for c in keep if c not in ("doc_id", "score", "changed")]]
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
+    kinds = StructType([docs.schema[c] for c in columns]).add("score", "double").add("changed", "long")
     known = np.flatnonzero(model[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +335,7 @@ def score(docs: DataFrame, costs: np.ndarray, model: np.ndarray, cfg: Ftrl = TOX
             yield pa.record_batch([*[batch.column(c) for c in columns], *found], [*columns, "score", "changed"])
 
     text = [] if "text" in columns else ["text"]
-    return docs.select(*columns, *text).mapInArrow(run, ", ".join([*kinds, "score double", "changed long"]))
+    return docs.select(*columns, *text).mapInArrow(run, kinds)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
