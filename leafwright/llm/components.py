@@ -2,15 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.session import settle
 
 
+def forest(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what the pairs of ``size`` members join, one less than the members of each group.
+
+    Pairs whose ends are joined already are passed by.
+    """
+    root = np.arange(size)
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    for x, y in pairs:
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        if not len(x):
+            continue
+        for key in np.unique(root[x] * size + root[y]).tolist():
+            i, j = find(key // size), find(key % size)
+            if i != j:
+                root[max(i, j)] = min(i, j)
+                out.append((i, j))
+        # All members point at the least of their group again.
+        while (root[root] != root).any():
+            root = root[root]
+    links = np.array(out, np.int64).reshape(-1, 2)
+    return links[:, 0], links[:, 1]
+
+
 def _least(links: DataFrame) -> DataFrame:
-    """The least of each node and its neighbours; combined before the shuffle, so a hub costs a row per task."""
-    return links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    """The least of each node and its neighbours; combined before the shuffle, so a hub costs a row per task.
+
+    Written to a table, so that the join with it deals out both sides anew and Spark can split the rows of a hub.
+    """
+    return settle(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ smaller subtrees.  Subtrees with many fingerprints go on by node pairs of furthe
 again only pairs within the budget, until a task's part is small.  There the walk goes on pair by pair of nodes.
 
 Equal fingerprints are one trie leaf, so thousands of copies cost one.  Null and empty texts have the fingerprint zero
-and link like any other.  Rows without an id take no part in naming a component, but get one.
+and link like any other.  Rows without an id take no part in naming a component, but get one.  Rows that repeat an id or a text
+each get a row.  Texts of any length are taken whole, other columns left out, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -23,15 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.components import components
-from leafwright.llm.texts import flat, mixed, read
+from leafwright.llm.components import components, forest
+from leafwright.llm.texts import flat, packed, read
 from leafwright.session import settle
 
 BITS = 64
 SEED = 42
-# Further fingerprints of a text, by which the pairs of a wide budget are checked.
-WIDE = 8
-_TURNS = mixed(np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingle_hashes(text: bytes, n: int) -> np.ndarray:
@@ -62,40 +60,18 @@ def fingerprint(text: bytes, n: int) -> int:
     return majority(shingle_hashes(text, n))
 
 
-def fingerprints(docs: DataFrame, n: int, wide: bool = False) -> DataFrame:
-    """``doc_id, fp`` of each row of (doc_id, text); ``fp`` is the fingerprint as a signed long.
-
-    With ``wide`` there is also ``wide``, the majority bits of ``WIDE`` further hashes of each shingle.
-    """
+def fingerprints(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, fp`` of each row of (doc_id, text); ``fp`` is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, ends = flat(batch.column("text"))
             held = data.tobytes()
             at = ends.tolist()
-            fps, further = [], []
-            for a, b in zip(at, at[1:]):
-                hashes = shingle_hashes(held[a:b], n)
-                fps.append(majority(hashes))
-                if wide:
-                    more = [majority(mixed(hashes ^ turn)) for turn in _TURNS]
-                    further.append(np.array(more, np.uint64).tobytes())
-            columns = {"doc_id": batch.column("doc_id"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64))}
-            yield pa.record_batch(columns | ({"wide": pa.array(further, pa.binary())} if wide else {}))
+            fps = np.array([fingerprint(held[a:b], n) for a, b in zip(at, at[1:])], np.uint64)
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
 
-    schema = "doc_id long, fp long" + (", wide binary" if wide else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
-
-
-def wide_limit(like: float, spread: float = 1.0) -> int:
-    """Differing wide bits up to which two texts count as alike: those expected at that Jaccard similarity.
-
-    The cosine of two sets of a size is 2j / (1 + j), and a bit differs with the chance of its angle by pi.  ``spread``
-    standard deviations are added, so that pairs of just that similarity are seldom missed.
-    """
-    chance = np.arccos(2 * like / (1 + like)) / np.pi
-    bits = WIDE * BITS
-    return int(bits * chance + spread * np.sqrt(bits * chance * (1 - chance)))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -137,51 +113,15 @@ def walk(
             todo += [(a, m, c, k), (m, b, k, d), (a, m, k, d), (m, b, c, k)]
 
 
-def _forest(
-    size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], alike: Callable | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join what the pairs of ``size`` members join, one less than the members of each group.
-
-    Pairs whose ends are joined already are passed by; the others count if ``alike`` says so.
-    """
-    root = np.arange(size)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    out = []
-    for x, y in pairs:
-        apart = root[x] != root[y]
-        x, y = x[apart], y[apart]
-        if alike is not None and len(x):
-            true = alike(x, y)
-            x, y = x[true], y[true]
-        if not len(x):
-            continue
-        for key in np.unique(root[x] * size + root[y]).tolist():
-            i, j = find(key // size), find(key % size)
-            if i != j:
-                root[max(i, j)] = min(i, j)
-                out.append((i, j))
-        # All members point at the least of their group again.
-        while (root[root] != root).any():
-            root = root[root]
-    links = np.array(out, np.int64).reshape(-1, 2)
-    return links[:, 0], links[:, 1]
-
-
-def deal(distinct: DataFrame, agree: int, blocks: int, level: int) -> DataFrame:
-    """``turn, node, width, bits, fp, wide``: each fingerprint under every choice of ``agree`` blocks of bits.
+def deal(distinct: DataFrame, budget: int, blocks: int, level: int) -> DataFrame:
+    """``turn, node, width, bits, fp``: each fingerprint under every choice of ``blocks - budget`` blocks of bits.
 
     ``bits`` is the fingerprint with the chosen blocks first, ``node`` its first ``width`` bits: at most ``level``,
     and none beyond the chosen blocks.
     """
     edges = [BITS * i // blocks for i in range(blocks + 1)]
     spans = list(zip(edges, edges[1:]))
-    choices = list(combinations(range(blocks), agree))
+    choices = list(combinations(range(blocks), blocks - budget))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,37 +141,21 @@ def deal(distinct: DataFrame, agree: int, blocks: int, level: int) -> DataFrame:
                         "width": np.full(len(fp), width, np.int32),
                         "bits": bits.view(np.int64),
                         "fp": fp.view(np.int64),
-                        "wide": batch.column("wide"),
                     }
                 )
 
-    schema = "turn int, node long, width int, bits long, fp long, wide binary"
-    return distinct.select("fp", "wide").mapInArrow(run, schema)
+    return distinct.select("fp").mapInArrow(run, "turn int, node long, width int, bits long, fp long")
 
 
-def links(
-    distinct: DataFrame,
-    budget: int = 2,
-    blocks: int | None = None,
-    part: int = 1024,
-    agree: int | None = None,
-    like: float | None = None,
-) -> DataFrame:
+def links(distinct: DataFrame, budget: int = 2, blocks: int | None = None, part: int = 1024) -> DataFrame:
     """Links ``fp_a, fp_b`` that join all distinct fingerprints ``fp`` within ``budget`` differing bits.
 
-    ``blocks - budget`` blocks agree in every such pair.  With a larger ``agree`` there are fewer tries of more depth,
-    and only pairs that agree on so many blocks are met.  With ``like`` a pair counts if its ``wide`` bits also differ
-    no more than those of texts of that similarity.
-
-    Tries are dealt out at the depth where a node of evenly spread fingerprints has about ``part`` of them, at most
-    at the depth of the chosen blocks.  Of the pairs within a part only a spanning forest leaves it, so links never
-    grow with the square of a group.
+    ``blocks - budget`` blocks agree in every such pair.  Tries are dealt out at the depth where a node of evenly spread
+    fingerprints has about ``part`` of them, at most at the depth of the chosen blocks.  Of the pairs within a part only
+    a spanning forest leaves it, so links never grow with the square of a group.
     """
     blocks = blocks or budget + 1
-    agree = agree or blocks - budget
-    limit = None if like is None else wide_limit(like)
-    distinct = distinct if limit is not None else distinct.withColumn("wide", F.lit(None).cast("binary"))
-    dealt = deal(distinct, agree, blocks, max(0, (distinct.count() // part).bit_length()))
+    dealt = deal(distinct, budget, blocks, max(0, (distinct.count() // part).bit_length()))
     # Large subtrees: as many further bits as bring a node near the size of a part.
     large = dealt.groupBy("turn", "node").agg(F.count("*").alias("_n")).filter(F.col("_n") > 4 * part)
     depth = F.least(F.ceil(F.log2(F.col("_n") / part)).cast("int"), F.lit(12))
@@ -252,7 +176,7 @@ def links(
     dealt = dealt.withColumn("child", child).withColumn("flip", F.explode(flips))
     other = F.expr("child ^ flip")
     dealt = dealt.select(
-        "turn", "node", F.least("child", other).alias("one"), F.greatest("child", other).alias("two"), "child", "bits", "fp", "wide"
+        "turn", "node", F.least("child", other).alias("one"), F.greatest("child", other).alias("two"), "child", "bits", "fp"
     )
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -260,41 +184,25 @@ def links(
         fps, bits = (rows[c].to_numpy().view(np.uint64) for c in ("fp", "bits"))
         order = np.argsort(bits)
         bits, fps, child = bits[order], fps[order], rows["child"].to_numpy()[order]
-        alike = None
-        if limit is not None:
-            wide = np.frombuffer(b"".join(rows["wide"]), np.uint64).reshape(-1, WIDE)[order]
-            alike = lambda x, y: np.bitwise_count(wide[x] ^ wide[y]).sum(1, dtype=np.int64) <= limit
         if one == two:
-            a, b = _forest(len(bits), walk(bits, None, budget), alike)
+            a, b = forest(len(bits), walk(bits, None, budget))
         else:
             # Values of the lesser node sort first.
             cut = int((child == one).sum())
-            a, b = _forest(len(bits), ((x, y + cut) for x, y in walk(bits[:cut], bits[cut:], budget)), alike)
+            a, b = forest(len(bits), ((x, y + cut) for x, y in walk(bits[:cut], bits[cut:], budget)))
         return pd.DataFrame({"fp_a": fps[a].view(np.int64), "fp_b": fps[b].view(np.int64)})
 
     return dealt.groupBy("turn", "node", "one", "two").applyInPandas(run, "fp_a long, fp_b long")
 
 
-def near_classes(
-    docs: DataFrame,
-    n: int = 3,
-    budget: int = 2,
-    blocks: int | None = None,
-    agree: int | None = None,
-    like: float | None = None,
-) -> DataFrame:
+def near_classes(docs: DataFrame, n: int = 3, budget: int = 2, blocks: int | None = None) -> DataFrame:
     """``doc_id, fp, component_id`` of each row of (doc_id, text).
 
-    ``component_id`` is the smallest id that can be reached over links, a row's own included.  With ``like`` links are
-    checked by the wide bits of the row of the smallest id of each fingerprint.
+    ``component_id`` is the smallest id that can be reached over links, a row's own included.
     """
-    rows = settle(fingerprints(docs, n, like is not None), "simhash")
-    least = [F.min("doc_id").alias("first")]
-    if like is not None:
-        # Only rows without an id: any of them stands for the fingerprint.
-        least.append(F.coalesce(F.min_by("wide", "doc_id"), F.min("wide")).alias("wide"))
-    classes = settle(rows.groupBy("fp").agg(*least), "simhash-classes")
-    pairs = links(classes.drop("first"), budget, blocks, agree=agree, like=like)
+    rows = settle(fingerprints(docs, n), "simhash")
+    classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    pairs = links(classes.select("fp"), budget, blocks)
     names = classes.select(F.col("fp").alias("fp_a"), F.col("first").alias("a"))
     pairs = pairs.join(names, "fp_a").join(names.toDF("fp_b", "b"), "fp_b").select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
     found = components(pairs)
@@ -304,26 +212,21 @@ def near_classes(
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(
-    docs: DataFrame, n: int = 5, budget: int = 14, blocks: int = 10, agree: int = 2, like: float = 0.8
-) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 3, budget: int = 2) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row of the smallest id stays.
 
-    Texts of Jaccard similarity 0.8 differ in 10 of 64 bits on the mean, so the budget is wide, and the wide bits check
-    each pair: unrelated texts that meet within the budget are not linked.
-
-    Of rows that repeat that id the one of the least text stays.  Rows without an id stay, as do empty texts.
+    Null and empty texts are one group, as they have one fingerprint.  Of rows that repeat the id that stays, the one of
+    the least row counts, by text first.  Rows without an id stay.  All columns stay as they are, whatever their names.
     """
-    some = docs.filter("doc_id IS NOT NULL AND trim(text) <> ''").select("doc_id", "text")
-    kept = near_classes(some, n, budget, blocks, agree, like)
-    gone = kept.filter("component_id <> doc_id").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
+    held = docs.select(F.col("doc_id").cast("long").alias("id"), packed(docs).alias("row"))
+    found = near_classes(docs.filter("doc_id IS NOT NULL").select("doc_id", "text"), n, budget)
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct()
+    rest = held.join(gone, "id", "left_anti")
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("id"))
     # Repeats of an id are few; one row of each is picked, all other rows are not touched.
-    repeated = rest.join(again, "doc_id", "left_semi")
-    best = F.min_by(F.struct(*docs.columns), F.struct("text", "source", "lang")).alias("_row")
-    single = repeated.groupBy("doc_id").agg(best).select("_row.*")
-    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(single.select(docs.columns))
+    first = F.struct(F.col("row.text").alias("text"), F.to_json("row").alias("rest"))
+    single = rest.join(again, "id", "left_semi").groupBy("id").agg(F.min_by("row", first).alias("row"))
+    return rest.join(again, "id", "left_anti").select("row.*").unionByName(single.select("row.*"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,16 @@ def held_out(doc_id: Column) -> Column:
 def read(spark, sf_dir: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
+
+
+def unused(columns: list[str], name: str) -> str:
+    """A column name that is none of ``columns``, letter case aside."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row in one, so that those of an operator cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])

@@ -99,43 +99,18 @@ def test_fingerprint_bytes():
 
 def test_one_of_each(spark):
     words = [f"w{i}" for i in range(300)]
-    near = words[:150] + ["other"] + words[151:]
-    rows = [(3, " ".join(words)), (1, " ".join(near)), (2, "a b c d e f"), (2, "a b c d e f"), (5, None), (6, ""), (7, ""), (None, "x")]
-    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    got = sorted(str(r.doc_id) for r in one_of_each(df).collect())
-    assert got == ["1", "2", "5", "6", "7", "None"]
-    assert one_of_each(df).columns == df.columns
+    far = [f"x{i}" for i in range(300)]
+    rows = [(3, " ".join(words)), (1, "\n".join(words).upper()), (2, "a b c d e f"), (2, "a b c d e f"), (5, None), (6, ""), (7, ""), (None, "x"), (8, " ".join(far)), (None, "x")]
+    df = spark.createDataFrame([(*r, "en", {"k": 1}, 1, "mine") for r in rows], "doc_id long, text string, lang string, id map<string,int>, row long, component_id string")
+    out = one_of_each(df)
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "5", "8", "None", "None"]
+    assert out.columns == df.columns and {r.component_id for r in out.collect()} == {"mine"}
     assert one_of_each(df.limit(0)).count() == 0
 
 
-def test_one_of_each_by_likeness(spark):
-    """Copies well above the similarity go, copies well below it and unrelated documents stay."""
-    rng = random.Random(11)
-    rows, changes = [], {}
-    for i in range(240):
-        words = [f"w{rng.randrange(5000)}" for _ in range(400)]
-        copy, k = list(words), (6, 4, 24)[i % 3]
-        for at in rng.sample(range(2, 80), k):
-            copy[at * 5] = f"x{rng.randrange(10**6)}"
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
-        changes[2 * i + 1] = k
-
-    def shingles(text):
-        words = text.split()
-        return {tuple(words[j : j + 5]) for j in range(len(words) - 4)}
-
-    texts = dict(rows)
-    like = {}
-    for i, k in changes.items():
-        a, b = shingles(texts[i]), shingles(texts[i - 1])
-        like[i] = len(a & b) / len(a | b)
-    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r.doc_id for r in one_of_each(df).select("doc_id").collect()}
-    assert set(range(0, 480, 2)) <= kept
-    far = [i for i in changes if like[i] < 0.65]
-    near = [i for i in changes if like[i] > 0.84]
-    nearer = [i for i in changes if like[i] > 0.89]
-    assert len(far) == 80 and len(near) == 160 and len(nearer) == 80
-    assert set(far) <= kept
-    assert len([i for i in near if i in kept]) <= 16
-    assert len([i for i in nearer if i in kept]) <= 2
+def test_one_of_each_whole(spark, documents):
+    """What stays is one document of each brute-force component."""
+    rows = documents.collect()
+    ids = [r.doc_id for r in rows]
+    want = set(classes([plain(r.text) for r in rows], ids))
+    assert sorted(r.doc_id for r in one_of_each(documents).collect()) == sorted(want)
