@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from leafwright.operators import change_sets as cs
+from leafwright.operators import failures as fl
 from leafwright.operators import metrics, scoring, state
 from leafwright.operators.checks import DEFAULT_CHECKLIST, CheckDef, run_checks
 from leafwright.operators.words import CheckRules
@@ -36,12 +37,18 @@ class ReviewSettings:
 
 @dataclass(frozen=True)
 class ReviewRun:
-    """Tables of a review run."""
+    """Tables of a review run.
+
+    ``failures`` has the rows that failed; ``stopped_at`` is the place in order of the last product that was looked at,
+    if a limit stopped the run.
+    """
 
     files: DataFrame
     reviews: DataFrame
     outcomes: DataFrame
     platforms: DataFrame
+    failures: DataFrame
+    stopped_at: int | None = None
 
 
 def review_files(
@@ -56,17 +63,15 @@ def review_files(
     return scored.withColumn("issues", scoring.file_issues(F.col("check_results"), F.col("ai")))
 
 
-def _reached(sets: DataFrame, chosen: DataFrame) -> DataFrame:
+def _reached(sets: DataFrame, last: Row) -> DataFrame:
     """What a run came to see before its limit stopped it.
 
     Later products are not looked at; later sets of the last product are known
     but wait.  The place where it stopped is one row.
     """
     order = ("product_ord", "created_at", "pr_number")
-    last = chosen.orderBy(*[F.col(c).desc() for c in order]).select(*order).first()
-    place = F.struct(*order)
-    stop = F.struct(*[F.lit(last[c]).cast(chosen.schema[c].dataType).alias(c) for c in order])
-    return sets.filter(F.col("product_ord") <= last["product_ord"]).withColumn("waiting", place > stop)
+    stop = F.struct(*[F.lit(last[c]).cast(sets.schema[c].dataType).alias(c) for c in order])
+    return sets.filter(F.col("product_ord") <= last["product_ord"]).withColumn("waiting", F.struct(*order) > stop)
 
 
 def review(
@@ -76,6 +81,7 @@ def review(
     answers: DataFrame | None = None,
     answer_on: Sequence[str] = ("doc_id",),
     settings: ReviewSettings = ReviewSettings(),
+    calls: DataFrame | None = None,
 ) -> ReviewRun:
     """Review the open change sets that were not reviewed before.
 
@@ -85,56 +91,77 @@ def review(
     broadcast threshold; beyond it, contents are shuffled by key once.  File
     results are written to the work folder, so contents are checked once for
     decisions, comments, state and metrics together.
+
+    ``calls`` has what the calls to the outside came to (see
+    :mod:`leafwright.operators.failures`).  A set that failed has no review and
+    is not in the state, so the next run takes it again; a merge is one that
+    was asked for and did not fail.
     """
     keys = list(scoring.CHANGE_SET_KEYS)
+    if calls is not None:
+        calls = settle(fl.failed_calls(calls), "failed-calls")
+        change_sets = fl.reachable(change_sets, calls)
     selected = cs.select_change_sets(change_sets, settings.branch_prefix, settings.labels)
-    markdown = cs.select_markdown(changed_files, settings.path_contains)
+    # Files of a set that were not listed are not known.
+    listed = changed_files if calls is None else fl.without(changed_files, calls, fl.LISTING)
+    markdown = cs.select_markdown(listed, settings.path_contains)
+    # Paths and flags of the files, written once; contents are read for the chosen sets only, unless a limit needs to
+    # know whether there are any.
+    readable = F.lit(True) if settings.max_reviews is None else F.col("content").isNotNull()
+    narrow = settle(markdown.select(*keys, "file_ord", "path", readable.alias("readable")), "markdown")
     fresh = cs.not_reviewed(selected, seen)
-    offered = markdown.groupBy(*keys).agg(F.count("*").alias("files_found"))
-    candidates = fresh
-    if settings.max_reviews is not None:
-        # Only sets that can be reviewed count towards the limit.
-        readable = markdown.filter("content IS NOT NULL").select(*keys).distinct()
-        candidates = fresh.join(readable, keys, "left_semi")
+    failures = settle(fl.set_failures(fresh, listed, calls), "failures")
+    failed = failures.select(*keys).distinct()
+    sound = fresh.join(failed, keys, "left_anti")
+    offered = narrow.groupBy(*keys).agg(F.count("*").alias("files_found"))
+    # Only sets that can be reviewed count towards the limit.
+    candidates = sound if settings.max_reviews is None else sound.join(narrow.filter("readable").select(*keys).distinct(), keys, "left_semi")
     chosen = settle(cs.limit_reviews(candidates, settings.max_reviews), "chosen")
-    chosen_keys = chosen.select(*keys)
-    n_chosen = chosen.count()
-    if n_chosen == settings.max_reviews:
-        selected, fresh = _reached(selected, chosen), _reached(fresh, chosen)
-    markdown_chosen = markdown.join(chosen_keys, keys, "left_semi")
+    stopped_at = None
+    selected = selected.withColumn("waiting", F.lit(False))
+    if settings.max_reviews is not None and chosen.count() == settings.max_reviews:
+        last = chosen.orderBy(*[F.col(c).desc() for c in ("product_ord", "created_at", "pr_number")]).first()
+        if last is not None:
+            stopped_at = last["product_ord"]
+            selected, fresh = _reached(selected, last), _reached(fresh, last).filter("NOT waiting")
+    markdown_chosen = markdown.join(chosen.select(*keys), keys, "left_semi")
     files = settle(review_files(markdown_chosen, answers, answer_on, settings), "files")
     scores = scoring.change_set_scores(files, settings.checklist)
     decided = scoring.with_decision(scores, settings.approve, settings.request_changes, settings.label_prefix)
     reviews = chosen.join(decided, keys)
     merged = F.lit(settings.auto_merge) & (F.col("decision") == "APPROVE")
+    if calls is not None:
+        merged = merged & F.col("merge_failed").isNull()
     results = decided.select(*keys, "decision", "files")
-    if "waiting" not in selected.columns:
-        selected = selected.withColumn("waiting", F.lit(False))
-    elif settings.max_reviews is not None:
-        fresh = fresh.filter("NOT waiting")
     outcomes = (
-        selected.join(fresh.select(*keys, F.lit(True).alias("_fresh")), keys, "left")
+        selected.join(fresh.select(*keys, F.lit(True).alias("fresh")), keys, "left")
         .join(offered, keys, "left")
         .join(results, keys, "left")
-        .select(
-            *keys,
-            "product",
-            "product_ord",
-            F.when(F.col("decision").isNotNull(), "reviewed")
-            .when(F.col("waiting"), "waiting")
-            .otherwise("skipped")
-            .alias("outcome"),
-            "decision",
-            F.coalesce(merged, F.lit(False)).alias("merged"),
-            F.when(F.col("_fresh") & ~F.col("waiting"), F.coalesce("files_found", F.lit(0)))
-            .otherwise(0)
-            .alias("files_found"),
-            F.coalesce("files", F.lit(0)).alias("files_reviewed"),
-        )
+        .join(failed.withColumn("failed", F.lit(True)), keys, "left")
+    )
+    if calls is not None:
+        not_merged = calls.filter(F.col("call") == fl.MERGE).select(*keys, F.lit(True).alias("merge_failed"))
+        outcomes = outcomes.join(not_merged, keys, "left")
+    outcomes = outcomes.select(
+        *keys,
+        "product",
+        "product_ord",
+        F.when(F.col("decision").isNotNull(), "reviewed")
+        .when(F.col("waiting"), "waiting")
+        .when(F.col("failed"), "error")
+        .otherwise("skipped")
+        .alias("outcome"),
+        "decision",
+        F.coalesce(merged, F.lit(False)).alias("merged"),
+        F.when(F.col("fresh"), F.coalesce("files_found", F.lit(0))).otherwise(0).alias("files_found"),
+        F.coalesce("files", F.lit(0)).alias("files_reviewed"),
     )
-    seen_files = markdown.join(fresh.select(*keys, "product", "created_at"), keys)
+    seen_files = narrow.join(fresh.select(*keys, "product", "created_at"), keys)
     platforms = cs.change_set_platforms(seen_files, ["product"], ["created_at", "pr_number", "file_ord"])
-    return ReviewRun(files, reviews, outcomes, platforms)
+    reached = failures.join(fresh.select(*keys), keys, "left_semi")
+    if calls is not None:
+        reached = reached.unionByName(fl.repository_failures(calls))
+    return ReviewRun(files, reviews, outcomes, platforms, reached, stopped_at)
 
 
 def review_records(reviews: DataFrame, now: Column) -> DataFrame:
@@ -155,24 +182,44 @@ def next_state(seen: DataFrame, run: ReviewRun, now: Column) -> DataFrame:
 
 
 def run_report(
-    run: ReviewRun, usage: DataFrame, product_dim: DataFrame, now: Column, agent_name: str, agent_owner: str, **names: str
+    run: ReviewRun,
+    usage: DataFrame,
+    product_dim: DataFrame,
+    now: Column,
+    agent_name: str,
+    agent_owner: str,
+    products: DataFrame | None = None,
+    **names: str,
 ) -> DataFrame:
-    """Metrics rows of a run, one per product.
+    """Metrics rows of a run, one per product that it looked at.
 
     ``usage`` has ``product, tokens, calls, duration_ms``.  Tokens and calls
     are those of the run so far, products in order.  ``product_dim`` has
-    ``product, display, website`` with lower-case keys.
+    ``product, display, website`` with lower-case keys.  ``products`` has the
+    configured products, ``product, product_ord, repo_url``: each gets its row, also
+    without change sets or when its repository could not be reached.  Without it the
+    products are those of the change sets.
     """
-    order = run.outcomes.select("product", "product_ord").distinct()
-    so_far = metrics.running_usage(order.join(usage, "product", "left").fillna(0, ["tokens", "calls", "duration_ms"]))
+    looked_at = run.outcomes.select("product", "product_ord").distinct()
+    repositories = None
+    if products is not None:
+        looked_at = products.select("product", "product_ord")
+        if run.stopped_at is not None:
+            looked_at = looked_at.filter(F.col("product_ord") <= run.stopped_at)
+        repositories = run.failures.filter("pr_number IS NULL").join(products.select("product", "repo_url"), "repo_url")
+        repositories = repositories.groupBy("product").agg(F.count("*").alias("unreachable"))
+    so_far = metrics.running_usage(looked_at.join(usage, "product", "left").fillna(0, ["tokens", "calls", "duration_ms"]))
+    counted = metrics.run_counters(run.outcomes).filter("NOT is_total").select("product", "files_found", "files_reviewed", "errors")
     counters = (
-        metrics.run_counters(run.outcomes)
-        .filter("NOT is_total")
-        .join(so_far, "product")
+        so_far.join(counted, "product", "left")
+        .fillna(0, ["files_found", "files_reviewed", "errors"])
         .withColumn("_key", F.lower("product"))
         .join(product_dim.select(F.col("product").alias("_key"), "display", "website"), "_key", "left")
         .join(run.platforms, "product", "left")
     )
+    if repositories is not None:
+        counters = counters.join(repositories, "product", "left").fillna(0, ["unreachable"])
+        counters = counters.withColumn("errors", F.col("errors") + F.col("unreachable"))
     filled = counters.select(
         "product", "display", "website", "platforms", "files_found", "files_reviewed", "errors",
         F.col("duration_ms"), F.col("tokens_so_far").alias("tokens"), F.col("calls_so_far").alias("calls"),

@@ -283,3 +283,22 @@ SELECT DISTINCT product, CASE product WHEN 'words' THEN 'Acme.Words' WHEN 'viewe
        CASE product WHEN 'viewer' THEN 'acmeview.example' END AS website
 FROM ({CHANGE_SET}) cs
 """.replace("{CHANGE_SET}", CHANGE_SET)
+
+# What calls to the outside came to; the repository of one product is not there.
+CALL = """
+SELECT repo_url, pr_number, call, attempt, ok, CASE WHEN NOT ok THEN call || ' refused' END AS error FROM (
+  SELECT repo_url, pr_number, 'review' AS call, 1 AS attempt, pr_number % 10 <> 3 AS ok FROM ({CHANGE_SET}) a
+  UNION ALL SELECT repo_url, pr_number, 'review', 2, pr_number % 20 = 3 FROM ({CHANGE_SET}) b WHERE pr_number % 10 = 3
+  UNION ALL SELECT repo_url, pr_number, 'merge', 1, pr_number % 8 <> 4 FROM ({CHANGE_SET}) c
+  UNION ALL SELECT repo_url, pr_number, 'files', 1, pr_number % 25 <> 1 FROM ({CHANGE_SET}) d
+  UNION ALL SELECT repo_url, pr_number, 'labels', 1, pr_number % 5 <> 0 FROM ({CHANGE_SET}) e
+) calls
+UNION ALL SELECT 'https://host.example/acme/cells', CAST(NULL AS BIGINT), 'repository', 1, false, 'no such repository'
+""".replace("{CHANGE_SET}", CHANGE_SET)
+
+# The configured products: those with change sets, one that cannot be reached and one without change sets.
+PRODUCT = """
+SELECT DISTINCT product, product_ord, repo_url FROM ({CHANGE_SET}) cs
+UNION ALL SELECT 'cells', 3, 'https://host.example/acme/cells'
+UNION ALL SELECT 'slides', 4, 'https://host.example/acme/slides'
+""".replace("{CHANGE_SET}", CHANGE_SET)

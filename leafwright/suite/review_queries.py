@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ def _text(ts: str):
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias(ts)
 
 
-def _run(spark: SparkSession, sf_dir: str, settings: ReviewSettings = SETTINGS):
+def _run(spark: SparkSession, sf_dir: str, settings: ReviewSettings = SETTINGS, calls: DataFrame | None = None):
     answers = fixture(spark, sf_dir, "ai_response").select("doc_id", "body")
     return review(
         change_sets(spark, sf_dir),
@@ -34,9 +36,15 @@ def _run(spark: SparkSession, sf_dir: str, settings: ReviewSettings = SETTINGS):
         fixture(spark, sf_dir, "review_state"),
         answers,
         settings=settings,
+        calls=calls,
     )
 
 
+def _run_with_calls(spark: SparkSession, sf_dir: str):
+    """A run that merges, of whose calls some fail."""
+    return _run(spark, sf_dir, replace(SETTINGS, auto_merge=True), fixture(spark, sf_dir, "call"))
+
+
 def change_set_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores, decision, label and event of each change set reviewed."""
     passed = F.array_join(F.transform(F.filter("check_results", lambda r: r["passed"]), lambda r: r["id"]), ",")
@@ -200,9 +208,39 @@ def ai_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("product", *[F.col(c).cast("bigint").alias(c) for c in ("tokens", "calls", "tokens_so_far", "calls_so_far")])
 
 
+def run_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What failed in a run, and why."""
+    name = F.coalesce(F.col("pr_number").cast("string"), F.lit("")).alias("pr_number")
+    return _run_with_calls(spark, sf_dir).failures.select("repo_url", name, "call", "error")
+
+
+def run_counters_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a run of which some calls fail: errors are counted, merges are those done."""
+    return _counters(metrics.run_counters(_run_with_calls(spark, sf_dir).outcomes))
+
+
+def review_state_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State table after a run of which some calls fail: these sets are not in it."""
+    seen = fixture(spark, sf_dir, "review_state").select(
+        "repo_url", "pr_number", "product", "decision", "score", "reviewed_at", "pr_updated_at"
+    )
+    return _state_text(next_state(seen, _run_with_calls(spark, sf_dir), now()))
+
+
+def run_metrics_all_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics rows of a run of which some calls fail, one for each configured product."""
+    usage = _usage(spark, sf_dir).withColumn("duration_ms", F.lit(1500))
+    dim, products = fixture(spark, sf_dir, "product_dim"), fixture(spark, sf_dir, "product")
+    rows = run_report(_run_with_calls(spark, sf_dir), usage, dim, now(), "page reviewer", "docs team", products)
+    return _metric_rows(rows)
+
+
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters per product and of the whole run."""
-    out = metrics.run_counters(_run(spark, sf_dir).outcomes)
+    return _counters(metrics.run_counters(_run(spark, sf_dir).outcomes))
+
+
+def _counters(out: DataFrame) -> DataFrame:
     names = [c for c in out.columns if c not in ("product", "is_total")]
     return out.select(
         F.coalesce("product", F.lit("(run)")).alias("product"), *[F.col(c).cast("bigint").alias(c) for c in names]
@@ -213,7 +251,10 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics rows of the run."""
     usage = _usage(spark, sf_dir).withColumn("duration_ms", F.lit(1500))
     dim = fixture(spark, sf_dir, "product_dim")
-    rows = run_report(_run(spark, sf_dir), usage, dim, now(), "page reviewer", "docs team")
+    return _metric_rows(run_report(_run(spark, sf_dir), usage, dim, now(), "page reviewer", "docs team"))
+
+
+def _metric_rows(rows: DataFrame) -> DataFrame:
     ints = ("items_discovered", "items_succeeded", "items_failed", "run_duration_ms", "token_usage", "api_calls_count")
     return rows.select(*[F.col(c).cast("bigint").alias(c) if c in ints else c for c in metrics.METRIC_FIELDS])
 
@@ -234,10 +275,10 @@ def _esc(text: str) -> str:
     return text.replace("'", "''")
 
 
-def _reviewed(model: bool = True) -> str:
-    """CTEs up to ``dec``: decisions of the change sets of a run."""
+def _reviewed(model: bool = True, also: str = "") -> str:
+    """CTEs up to ``dec``: decisions of the change sets of a run, of those that ``also`` fit a condition."""
     md = f"""SELECT f.* FROM ({_MARKDOWN}) f JOIN (
-        SELECT {_KEYS} FROM ({_SELECTED}) s WHERE pr_number % 3 <> 0) s USING ({_KEYS}) WHERE content IS NOT NULL"""
+        SELECT {_KEYS} FROM ({_SELECTED}) s WHERE pr_number % 3 <> 0{also}) s USING ({_KEYS}) WHERE content IS NOT NULL"""
     issues = ", ".join(f"CASE WHEN NOT c_{c.id} THEN '{_esc(c.description)}' END" for c in DEFAULT_CHECKLIST)
     every = ", ".join(f"bool_and(c_{c.id}) AS p_{c.id}" for c in DEFAULT_CHECKLIST)
     points = "CASE WHEN ai_failed THEN 0 ELSE round_even(greatest(0, least(100, ai_score)) / CAST(100 AS DOUBLE) * 20, 0) END"
@@ -385,6 +426,56 @@ SELECT '2024-02-15T00:00:00' AS timestamp, 'page reviewer' AS agent_name, 'docs
 FROM ct JOIN us USING (product) LEFT JOIN pf USING (product)
 """
 
+# Of the last calls, reviews fail where pr_number % 20 = 13, file lists where pr_number % 25 = 1, merges where pr_number % 8 = 4.
+_SOUND = " AND pr_number % 20 <> 13 AND pr_number % 25 <> 1"
+
+_OUTCOMES_WITH_ERRORS = f"""{_reviewed(also=_SOUND)},
+off AS (SELECT {_KEYS}, count(*) AS files_found FROM ({_MARKDOWN}) m WHERE pr_number % 25 <> 1 GROUP BY {_KEYS}),
+oc AS (SELECT s.*, d.decision, d.files, s.pr_number % 3 <> 0 AND s.pr_number % 20 = 13 AS failed,
+         CASE WHEN s.pr_number % 3 <> 0 THEN coalesce(files_found, 0) ELSE 0 END AS files_found
+       FROM ({_SELECTED}) s LEFT JOIN off USING ({_KEYS}) LEFT JOIN dec d USING ({_KEYS}))"""
+
+_COUNTS_WITH_ERRORS = (
+    _COUNTS.replace("decision IS NULL)", "decision IS NULL AND NOT failed)")
+    .replace("CAST(0 AS BIGINT) AS merged", "count(*) FILTER (decision = 'APPROVE' AND pr_number % 8 <> 4) AS merged")
+    .replace("CAST(0 AS BIGINT) AS errors", "count(*) FILTER (failed) AS errors")
+)
+
+COUNTERS_WITH_ERRORS = f"""
+WITH {_OUTCOMES_WITH_ERRORS}
+SELECT product, {_COUNTS_WITH_ERRORS} FROM oc GROUP BY product
+UNION ALL SELECT '(run)', {_COUNTS_WITH_ERRORS} FROM oc
+"""
+
+FAILURES = f"""
+SELECT repo_url, CAST(pr_number AS VARCHAR) AS pr_number, 'review' AS call, 'review refused' AS error FROM ({_SELECTED}) s WHERE pr_number % 3 <> 0 AND pr_number % 20 = 13
+UNION ALL SELECT 'https://host.example/acme/cells', '', 'repository', 'no such repository'
+"""
+
+METRICS_ALL_PRODUCTS = f"""
+WITH {_OUTCOMES_WITH_ERRORS},
+pf AS ({_platforms('product', f"SELECT * FROM ({_FRESH_FILES}) x WHERE pr_number % 25 <> 1", "struct_pack(a := created_at, b := pr_number, c := file_ord, d := pos)")}),
+us AS ({_USAGE}),
+ct AS (SELECT product, {_COUNTS_WITH_ERRORS} FROM oc GROUP BY product),
+pr AS (SELECT product, product_ord, CASE WHEN product = 'cells' THEN 1 ELSE 0 END AS lost FROM ({fx.PRODUCT}) x),
+al AS (SELECT pr.product, coalesce(files_found, 0) AS files_found, coalesce(files_reviewed, 0) AS files_reviewed,
+         coalesce(errors, 0) + lost AS errors, calls, platforms,
+         CAST(sum(coalesce(tokens, 0)) OVER (ORDER BY pr.product_ord) AS BIGINT) AS tokens_so_far,
+         CAST(sum(coalesce(calls, 0)) OVER (ORDER BY pr.product_ord) AS BIGINT) AS calls_so_far
+       FROM pr LEFT JOIN ct USING (product) LEFT JOIN us USING (product) LEFT JOIN pf USING (product))
+SELECT '2024-02-15T00:00:00' AS timestamp, 'page reviewer' AS agent_name, 'docs team' AS agent_owner, 'pr_review' AS job_type,
+  'page_review_' || product || '_20240215_000000' AS run_id,
+  CASE WHEN files_reviewed = 0 THEN 'failure' WHEN errors = 0 THEN 'success' ELSE 'partial_success' END AS status,
+  'Pull Requests' AS item_name,
+  CASE product WHEN 'words' THEN 'Acme.Words' WHEN 'viewer' THEN 'AcmeView.Viewer' WHEN 'cells' THEN 'Acme.Cells'
+    WHEN 'slides' THEN 'Acme.Slides' ELSE 'Acme.Other-Tools2' END AS product,
+  coalesce(platforms, 'All') AS platform,
+  CASE product WHEN 'viewer' THEN 'acmeview.example' ELSE 'acme.example' END AS website, 'API Reference' AS website_section,
+  CAST(files_found AS BIGINT) AS items_discovered, CAST(files_reviewed AS BIGINT) AS items_succeeded, CAST(errors AS BIGINT) AS items_failed,
+  CAST(CASE WHEN calls IS NULL THEN 0 ELSE 1500 END AS BIGINT) AS run_duration_ms, tokens_so_far AS token_usage, calls_so_far AS api_calls_count
+FROM al
+"""
+
 QUERIES = {
     "change_set_decisions": (change_set_decisions, DECISIONS),
     "change_set_issues": (change_set_issues, ISSUES),
@@ -447,4 +538,13 @@ QUERIES = {
     ),
     "run_counters": (run_counters, COUNTERS),
     "run_metrics": (run_metrics, METRICS),
+    "run_failures": (run_failures, FAILURES),
+    "run_counters_with_errors": (run_counters_with_errors, COUNTERS_WITH_ERRORS),
+    "run_metrics_all_products": (run_metrics_all_products, METRICS_ALL_PRODUCTS),
+    "review_state_with_errors": (
+        review_state_with_errors,
+        f"WITH {_reviewed(also=_SOUND)} SELECT {_STATE_COLS} FROM ({fx.REVIEW_STATE}) st UNION ALL "
+        f"SELECT {_KEYS}, c.product, d.decision, CAST(d.total_score AS BIGINT), '{fx.NOW}', "
+        f"strftime(c.updated_at, '%Y-%m-%d %H:%M:%S') FROM dec d JOIN ({fx.CHANGE_SET}) c USING ({_KEYS})",
+    ),
 }
