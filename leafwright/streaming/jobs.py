@@ -13,7 +13,7 @@ from leafwright.operators.change_sets import KEYS
 from leafwright.operators.keywords import drop_listing_pages, valid_query_rows
 from leafwright.plans.review import ReviewSettings, review, review_records
 from leafwright.sources.readers import REVIEW_STATE_SCHEMA
-from leafwright.streaming.log import read_log, run_to_log
+from leafwright.streaming.log import compact, read_state, run_to_log
 
 STATE_LOG_SCHEMA = REVIEW_STATE_SCHEMA.replace("pr_number int", "pr_number bigint")
 
@@ -28,24 +28,29 @@ def review_stream(
     answer_on: Sequence[str] = ("doc_id",),
     settings: ReviewSettings = ReviewSettings(),
     trigger: dict | None = None,
+    compact_every: int = 10,
 ) -> StreamingQuery:
     """Review changed files as they land.
 
     A landed file holds whole change sets.  Each micro-batch leaves out the
     sets that earlier batches reviewed and adds its own reviews to the log; the
-    state table is the newest row per change set of that log, so nothing is
-    rewritten.  A batch that runs twice gives the same rows.
+    state table is the newest row per change set of that log.  Every
+    ``compact_every`` batches it becomes the base of the log, so a batch reads
+    the base and a few newer batches.  A batch that runs twice gives the same rows.
     """
     spark = files.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
-        seen = read_log(spark, log_path, STATE_LOG_SCHEMA, before=batch_id)
+        seen = read_state(spark, log_path, STATE_LOG_SCHEMA, KEYS, before=batch_id)
         landed = batch.select(*KEYS).distinct()
         open_sets = change_sets.join(landed, KEYS, "left_semi")
         run = review(open_sets, batch, seen, answers, answer_on, settings)
         return review_records(run.reviews, now)
 
-    return run_to_log(files, log_path, checkpoint, "append", each, trigger)
+    def after(_: int) -> None:
+        compact(spark, log_path, STATE_LOG_SCHEMA, KEYS, compact_every)
+
+    return run_to_log(files, log_path, checkpoint, "append", each, trigger, after)
 
 
 def _timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -70,11 +75,49 @@ def daily_pairs(rows: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFr
     return seen.select(F.to_date("window.start").alias("day"), "page", "query", "n")
 
 
-def sliding_pairs(rows: DataFrame, ts: str = "ts", length: str = "28 days", step: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """``start, end, page, query`` pairs of each sliding window."""
-    pairs = _timed(drop_listing_pages(valid_query_rows(rows, [ts])), ts, delay)
-    seen = pairs.groupBy(F.window(ts, length, step), "page", "query").agg(F.count("*").alias("n"))
-    return seen.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "page", "query", "n")
+def sliding_pairs(rows: DataFrame, ts: str = "ts", days: int = 28, delay: str = "1 day") -> DataFrame:
+    """``page, query, first, last``: spans of days through which each pair was seen, no ``days`` apart.
+
+    A pair is in the window of ``days`` days before a day if a span begins before that day and ended ``days`` before
+    it or later, so one row of state per pair stands for all its windows.  A span is given anew when it grows, and its
+    state is dropped when no window can hold it any more.
+    """
+    pairs = drop_listing_pages(valid_query_rows(rows, [ts]))
+    daily = (
+        pairs.select("page", "query", F.date_trunc("day", F.col(ts).cast("timestamp")).alias("day"))
+        .withWatermark("day", delay)
+        .dropDuplicatesWithinWatermark(["page", "query", "day"])
+    )
+
+    def span(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = sorted(set().union(*[set(chunk["day"]) for chunk in chunks]))
+        first, last = map(pd.Timestamp, state.get) if state.exists else (seen[0], seen[0])
+        spans = []
+        for day in seen:
+            if day < first - pd.Timedelta(days=days) or day > last + pd.Timedelta(days=days):
+                spans.append((first, last))
+                first, last = day, day
+            else:
+                first, last = min(first, day), max(last, day)
+        spans.append((first, last))
+        state.update((first.to_pydatetime(), last.to_pydatetime()))
+        end_ms = int((last + pd.Timedelta(days=days + 1)).timestamp() * 1000)
+        state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([(*key, *s) for s in spans], columns=["page", "query", "first", "last"])
+
+    schema = "page string, query string, first timestamp, last timestamp"
+    return daily.groupBy("page", "query").applyInPandasWithState(
+        span, schema, "first timestamp, last timestamp", "append", "EventTimeTimeout"
+    )
+
+
+def pairs_before(spans: DataFrame, end: Column, days: int = 28) -> DataFrame:
+    """``page, query`` of the spans that the window of ``days`` days before ``end`` holds."""
+    held = (F.col("first") < end) & (F.date_add(F.to_date("last"), days) >= F.to_date(end))
+    return spans.filter(held).select("page", "query").distinct()
 
 
 def grant_submissions(requests: DataFrame, days: int = 30, ts: str = "ts", delay: str = "1 day") -> DataFrame:

@@ -9,7 +9,7 @@ from leafwright.operators.frontier import classify_outcome
 from leafwright.operators.keywords import in_range, keywords_by_page
 from leafwright.session import work_path
 from leafwright.streaming import jobs
-from leafwright.streaming.log import latest, read_log, run_to_log, write_batch
+from leafwright.streaming.log import latest, read_log, read_state, run_to_log, write_batch
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import change_sets, fixture, tables
 from leafwright.suite.review_queries import QUERIES as REVIEW_QUERIES
@@ -50,7 +50,7 @@ def stream_review(spark: SparkSession, sf_dir: str) -> DataFrame:
         files, change_sets(spark, sf_dir), log, work_path(spark, "checkpoint"), now(), answers, settings=SETTINGS
     )
     query.awaitTermination()
-    return _state_text(latest(read_log(spark, log, jobs.STATE_LOG_SCHEMA), ["repo_url", "pr_number"]))
+    return _state_text(read_state(spark, log, jobs.STATE_LOG_SCHEMA, ["repo_url", "pr_number"]))
 
 
 def stream_first_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,11 +75,11 @@ def stream_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_keywords_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from sliding windows, of which the one that ends at the fixed date is taken."""
+    """The same from the spans of each pair, for the window that ends at the fixed date."""
     rows = _stream(spark, sf_dir, "events", fx.QUERY_ROW)
     rows = rows.select("ts", F.array_compact(F.array("k1", "k2")).alias("keys"))
-    log = _finish(spark, jobs.sliding_pairs(rows), "start timestamp, end timestamp, page string, query string, n bigint")
-    return _keywords(log.filter(F.col("end") == now()).select(F.array("page", "query").alias("keys")))
+    log = _finish(spark, jobs.sliding_pairs(rows), "page string, query string, first timestamp, last timestamp", "append")
+    return _keywords(jobs.pairs_before(log, now()).select(F.array("page", "query").alias("keys")))
 
 
 def _keywords(rows: DataFrame) -> DataFrame:

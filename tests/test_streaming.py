@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leafwright.plans.review import ReviewSettings
 from leafwright.streaming import jobs
-from leafwright.streaming.log import latest, read_log, run_to_log, write_batch
+from leafwright.streaming.log import compact, folders, latest, read_log, read_state, run_to_log, write_batch
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import change_sets, fixture
 
@@ -96,7 +96,57 @@ def test_pairs(spark, tmp_path):
     run_to_log(jobs.daily_pairs(stream), log, str(tmp_path / "ckpt")).awaitTermination()
     got = read_log(spark, log, "day date, page string, query string, n bigint")
     assert got.count() == 12 and got.agg(F.sum("n")).first()[0] == 40
-    log = str(tmp_path / "log2")
-    run_to_log(jobs.sliding_pairs(stream, length="2 days"), log, str(tmp_path / "ckpt2")).awaitTermination()
-    got = read_log(spark, log, "start timestamp, end timestamp, page string, query string, n bigint")
-    assert got.agg(F.sum("n")).first()[0] == 80  # each row is in two windows
+
+
+def test_sliding_pairs_hold_one_state_row_per_pair(spark, tmp_path):
+    """Spans of a pair stand for all windows that hold it; state is by pair and goes when it is old."""
+    days = {"a": [0, 1, 5, 9, 30, 31], "b": [2], "c": [0, 12, 24], "z": [60]}
+    rows = [(["https://h/p", q], datetime(2024, 1, 1, h) + timedelta(days=d)) for q, ds in days.items() for d in ds for h in range(3)]
+    df = spark.createDataFrame(rows, "keys array<string>, ts timestamp")
+    path, start = str(tmp_path / "in"), datetime(2024, 1, 1)
+    cuts = [0, 2, 6, 20, 40, 61]
+    for lo, hi in zip(cuts, cuts[1:]):
+        part = df.filter((F.col("ts") >= start + timedelta(days=lo)) & (F.col("ts") < start + timedelta(days=hi)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    log = str(tmp_path / "log")
+    query = run_to_log(jobs.sliding_pairs(stream, days=7), log, str(tmp_path / "ckpt"), "append")
+    query.awaitTermination()
+    spans = read_log(spark, log, "page string, query string, first timestamp, last timestamp").cache()
+    for end in range(0, 75):
+        got = {r.query for r in jobs.pairs_before(spans, F.lit(start + timedelta(days=end)), 7).collect()}
+        assert got == {q for q, ds in days.items() if any(d < end <= d + 7 for d in ds)}
+    held = [max(s["numRowsTotal"] for s in p["stateOperators"] if s["operatorName"] == "applyInPandasWithState" or "FlatMap" in s["operatorName"]) for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) <= len(days) and held[-1] < len(days)
+
+
+def test_compacted_log_is_read_in_bounded_parts(spark, tmp_path):
+    """Files that a batch reads do not grow with the number of batches; a batch that runs again reads the same."""
+    log, schema, keys = str(tmp_path / "log"), "k int, v int", ["k"]
+    newest, read, again = {}, [], {}
+    for batch in range(50):
+        rows = [(batch % 7, batch), (100 + batch % 3, -batch)]
+        state = read_state(spark, log, schema, keys, before=batch)
+        read.append(len(state.inputFiles()))
+        again[batch] = sorted(map(tuple, state.collect()))
+        assert dict(again[batch]) == newest
+        newest.update(rows)
+        write_batch(spark.createDataFrame(rows, schema).coalesce(1), log, batch)
+        compact(spark, log, schema, keys, every=5)
+        # As if this batch had failed after its log was written.
+        assert sorted(map(tuple, read_state(spark, log, schema, keys, before=batch).collect())) == again[batch]
+    assert dict(map(tuple, read_state(spark, log, schema, keys).collect())) == newest
+    assert max(read) <= 5 + spark.sparkContext.defaultParallelism and max(read[25:]) <= max(read[:25])
+    assert len(folders(spark, log, "base")) <= 2 and len(folders(spark, log, "batch")) <= 10
+
+
+def test_a_base_that_was_not_finished_does_not_count(spark, tmp_path):
+    log, schema = str(tmp_path / "log"), "k int, v int"
+    for batch in range(3):
+        write_batch(spark.createDataFrame([(1, batch)], schema), log, batch)
+    assert not compact(spark, log, schema, ["k"], every=4)
+    assert compact(spark, log, schema, ["k"], every=3)
+    (tmp_path / "log" / "base=2" / "_SUCCESS").unlink()
+    write_batch(spark.createDataFrame([(2, 9)], schema), log, 3)
+    assert sorted(map(tuple, read_state(spark, log, schema, ["k"]).collect())) == [(1, 2), (2, 9)]
+    assert read_state(spark, str(tmp_path / "none"), schema, ["k"]).count() == 0
