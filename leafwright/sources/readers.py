@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from leafwright.operators.checks import CheckDef
 from leafwright.operators.frontier import explode_batches
+from leafwright.sources.json_map import read_json_map
 
 REVIEW_STATE_SCHEMA = (
     "repo_url string, pr_number int, product string, decision string, score int,"
@@ -26,7 +27,7 @@ STATUS_SCHEMA = "family string, nuget string, version string, processed date"
 LEDGER_SCHEMA = "url string, processed_at timestamp"
 BATCH_SCHEMA = "subdomain string, batch_no bigint, urls array<string>"
 SEARCH_SCHEMA = "page_path string, part bigint, data map<string,string>, other map<string,string>, lang string"
-STATUS_VALUE = "map<string, struct<nuget:string, version:string, processed:string>>"
+STATUS_VALUE = "struct<nuget:string, version:string, processed:string>"
 QUERY_ROW_SCHEMA = "keys array<string>, date date"
 SITEMAP_SCHEMA = "subdomain string, sitemap_url string, status int, body string"
 
@@ -68,12 +69,12 @@ def read_status(spark: SparkSession, path: str, strict: bool = False) -> DataFra
         if strict:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], STATUS_SCHEMA)
-    text = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", STATUS_VALUE)
-    if strict:
-        parsed = F.coalesce(parsed, F.raise_error(F.lit(f"damaged status file: {path}")).cast(STATUS_VALUE))
-    rows = text.select(F.explode(parsed).alias("family", "s"))
-    return rows.select("family", "s.nuget", "s.version", F.try_to_date("s.processed", "yyyy-MM-dd").alias("processed"))
+    rows = read_json_map(spark, path, STATUS_VALUE)
+    if strict and rows.isEmpty() and not spark.read.text(path).filter("value RLIKE '[^{} \\t\\r]'").isEmpty():
+        raise ValueError(f"damaged status file: {path}")
+    return rows.select(
+        F.col("key").alias("family"), "value.nuget", "value.version", F.try_to_date("value.processed", "yyyy-MM-dd").alias("processed")
+    )
 
 
 def read_version_feed(spark: SparkSession, path: str, glob: str = "*.json", by_folder: bool = False) -> DataFrame:
@@ -133,16 +134,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Processed URLs: ``url, processed_at``; a missing file gives an empty table."""
     if not _exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    text = spark.read.text(path, wholetext=True)
-    rows = text.select(F.explode(F.from_json("value", "map<string, string>")).alias("url", "t"))
-    return rows.select("url", F.try_to_timestamp("t").alias("processed_at"))
+    rows = read_json_map(spark, path, "string")
+    return rows.select(F.col("key").alias("url"), F.try_to_timestamp("value").alias("processed_at"))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """URL batches: ``subdomain, batch_no, pos, url`` from a map of lists."""
-    text = spark.read.text(path, wholetext=True)
-    hosts = text.select(F.explode(F.from_json("value", "map<string, array<array<string>>>")).alias("subdomain", "b"))
-    batches = hosts.select("subdomain", F.posexplode("b").alias("batch_no", "urls"))
+    hosts = read_json_map(spark, path, "array<array<string>>").withColumnRenamed("key", "subdomain")
+    batches = hosts.select("subdomain", F.posexplode("value").alias("batch_no", "urls"))
     return batches.select("subdomain", "batch_no", F.posexplode("urls").alias("pos", "url"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.operators.groups import split_in_order
+from leafwright.sources.page_files import write_files
 
 
 def write_pages(df: DataFrame, path: str, by: tuple[str, ...] = ("family",), mode: str = "overwrite") -> None:
@@ -13,26 +14,12 @@ def write_pages(df: DataFrame, path: str, by: tuple[str, ...] = ("family",), mod
     df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
-def export_pages(df: DataFrame, folder: str) -> None:
-    """Clean pages as ``.md`` files under a shared folder, written by the tasks.
+def export_pages(df: DataFrame, folder: str) -> int:
+    """Clean pages (family, name, content) as ``.md`` files in a folder per family; gives their number.
 
-    A file is written under another name first and moved, so a task that runs
-    twice leaves whole files.
+    Of pages with the same family and name one is there in the end.
     """
-
-    def write(rows):
-        import os
-        import uuid
-
-        for row in rows:
-            target = os.path.join(folder, row["family"], row["name"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            part = f"{target}.{uuid.uuid4().hex}"
-            with open(part, "w", encoding="utf-8", newline="") as f:
-                f.write(row["content"])
-            os.replace(part, target)
-
-    df.select("family", "name", "content").foreachPartition(write)
+    return write_files(df.select(F.col("family").alias("folder"), "name", "content").filter("content IS NOT NULL"), folder)
 
 
 def updates_json(df: DataFrame, size: int = 10000) -> DataFrame:

@@ -12,6 +12,7 @@ from leafwright.operators.catalog import pick_artifacts
 from leafwright.operators.search_index import merge_search
 from leafwright.sources import readers as rd
 from leafwright.sources import sinks as sk
+from leafwright.sources.json_map import read_json_map
 
 
 def put(path, text):
@@ -32,6 +33,71 @@ def test_pages(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "table")).first().family == "words"
 
 
+def test_exported_pages_are_whole_or_not_there(spark, tmp_path):
+    """A task that fails leaves nothing; one that runs twice leaves each file once."""
+    rows = [("f", f"{i}.md", "x" * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "family string, name string, content string").repartition(4)
+    out = tmp_path / "out"
+
+    @F.udf("string")
+    def broken(name, content):
+        if name == "17.md":
+            raise ValueError("lost")
+        return content
+
+    with pytest.raises(Exception, match="lost"):
+        sk.export_pages(df.withColumn("content", broken("name", "content")), str(out))
+    assert [p for p in out.rglob("*") if p.is_file()] == [] and not list(out.glob("_staging*"))
+    for _ in range(2):
+        assert sk.export_pages(df, str(out)) == 40
+        assert {p.name: p.read_text() for p in out.rglob("*") if p.is_file()} == {n: c for _, n, c in rows}
+    assert sk.export_pages(df.limit(0), str(tmp_path / "none")) == 0
+    with pytest.raises(Exception, match="not below"):
+        sk.export_pages(spark.createDataFrame([("..", "a.md", "x")], "family string, name string, content string"), str(out))
+
+
+def test_attempts_that_do_not_count_are_dropped(tmp_path):
+    from leafwright.sources.page_files import PageFilesWriter
+    from pyspark.sql import Row
+
+    writer = PageFilesWriter(str(tmp_path / "s"))
+    first, second = (writer.write(iter([Row(folder="f", name="a.md", content="x")])) for _ in range(2))
+    writer.commit([second, writer.write(iter([])), None])
+    lists = list((tmp_path / "s" / "lists").iterdir())
+    assert len(lists) == 1 and first.folder not in lists[0].read_text() and lists[0].read_text().endswith("\tf/a.md\n")
+    writer.abort([second])
+    assert not (tmp_path / "s").exists()
+
+
+@pytest.mark.parametrize("size", [1, 40, 333, 10_000])
+def test_a_json_map_is_read_in_ranges(spark, tmp_path, size):
+    """Keys and values that reach over the ends of ranges, with every sign that could mislead."""
+    odd = ['a,b', 'q"u,o"te', "\\,", "}{][", "", "ü\n\t", "\\\"", '{"x": [1, 2]}']
+    data = {f"k{i},{odd[i % 8]}": {"v": odd[(i * 3 + 1) % 8] * (i % 4), "l": [[1, {"a": "],["}], []], "n": None} for i in range(120)}
+    values = {k: json.dumps(v, separators=(",", ":"), ensure_ascii=False) for k, v in data.items()}
+    put(tmp_path / "a.json", json.dumps(data, indent=1))
+    put(tmp_path / "b.json", json.dumps(data, ensure_ascii=False))
+    for name, text in (("bad", json.dumps(data)[:-1]), ("list", json.dumps([data])), ("no", "no, no"), ("two", '{"a": 1}, {"b": 2}'), ("cut", '{"a": 1, "b"}'), ("end", '{"a": 1,}')):
+        put(tmp_path / f"{name}.json", text)
+    put(tmp_path / "none.json", " { } ")
+    put(tmp_path / "nothing.json", "")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size * 8 if size > 1 else 64))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        ranges = spark.read.option("lineSep", ",").text(str(tmp_path / "a.json")).rdd.getNumPartitions()
+        assert size == 10_000 or ranges >= 4
+        rows = read_json_map(spark, str(tmp_path), "struct<v: string, l: string, n: string>").collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in rows:
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append((r.key, r.value.v, json.loads(r.value.l)))
+    want = sorted((k, v["v"], v["l"]) for k, v in data.items())
+    assert len(values) == 120 and set(got) == {"a.json", "b.json"} and all(sorted(g) == want for g in got.values())
+
+
 def test_status(spark, tmp_path):
     put(tmp_path / "s.json", json.dumps({"A": {"nuget": "a", "version": "1", "processed": "2024-01-02"}, "B": {"version": "2"}}))
     rows = rd.read_status(spark, str(tmp_path / "s.json")).orderBy("family").collect()
