@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 from leafwright.session import settle
 
 
-def forest(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def forest(
+    size: int,
+    pairs: Iterator[tuple[np.ndarray, np.ndarray]],
+    alike: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    root: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what the pairs of ``size`` members join, one less than the members of each group.
 
-    Pairs whose ends are joined already are passed by.
+    Pairs whose ends are joined already are passed by; of the others those count that ``alike`` says.  ``root`` has the
+    least member of the group of each member at the start.
     """
-    root = np.arange(size)
+    root = np.arange(size) if root is None else root.copy()
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -28,6 +34,9 @@ def forest(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[n
     for x, y in pairs:
         apart = root[x] != root[y]
         x, y = x[apart], y[apart]
+        if alike is not None and len(x):
+            true = alike(x, y)
+            x, y = x[true], y[true]
         if not len(x):
             continue
         for key in np.unique(root[x] * size + root[y]).tolist():

@@ -7,13 +7,14 @@ The index has two levels.  At the top the groups are very many, in blocks of gro
 overlapping trees.  Sets that link differ in at most ``D`` shingles, so of more than ``D`` blocks they have the same
 counts in all but ``D``: a *cell* holds the points that agree in one block.  Of its blocks a set enters only the ``D + 1``
 of fewest sets, blocks of its own included, which still meets every partner; so unrelated sets enter none, and a passage
-that many texts share makes no cell.  In each cell an R-tree over 32 groups is joined with itself: pairs of nodes go on
+that many texts share makes no cell.  In each cell an R-tree over 128 groups is joined with itself: pairs of nodes go on
 while the summed minima of their boxes can reach the overlap that the threshold needs of their least sizes.  The pairs of
 points that are left are verified by their exact sets.
 
-Equal sets are one point.  In cells of many points these are compared with the cell's first before; those that
-link already need no further comparison with each other, so families of near copies cost one pair each, and other cells
-are cut to parts that are joined pair by pair.  No result depends on that.
+Equal sets are one point.  In cells of many points these are compared with the cell's first before, and then with the
+first of those that it does not reach; what is joined by that needs no further comparison with each other, so families
+of near copies cost a pair or two each, and other cells are cut to parts that are joined pair by pair.  No result depends
+on that.
 
 Results for odd input: null texts and texts without words have an empty set, linked with nothing; fewer words than a
 shingle has are one shingle; texts of any length are taken whole; rows that repeat an id are each their own text, named
@@ -31,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm.components import components
+from leafwright.llm.components import components, forest
 from leafwright.llm.texts import flat, mixed, read, slices, span_hashes, words
 from leafwright.session import settle
 
-#: Groups of the trees in the cells.
-GROUPS = 32
+#: Groups of the trees in the cells.  A count goes up to 255; what a set has above that is a coordinate of its own.
+GROUPS = 128
+MOST = 255
 ALL = 1 << 30
 
 
@@ -106,7 +108,7 @@ def points(docs: DataFrame, n: int, like: int) -> DataFrame:
         one, two = (mixed(s[edge[1:]] - s[edge[:-1]] + size.astype(np.uint64)) for s in sums)
         owner = np.repeat(np.arange(len(size)), size)
         counts = np.bincount(owner * GROUPS + (hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=len(size) * GROUPS)
-        counts = counts.reshape(-1, GROUPS).astype("<u4")
+        counts = np.minimum(counts, MOST).reshape(-1, GROUPS).astype(np.uint8)
         none = np.flatnonzero(size < sizes[0][0])
         nothing = np.zeros(len(none), np.int64)
         held = [(none, nothing, nothing, np.zeros(0, np.uint64), -1)]
@@ -181,15 +183,19 @@ def cells(found: DataFrame) -> DataFrame:
     return held.select("id", "tree", F.explode(F.slice("keys", 1, F.col("take"))["key"]).alias("key"))
 
 
-def tree_pairs(vectors: np.ndarray, size: np.ndarray, label: np.ndarray, side: np.ndarray, like: int, leaf: int = 32):
-    """Pairs of points that may link, by a join of their R-tree with itself.
+def tree_pairs(
+    vectors: np.ndarray, size: np.ndarray, label: np.ndarray, side: np.ndarray, like: int, leaf: int = 32
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of points that may link, by a join of their R-tree with itself; those of a pair of leaves at a time.
 
-    Pairs of one label (0 and above) are known to be joined.  If there are two sides, only pairs across them count.
+    Points are counts of ``size`` shingles in the groups, up to ``MOST`` each.  Pairs of one label (0 and above) are known
+    to be joined.  If there are two sides, only pairs across them count.
     """
     if len(size) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return
     across = side.min() != side.max()
     need = np.int64(like)
+    above = size - vectors.sum(1, dtype=np.int64)
     nodes: list[tuple] = []
 
     def build(rows: np.ndarray) -> int:
@@ -204,54 +210,112 @@ def tree_pairs(vectors: np.ndarray, size: np.ndarray, label: np.ndarray, side: n
             order = np.argsort(along, kind="stable")
             half = len(rows) // 2
             below = (build(rows[order[:half]]), build(rows[order[half:]]))
-        nodes.append((rows, v.max(0), int(size[rows].min()), same, sides, below))
+        nodes.append((rows, v.max(0), int(above[rows].max()), int(size[rows].min()), same, sides, below))
         return len(nodes) - 1
 
     top = build(np.arange(len(size)))
-    todo, out = [(top, top)], []
+    todo = [(top, top)]
     while todo:
         i, j = todo.pop()
-        rows, high, low, same, sides, below = nodes[i]
-        rows2, high2, low2, same2, sides2, below2 = nodes[j]
+        rows, high, rest, low, same, sides, below = nodes[i]
+        rows2, high2, rest2, low2, same2, sides2, below2 = nodes[j]
         if (same >= 0 and same == same2) or (across and sides == sides2 and sides < 3):
             continue
-        if (100 + need) * np.minimum(high, high2).sum(dtype=np.int64) < need * (low + low2):
+        if (100 + need) * (np.minimum(high, high2).sum(dtype=np.int64) + min(rest, rest2)) < need * (low + low2):
             continue
         if below is None and below2 is None:
             a, b = vectors[rows], vectors[rows2]
             common = np.minimum(a[:, None], b[None]).sum(2, dtype=np.int64)
+            common += np.minimum(above[rows][:, None], above[rows2][None])
             fits = (100 + need) * common >= need * (size[rows][:, None] + size[rows2][None])
             if across:
                 fits &= side[rows][:, None] != side[rows2][None]
             fits &= (label[rows][:, None] != label[rows2][None]) | (label[rows][:, None] < 0)
             x, y = np.nonzero(np.triu(fits, 1) if i == j else fits)
-            out.append((rows[x], rows2[y]))
+            yield rows[x], rows2[y]
         elif i == j:
             todo += [(below[0], below[0]), (below[0], below[1]), (below[1], below[1])]
         elif below2 is None or (below is not None and len(rows) >= len(rows2)):
             todo += [(below[0], j), (below[1], j)]
         else:
             todo += [(i, below2[0]), (i, below2[1])]
-    return np.concatenate([x for x, _ in out] or [np.zeros(0, np.int64)]), np.concatenate([y for _, y in out] or [np.zeros(0, np.int64)])
 
 
-def _walk(batches: Iterator[pa.RecordBatch], like: int) -> Iterator[pa.RecordBatch]:
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell; they come a cell after the other, and one cell and one batch are held at a time."""
+    rest = None
     for batch in batches:
-        members = batch.column("members")
-        edge = np.asarray(members.offsets)
-        held = members.values
-        ids, size, label, side = (np.asarray(held.field(c)) for c in ("id", "n", "label", "side"))
-        # Labels are hashes; none is -1.
-        label = np.where(label == -1, -1, label & np.int64((1 << 63) - 1))
-        vectors = np.frombuffer(b"".join(held.field("vector").to_pylist()), "<u4").reshape(-1, GROUPS)
-        one, two = [], []
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            x, y = tree_pairs(vectors[a:b], size[a:b], label[a:b], side[a:b], like)
-            one.append(ids[a:b][x])
-            two.append(ids[a:b][y])
-        x, y = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (one, two))
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-        yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        names = rows.column("cell").to_numpy()
+        starts = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+        for a, b in zip(starts.tolist(), starts[1:].tolist()):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(starts[-1]).combine_chunks() if len(starts) else rest
+    if rest is not None:
+        yield rest
+
+
+def _points_of(cell: pa.Table) -> tuple[np.ndarray, ...]:
+    ids, size, label, side = (cell.column(c).to_numpy() for c in ("id", "n", "label", "side"))
+    # Labels are hashes; none is -1.
+    label = np.where(label == -1, -1, label & np.int64((1 << 63) - 1))
+    vectors = np.frombuffer(b"".join(cell.column("vector").to_pylist()), np.uint8).reshape(-1, GROUPS)
+    return ids, vectors, size, label, side
+
+
+def _walk(batches: Iterator[pa.RecordBatch], like: int) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of the cells."""
+    found, held = [], 0
+    for cell in _cells(batches):
+        ids, *points_ = _points_of(cell)
+        for x, y in tree_pairs(*points_, like):
+            found.append((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])))
+            held += len(x)
+        if held >= 1 << 17:
+            yield _pairs(found)
+            found, held = [], 0
+    yield _pairs(found)
+
+
+def _exact(grams: list[bytes], size: np.ndarray, like: int, most: int = 1 << 13):
+    """The exact test of pairs of members, by numbers: of products of their sets where few shingles are shared."""
+    sets = [np.frombuffer(g, np.uint64) for g in grams]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    if shared.sum() > most:
+        return lambda x, y: np.array([linked(grams[i], grams[j], like) for i, j in zip(x.tolist(), y.tolist())], bool)
+    place = np.cumsum(shared) - 1
+    held = np.zeros((len(sets), int(shared.sum())), np.float32)
+    met = shared[number]
+    held[owner[met], place[number[met]]] = 1
+
+    def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        common = np.concatenate([np.einsum("ij,ij->i", held[x[i : i + 256]], held[y[i : i + 256]]) for i in range(0, len(x), 256)])
+        return 100 * common.astype(np.int64) >= like * (size[x] + size[y] - common.astype(np.int64))
+
+    return alike
+
+
+def _links_in(batches: Iterator[pa.RecordBatch], like: int) -> Iterator[pa.RecordBatch]:
+    """Links of the tiles of large cells, verified there: a spanning forest of what each joins anew."""
+    for cell in _cells(batches):
+        ids, vectors, size, label, side = _points_of(cell)
+        _, first, group = np.unique(label, return_index=True, return_inverse=True)
+        alike = _exact(cell.column("grams").to_pylist(), size, like)
+        x, y = forest(len(ids), tree_pairs(vectors, size, label, side, like), alike, first[group])
+        yield pa.record_batch([pa.array(ids[x]), pa.array(ids[y])], ["a", "b"])
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """The pairs of some cells, each once."""
+    a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in ([f[i] for f in found] for i in (0, 1)))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.record_batch([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, asked: DataFrame, n: int) -> DataFrame:
@@ -270,7 +334,8 @@ def sets_of(docs: DataFrame, rows: DataFrame, asked: DataFrame, n: int) -> DataF
                 grams = [hashes[i:j].tobytes() for i, j in zip(edge.tolist(), edge[1:].tolist())]
                 yield pa.record_batch([pa.array(one), pa.array(grams, pa.binary())], ["id", "grams"])
 
-    return texts.mapInArrow(run, "id long, grams binary").dropDuplicates(["id"])
+    # Written, so that the joins with it deal out both sides anew and Spark can split the pairs of one set.
+    return settle(texts.mapInArrow(run, "id long, grams binary").join(asked, "id", "left_semi").dropDuplicates(["id"]), "sets")
 
 
 def linked(a: bytes, b: bytes, like: int) -> bool:
@@ -292,7 +357,40 @@ def verified(pairs: DataFrame, sets: DataFrame, like: int) -> DataFrame:
     return both.mapInPandas(run, "a long, b long")
 
 
-def join(docs: DataFrame, n: int = 4, like: int = 85, small: int = 64, part: int = 1024) -> DataFrame:
+def _labels(links: DataFrame) -> DataFrame:
+    return settle(components(links).select(F.col("node").alias("id"), F.col("component").alias("label")), "labels")
+
+
+def _parted(cells_: DataFrame, label: DataFrame) -> DataFrame:
+    """``key, id, size, head, label`` of the cells whose points are not all joined."""
+    named = cells_.select("key", "id", "size", "head").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    several = named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    return settle(named.join(several.select("key"), "key").select("key", "id", "size", "head", "label"), "parted")
+
+
+def _tiles(cells_: DataFrame, part: int) -> DataFrame:
+    """``cell, side, id, label`` of the tiles of cells (key, id, label): pairs of parts of about ``part`` points.
+
+    Where the cells that share points have more pairs than all their points together, as in a family of copies that
+    differ in many places, these are one cell, so that each pair is met once.
+    """
+    joined = components(cells_.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")))
+    named = cells_.join(joined.withColumnRenamed("node", "id").withColumnRenamed("component", "family"), "id")
+    named = settle(named.select("family", "key", "id", "label"), "families")
+    points_ = named.select("family", "id").distinct().groupBy("family").agg((F.count("*") * F.count("*")).alias("all"))
+    each = named.groupBy("family", "key").agg(F.count("*").alias("n")).groupBy("family").agg(F.sum(F.col("n") * F.col("n")).alias("apart"))
+    whole = points_.join(each, "family").select("family", (F.col("all") <= F.col("apart")).alias("whole"))
+    unit = F.when(F.col("whole"), F.concat(F.lit("f"), F.col("family"))).otherwise(F.concat(F.lit("k"), F.col("key")))
+    units = named.join(whole, "family").select(unit.alias("unit"), "id", "label").distinct()
+    units = settle(units, "units")
+    parts = units.groupBy("unit").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    spread = units.join(parts, "unit").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    cell = F.concat_ws(" ", "unit", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell")
+    return spread.select(cell, F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "id", "label")
+
+
+def join(docs: DataFrame, n: int = 4, like: int = 85, small: int = 8, part: int = 512) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row of (doc_id, text): links at ``like`` hundredths of Jaccard similarity."""
     found = settle(points(docs, n, like), "points")
     rows = found.filter("main").select("doc_id", "n", "one", "two")
@@ -300,30 +398,31 @@ def join(docs: DataFrame, n: int = 4, like: int = 85, small: int = 64, part: int
     members = settle(cells(found), "members")
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("head")).filter("size > 1")
     inside = settle(members.join(sizes, "key").select("key", "id", "size", "head"), "cells")
-    # Cells of many points: all with the first.
-    star = inside.filter((F.col("size") > small) & (F.col("id") > F.col("head"))).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    star = settle(star, "star")
-    heads = settle(verified(star, sets_of(docs, rows, star.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), like), "star-links")
-    label = settle(components(heads).select(F.col("node").alias("id"), F.col("component").alias("label")), "labels")
+    sets = sets_of(docs, rows, inside.select("id").distinct(), n)
+    # Cells of many points: all with the first, then all that are not joined to it with the first of these.
+    many = inside.filter(F.col("size") > small)
+    star = many.filter(F.col("id") > F.col("head")).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    heads = settle(verified(star, sets, like), "star-links")
+    parted = _parted(many, _labels(heads))
+    own = parted.filter("id = head").select("key", F.col("label").alias("first"))
+    second = parted.join(own, "key").filter("label <> first").groupBy("key").agg(F.min(F.struct("id", "label")).alias("second"))
+    star = parted.join(second, "key").filter(F.col("label") != F.col("second.label"))
+    star = star.select(F.least("id", "second.id").alias("a"), F.greatest("id", "second.id").alias("b")).distinct()
+    heads = settle(heads.unionByName(verified(star, sets, like)), "star-links")
+    # What is left is joined in tiles, with the sets there.
+    label = _labels(heads)
+    tiled = settle(_tiles(_parted(parted, label), part).join(point, "id").join(sets, "id"), "tiles")
+    tiled = tiled.repartition("cell").sortWithinPartitions("cell", "id").select("cell", "id", "n", "label", "side", "vector", "grams")
+    heads = heads.unionByName(settle(tiled.mapInArrow(lambda b: _links_in(b, like), "a long, b long"), "tile-links"))
+    # Cells of few points: candidates first, as many cells have the same ones.
     few = inside.filter(F.col("size") <= small).groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    few = few.select("ids").distinct().select(F.transform("ids", lambda x: F.struct(F.lit(0).alias("side"), x.alias("id"))).alias("ids"))
-    many = inside.filter(F.col("size") > small).join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed_cells = many.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.first("size").alias("of"))
-    many = many.join(mixed_cells.filter("least <> most"), "key").withColumn("parts", F.ceil(F.col("of") / part).cast("int"))
-    many = many.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    many = many.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    tile = (F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    side = F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side")
-    many = many.select("key", *tile, F.struct(side, F.col("id")).alias("m")).groupBy("key", "i", "j").agg(F.collect_list("m").alias("ids"))
-    lists = settle(few.unionByName(many.select("ids")).withColumn("cell", F.monotonically_increasing_id()), "lists")
-    placed = lists.select("cell", F.explode("ids").alias("m")).select("cell", "m.side", "m.id").join(point, "id").join(label, "id", "left")
-    # Labels within a list, as small numbers; sets without one have none.
-    placed = placed.withColumn("label", F.coalesce(F.col("label"), F.lit(-1)))
-    member = F.struct("id", "n", F.col("label"), "side", "vector")
-    trees_in = placed.groupBy("cell").agg(F.collect_list(member).alias("members"))
-    pairs = settle(trees_in.mapInArrow(lambda b: _walk(b, like), "a long, b long").distinct(), "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    links = heads.unionByName(verified(pairs, sets_of(docs, rows, asked, n), like))
+    few = settle(few.select("ids").distinct().withColumn("cell", F.monotonically_increasing_id()), "lists")
+    placed = few.select("cell", F.explode("ids").alias("id")).join(point, "id").join(label, "id", "left")
+    placed = placed.select("cell", "id", "n", F.coalesce("label", F.lit(-1)).alias("label"), F.lit(0).alias("side"), "vector")
+    # A cell's points pass one after the other, so a task holds one cell.
+    laid = placed.repartition("cell").sortWithinPartitions("cell", "id")
+    pairs = settle(laid.mapInArrow(lambda b: _walk(b, like), "a long, b long").distinct(), "pairs")
+    links = heads.unionByName(verified(pairs, sets, like))
     named = components(links)
     classes = rows.groupBy("one", "two").agg(F.min("doc_id").alias("first"))
     classes = classes.join(named, classes["one"] == named["node"], "left").withColumn("component", F.coalesce("component", "one"))

@@ -159,6 +159,8 @@ def repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     found = settle(runs(docs, least), "runs")
     place = F.struct(F.col("doc_id").alias("doc"), F.col("place").alias("at"))
     often = found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    # Written, so that the join deals out both sides anew and Spark can split the places of one very common paragraph.
+    often = settle(often, "common-runs")
     later = (F.col("doc_id") != F.col("first.doc")) | (F.col("place") >= F.col("first.at") + length)
     again = found.join(often, ["one", "two"]).filter(later).select("doc_id", "place", "first")
     again = again.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "first.doc", "first.at"))).alias("found"))

@@ -90,9 +90,22 @@ def test_families_around_the_threshold(spark, seed):
     assert run(spark, rows) == brute(rows)
 
 
-def test_large_cells_in_parts(spark):
+@pytest.mark.parametrize("small,part", [(2, 8), (4, 500)])
+def test_large_cells_in_parts(spark, small, part):
     rows = corpus(3, 6, 60)
-    assert run(spark, rows, small=4, part=8) == brute(rows)
+    assert run(spark, rows, small=small, part=part) == brute(rows)
+
+
+def test_exact_tests_agree():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 60, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(54, 61), False), rng.integers(0, 1 << 60, rng.integers(0, 3)).astype(np.uint64)])) for _ in range(40)]
+    grams, size = [s.tobytes() for s in sets], np.array([len(s) for s in sets])
+    x, y = np.triu_indices(40, 1)
+    want = [overlaps.linked(grams[i], grams[j], 85) for i, j in zip(x, y)]
+    assert 0 < sum(want) < len(want)
+    for most in (0, 1 << 13):
+        assert overlaps._exact(grams, size, 85, most)(x, y).tolist() == want
 
 
 def test_odd_rows(spark):
@@ -120,15 +133,18 @@ def test_tree_pairs_are_those_whose_minima_suffice():
     rng = np.random.default_rng(5)
     for n in (2, 40, 300):
         base = rng.poisson(4, (n // 10 + 1, overlaps.GROUPS))
-        vectors = np.maximum(base[rng.integers(0, len(base), n)] + rng.integers(-1, 2, (n, overlaps.GROUPS)) * (rng.random((n, overlaps.GROUPS)) < 0.2), 0).astype("<u4")
-        size = vectors.sum(1).astype(np.int64)
+        vectors = np.maximum(base[rng.integers(0, len(base), n)] + rng.integers(-1, 2, (n, overlaps.GROUPS)) * (rng.random((n, overlaps.GROUPS)) < 0.2), 0).astype(np.uint8)
+        # Some have more in a group than a count holds.
+        size = vectors.sum(1).astype(np.int64) + (rng.random(n) < 0.1) * rng.integers(0, 400, n)
         for label, side in (
             (np.full(n, -1), np.zeros(n, int)),
             (rng.integers(-1, 3, n), np.zeros(n, int)),
             (np.full(n, -1), rng.integers(0, 2, n)),
         ):
-            x, y = overlaps.tree_pairs(vectors, size, label, side, 85)
-            common = np.minimum(vectors[:, None], vectors[None]).sum(2)
+            found = [(np.zeros(0, int), np.zeros(0, int)), *overlaps.tree_pairs(vectors, size, label, side, 85)]
+            x, y = (np.concatenate(v) for v in zip(*found))
+            above = size - vectors.sum(1)
+            common = np.minimum(vectors[:, None], vectors[None]).sum(2) + np.minimum(above[:, None], above[None])
             fits = 185 * common >= 85 * (size[:, None] + size[None])
             fits &= (label[:, None] != label[None]) | (label[:, None] < 0)
             if side.min() != side.max():
