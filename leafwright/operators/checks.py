@@ -8,7 +8,7 @@ No check raises; a NULL result counts as failed.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,9 +84,13 @@ def check(check_id: str):
     return add
 
 
-def register_check(check_id: str, fn: Callable[[Column, Column, Column], Column]) -> None:
-    """Add a user check: ``fn(content, fm, body)`` gives a boolean column."""
-    CHECKS[check_id] = lambda p: fn(p.content, p.fm, p.body)
+def register_check(rules: CheckRules, check_id: str, fn: Callable[[Column, Column, Column], Column]) -> CheckRules:
+    """Rules with a user check: ``fn(content, fm, body)`` gives a boolean column.
+
+    The check belongs to these rules alone: whoever does not pass them on does not see it.  A user check goes before a
+    shipped one of the same id.
+    """
+    return replace(rules, user_checks=(*rules.user_checks, (check_id, fn)))
 
 
 def _any_word(words: Sequence[str], bounded: bool = True) -> str:
@@ -408,8 +412,12 @@ def add_check_columns(
         df = df.withColumn("_yaml", parse_yaml(F.col("fm")))
     page = _page_columns(df, content, rules)
 
+    own = {check_id: fn for check_id, fn in rules.user_checks}
+
     def column(c: CheckDef) -> Column:
         rule = CHECKS.get(c.id)
+        if c.id in own:
+            rule = lambda p: own[c.id](p.content, p.fm, p.body)
         passed = F.lit(True) if rule is None else F.coalesce(rule(page), F.lit(False))
         return passed.alias(prefix + c.id)
 

@@ -57,13 +57,13 @@ def is_sitemap_index(body: Column) -> Column:
 
 
 def locations(docs: DataFrame, strict: bool = True) -> DataFrame:
-    """``sitemap_url, is_index, pos, loc, lastmod`` of all valid payloads."""
+    """``sitemap_url, is_index, pos, loc, lastmod`` of all valid payloads; one that names nothing has a row without ``loc``."""
     found = valid_sitemaps(docs, strict).filter(is_sitemap(F.col("sitemap_url")))
     entries = found.select(
         "sitemap_url", is_sitemap_index(F.col("body")).alias("is_index"), parse_sitemap(F.col("body")).alias("_locs")
     )
     return entries.select(
-        "sitemap_url", "is_index", F.posexplode("_locs").alias("pos", "_l")
+        "sitemap_url", "is_index", F.posexplode_outer("_locs").alias("pos", "_l")
     ).select("sitemap_url", "is_index", "pos", F.col("_l.loc").alias("loc"), F.col("_l.lastmod").alias("lastmod"))
 
 
@@ -74,7 +74,7 @@ def nested_sitemaps(locs: DataFrame, index_test: str = "suffix") -> DataFrame:
     an index by its ``root`` element.
     """
     keep = is_sitemap(F.col("loc")) if index_test == "suffix" else F.col("is_index")
-    return locs.filter(keep).select("sitemap_url", "pos", "loc")
+    return locs.filter(keep & F.col("loc").isNotNull()).select("sitemap_url", "pos", "loc")
 
 
 def parse_lastmod(text: Column) -> Column:
@@ -118,11 +118,12 @@ def expand_sitemaps(
     host, step 1 what it names, step 2 (``depth`` 2) what the sitemaps of steps
     0 and 1 name, step 3 family sitemaps and what they name.  The index is
     expanded in both steps, so its sitemaps come twice unless ``dedupe``.
-    ``locs`` takes :func:`locations` that were worked out before.
+    ``locs`` takes :func:`locations` that were worked out before; then no body is read here.
     """
-    nested = nested_sitemaps(locations(docs, strict) if locs is None else locs, index_test)
+    locs = locations(docs, strict) if locs is None else locs
+    nested = nested_sitemaps(locs, index_test)
     index_url = F.concat(F.lit("https://"), "subdomain", F.lit("/sitemap.xml"))
-    live = valid_sitemaps(docs, strict).select("sitemap_url").distinct()
+    live = locs.select("sitemap_url").distinct()
     zero = F.lit(0)
 
     def visit(step: int, p1: Column, p2: Column) -> Column:

@@ -5,6 +5,7 @@ Brand words belong to a site, so they have no built-in value beyond a stand-in.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 # Regular expressions of placeholder text.
@@ -70,3 +71,4 @@ class CheckRules:
     min_tags: int = 3
     max_tags: int = 10
     tables_per_block: bool = False
+    user_checks: tuple[tuple[str, Callable], ...] = ()

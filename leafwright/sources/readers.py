@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from leafwright.operators.checks import CheckDef
 from leafwright.operators.frontier import explode_batches
 from leafwright.sources.json_map import read_json_map
+from leafwright.sources.page_files import file_system
 
 REVIEW_STATE_SCHEMA = (
     "repo_url string, pr_number int, product string, decision string, score int,"
@@ -161,12 +162,17 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_checklist(path: str) -> tuple[list[CheckDef], dict]:
-    """Checks of a YAML checklist in order, and its settings for the model (a small file, read on the driver)."""
+def _yaml_file(path: str) -> dict:
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        data = yaml.safe_load(f) or {}
+    system, name = file_system(path)
+    with system.open_input_stream(name) as f:
+        return yaml.safe_load(f.read().decode()) or {}
+
+
+def read_checklist(path: str) -> tuple[list[CheckDef], dict]:
+    """Checks of a YAML checklist in order, and its settings for the model (a small file, read on the driver)."""
+    data = _yaml_file(path)
     checks = [
         CheckDef(c["id"], c.get("description", c["id"]), int(c.get("weight", 0)), c.get("type", "recommended"))
         for c in data.get("checks", [])
@@ -176,10 +182,7 @@ def read_checklist(path: str) -> tuple[list[CheckDef], dict]:
 
 def read_filter_rules(path: str) -> list[tuple[str, str]]:
     """Ordered ``(action, pattern)`` rules of a YAML filter file (a small file, read on the driver)."""
-    import yaml
-
-    with open(path, encoding="utf-8") as f:
-        data = yaml.safe_load(f) or {}
+    data = _yaml_file(path)
     return [(action, rule["uidRegex"]) for item in data.get("apiRules", []) for action, rule in item.items()]
 
 

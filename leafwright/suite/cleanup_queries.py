@@ -36,8 +36,11 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list of classes as a table."""
-    return _step(spark, sf_dir, cl.section_to_table(F.col("content"), "Classes", F.col("family")))
+    """The lists of structs, delegates, classes, interfaces and enums as tables."""
+    content = F.col("content")
+    for section in [s for s in cl.SECTIONS if s != "Namespaces"]:
+        content = cl.section_to_table(content, section, F.col("family"))
+    return _step(spark, sf_dir, content)
 
 
 def page_namespace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,11 +139,13 @@ def _on(template: str, inner: str) -> str:
     return template.replace("{c}", inner)
 
 
+_SECTION = "CASE p_partkey % 5 WHEN 1 THEN 'Structs' WHEN 2 THEN 'Delegates' WHEN 3 THEN 'Interfaces' WHEN 4 THEN 'Enums' ELSE 'Classes' END"
+_ITEM = "CASE p_partkey % 5 WHEN 1 THEN 'Struct' WHEN 2 THEN 'Delegate' WHEN 3 THEN 'Interface' WHEN 4 THEN 'Enum' ELSE 'Class' END"
 _CLASS_LIST = _lines(
-    "'## Classes'", "''", "'[A](Acme.A.md)'", "''", "'First thing.'", "''", "'[B' || CAST(p_partkey AS VARCHAR) || '](B.md)'"
+    f"'## ' || {_SECTION}", "''", "'[A](Acme.A.md)'", "''", "'First thing.'", "''", "'[B' || CAST(p_partkey AS VARCHAR) || '](B.md)'"
 ) + f" || {NL}"
 _CLASS_TABLE = _lines(
-    "'## Classes'", "''", "'| Class Name | Description |'", "'| --- | --- |'",
+    f"'## ' || {_SECTION}", "''", f"'| ' || {_ITEM} || ' Name | Description |'", "'| --- | --- |'",
     "'| [A](/' || fam || '/acme.a/) | First thing. |'",
     "'| [B' || CAST(p_partkey AS VARCHAR) || '](/' || fam || '/b/) |  |'", "''",
 )

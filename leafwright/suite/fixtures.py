@@ -224,7 +224,7 @@ SELECT 'h' || CAST(host AS STRING) || '.example.org' AS subdomain, host, sm, pos
        host % 7 = 1 AND sm = 0 AS bad_xml
 FROM (
   SELECT CAST(FLOOR(page_id / 100.0) AS BIGINT) AS host, CAST(FLOOR((page_id % 100) / 25.0) AS BIGINT) AS sm,
-         page_id % 25 AS pos, replace(url, '&', '') AS url,
+         page_id % 25 AS pos, url,
          CASE WHEN page_id % 5 = 0 THEN NULL
               WHEN page_id % 7 = 0 THEN '2024-01-20T00:00:00Z' ELSE '2024-01-20' END AS lastmod
   FROM pages
@@ -232,14 +232,14 @@ FROM (
 """
 
 LEDGER = """
-SELECT replace(url, '&', '') AS url, page_id,
+SELECT url, page_id,
        CAST(timestamp '2024-01-01 00:00:00' + interval '1' day * CAST(page_id % 40 AS INT) AS TIMESTAMP) AS processed_at
 FROM pages WHERE page_id % 3 = 0
 """
 
 OUTCOME = """
 SELECT 'h' || CAST(CAST(FLOOR(p.page_id / 100.0) AS BIGINT) AS STRING) || '.example.org' AS subdomain,
-       CAST(FLOOR((p.page_id % 100) / 10.0) AS BIGINT) AS batch_no, replace(p.url, '&', '') AS url, e.event_id,
+       CAST(FLOOR((p.page_id % 100) / 10.0) AS BIGINT) AS batch_no, p.url, e.event_id,
        CASE e.event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 401 ELSE 200 END AS status,
        CAST(1 + e.event_id % 6 AS INT) AS attempt
 FROM events e JOIN pages p ON p.page_id = CAST(FLOOR(e.event_id / 40.0) AS BIGINT)
@@ -272,7 +272,8 @@ SELECT p_partkey, 'Acme.' || replace(p_brand, '#', '') AS family_name, '25.' ||
             ELSE '' END ||
        CASE WHEN p_partkey % 5 = 0 THEN 'See <xref href="Sys.T%601"><b>t</b> &copy;</xref> here.' || chr(10) ELSE '' END ||
        CASE WHEN p_partkey % 6 = 0 THEN 'Go to [L](X/' || p_brand || '.md) or [M](https://a/b.md).' || chr(10) ELSE '' END ||
-       chr(10) || '## Classes' || chr(10) || chr(10) || '[A](Acme.A.md)' || chr(10) || chr(10) || 'First thing.' || chr(10) || chr(10) ||
+       chr(10) || '## ' || CASE p_partkey % 5 WHEN 1 THEN 'Structs' WHEN 2 THEN 'Delegates' WHEN 3 THEN 'Interfaces' WHEN 4 THEN 'Enums' ELSE 'Classes' END ||
+       chr(10) || chr(10) || '[A](Acme.A.md)' || chr(10) || chr(10) || 'First thing.' || chr(10) || chr(10) ||
        '[B' || CAST(p_partkey AS STRING) || '](B.md)' || chr(10) || chr(10) || '### Namespaces' || chr(10) || chr(10) || '[N](Acme.N.md)' || chr(10)
        AS content
 FROM part

@@ -65,7 +65,7 @@ def sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     mod = F.when(
         F.col("lastmod").isNotNull(), F.concat(F.lit("<lastmod>"), "lastmod", F.lit("</lastmod>"))
     ).otherwise("")
-    entry = F.concat(F.lit("<url><loc>"), "url", F.lit("</loc>"), mod, F.lit("</url>"))
+    entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc>"), mod, F.lit("</url>"))
     # The second sitemap of a host also names the third.
     below = F.when(
         F.col("sm") == 1,
@@ -74,12 +74,16 @@ def sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = rows.groupBy("subdomain", "host", "sm", "sitemap_url", "status", "bad_xml").agg(
         F.array_sort(F.collect_list(F.struct("pos", entry.alias("x")))).alias("_e")
     )
+    whole = F.replace(xml("urlset", F.col("_e")), F.lit("</urlset>"), F.concat(below, F.lit("</urlset>")))
     leaf = packed.select(
         "subdomain",
         "sitemap_url",
         "status",
-        F.when(F.col("bad_xml"), "not found")
-        .otherwise(F.replace(xml("urlset", F.col("_e")), F.lit("</urlset>"), F.concat(below, F.lit("</urlset>"))))
+        F.when(~F.col("bad_xml"), whole)
+        # What is no XML, has a bare & in a text, or was cut off names nothing.
+        .when(F.col("host") % 3 == 0, "not found")
+        .when(F.col("host") % 3 == 1, F.replace(whole, F.lit("</loc>"), F.lit("?a=1&b=2</loc>")))
+        .otherwise(F.substr(whole, F.lit(1), F.length(whole) - 20))
         .alias("body"),
     )
     named = rows.filter("sm < 2").select("subdomain", "sm", "sitemap_url").distinct()

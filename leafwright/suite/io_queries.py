@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from leafwright.functions.pages import family_slug
 from leafwright.operators import cleanup as cl
 from leafwright.operators import frontier as fr
-from leafwright.operators.catalog import apply_updates, version_updates
+from leafwright.operators.catalog import apply_filter_rules, apply_updates, version_updates
+from leafwright.operators.checks import DEFAULT_CHECKLIST
 from leafwright.operators.keywords import keywords_by_page
 from leafwright.operators.search_index import merge_search
 from leafwright.operators.state import mark_processed
 from leafwright.session import work_path
 from leafwright.sources import readers as rd
 from leafwright.sources import sinks as sk
-from leafwright.suite import catalog_queries, cleanup_queries, review_queries, site_queries
+from leafwright.sources.page_files import write_files
+from leafwright.suite import catalog_queries, cleanup_queries, page_queries, review_queries, site_queries
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import feeds, fixture, query_rows, search_docs, sitemap_docs
 
@@ -159,6 +161,99 @@ def sink_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("run_id", "status", "items_succeeded").agg(F.count("*").alias("n"))
 
 
+def sink_export_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean pages exported as Markdown files, a folder per family, and read back from them; pages of one name count once."""
+    path = work_path(spark, "export")
+    raw = fixture(spark, sf_dir, "raw_page").select("p_partkey", "family_name", "version", "name", "content")
+    clean = cl.clean_pages(raw).filter("name <> '_index.md'")
+    sk.export_pages(clean.select("family", "name", "content"), path)
+    return rd.read_pages(spark, path).select("family", "name", "content")
+
+
+def source_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search data landed as one JSON file per family and language, merged after it was read."""
+    path = work_path(spark, "search-files")
+    docs = search_docs(spark, sf_dir)
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    fields = lambda m: F.array_join(
+        F.transform(F.map_entries(m), lambda e: F.concat(quoted(e["key"]), F.lit(":"), quoted(e["value"]))), ","
+    )
+    data = F.when(F.col("data").isNotNull(), F.concat(F.lit('"data":{'), fields("data"), F.lit("},"))).otherwise("")
+    entry = F.concat(quoted(F.col("page_path")), F.lit(":{"), data, fields("other"), F.lit("}"))
+    files = docs.groupBy("family", "lang").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    content = F.concat(F.lit("{"), F.array_join("e", ","), F.lit("}")).alias("content")
+    write_files(files.select(F.col("family").alias("folder"), F.concat("lang", F.lit(".search-data.json")).alias("name"), content), path)
+    families = [f"f{i}" for i in range(8)]
+    return site_queries.merged_text(merge_search(rd.read_search_index(spark, path, families)))
+
+
+def source_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of packages, landed in their folders: sizes and places."""
+    path = work_path(spark, "artifacts")
+    files = fixture(spark, sf_dir, "artifact")
+    folder = F.concat_ws("/", "nuget", "family", F.concat(F.lit("lib"), F.col("walk_ord")))
+    name = F.element_at(F.split("path", "/"), -1)
+    write_files(files.select(folder.alias("folder"), name.alias("name"), F.expr("repeat('x', int(length))").alias("content")), path)
+    back = rd.read_artifacts(spark, path)
+    below = F.expr("regexp_extract(path, '/(lib[^/]+/[^/]+)$', 1)")
+    return back.select("nuget", "family", below.alias("path"), "length")
+
+
+def source_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checklist written as YAML and read back drives the review of every page."""
+    path = work_path(spark, "checklist")
+    row = "  - id: {0.id}\n    description: \"{0.description}\"\n    weight: {0.weight}\n    type: {0.type}\n"
+    lines = [row.format(c).replace("\\", "\\\\") for c in DEFAULT_CHECKLIST]
+    text = "checks:\n" + "".join(lines) + "ai_evaluation:\n  weight: 20\n"
+    write_files(spark.createDataFrame([(".", "checklist.yaml", text)], "folder string, name string, content string"), path)
+    checks, _ = rd.read_checklist(f"{path}/checklist.yaml")
+    return page_queries.static_review(spark, sf_dir, checks)
+
+
+def source_filter_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules written as YAML and read back: the API ids that they keep."""
+    path = work_path(spark, "rules")
+    text = "apiRules:\n" + "".join(f"  - {action}:\n      uidRegex: '{regex}'\n" for action, regex in catalog_queries.RULES)
+    write_files(spark.createDataFrame([(".", "filter.yml", text)], "folder string, name string, content string"), path)
+    return apply_filter_rules(fixture(spark, sf_dir, "api_id"), rd.read_filter_rules(f"{path}/filter.yml"))
+
+
+def _landed_map(rows: DataFrame, path: str) -> str:
+    """One JSON object of rows (key, value), the value a JSON text, as a file over several lines."""
+    entry = F.concat(F.lit(" "), F.regexp_replace(F.to_json(F.array("key")), r"^\[|\]$", ""), F.lit(": "), "value")
+    whole = rows.groupBy().agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    text = F.concat(F.lit("{\n"), F.array_join("e", ",\n"), F.lit("\n}\n")).alias("content")
+    write_files(whole.select(F.lit(".").alias("folder"), F.lit("map.json").alias("name"), text), path)
+    return f"{path}/map.json"
+
+
+def source_status_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status file of the original form, one JSON object, read by ranges."""
+    status = fixture(spark, sf_dir, "package_status")
+    value = F.to_json(F.struct("nuget", "version", F.date_format("processed", "yyyy-MM-dd").alias("processed")))
+    path = _landed_map(status.select(F.col("family").alias("key"), value.alias("value")), work_path(spark, "status-json"))
+    return catalog_queries._text(rd.read_status(spark, path))
+
+
+def source_ledger_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of processed URLs of the original form, one JSON object, read by ranges."""
+    time = F.concat(F.lit('"'), F.date_format("processed_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('Z"'))
+    ledger = fixture(spark, sf_dir, "ledger").select(F.col("url").alias("key"), time.alias("value"))
+    rows = rd.read_ledger(spark, _landed_map(ledger, work_path(spark, "ledger-json")))
+    return rows.select("url", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+
+
+def source_batches_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of URL batches of the original form, a list of batches for each host, read by ranges."""
+    docs, sites, ledger, time = site_queries._site(spark, sf_dir)
+    batches = site_queries.site.url_batches(docs, sites, ledger, time, size=site_queries.BATCH, families=site_queries.FAMILIES)
+    hosts = batches.groupBy("subdomain").agg(F.array_sort(F.collect_list(F.struct("batch_no", "urls"))).alias("b"))
+    value = F.to_json(F.col("b.urls"))
+    path = _landed_map(hosts.select(F.col("subdomain").alias("key"), value.alias("value")), work_path(spark, "batches-json"))
+    whole = rd.read_batches(spark, path).groupBy("subdomain", "batch_no").agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("u"))
+    return whole.select("subdomain", F.col("batch_no").cast("bigint").alias("batch_no"), F.array_join(F.col("u.url"), " ").alias("urls"))
+
+
 def family_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short names of families."""
     raw = fixture(spark, sf_dir, "raw_page")
@@ -199,6 +294,27 @@ QUERIES = {
         sink_metrics,
         f"SELECT run_id, status, items_succeeded, CAST(2 AS BIGINT) AS n FROM ({_METRICS}) m",
     ),
+    "sink_export_pages": (
+        sink_export_pages,
+        f"SELECT family, name, content FROM ({cleanup_queries.QUERIES['page_clean'][1]}) c WHERE name <> '_index.md'",
+    ),
+    "source_search_index": (source_search_index, site_queries.QUERIES["search_merge"][1]),
+    "source_artifacts": (
+        source_artifacts,
+        f"""SELECT nuget, family, 'lib' || CAST(walk_ord AS VARCHAR) || '/' || regexp_extract(path, '[^/]+$') AS path, length
+        FROM ({fx.ARTIFACT}) a""",
+    ),
+    "source_checklist": (source_checklist, page_queries.QUERIES["page_static_review"][1]),
+    "source_filter_rules": (source_filter_rules, catalog_queries.QUERIES["api_filter"][1]),
+    "source_status_json": (
+        source_status_json,
+        f"SELECT family, nuget, version, strftime(processed, '%Y-%m-%d') AS processed FROM ({fx.PACKAGE_STATUS}) s",
+    ),
+    "source_ledger_json": (
+        source_ledger_json,
+        f"SELECT url, strftime(processed_at, '%Y-%m-%d %H:%M:%S') AS processed_at FROM ({fx.LEDGER}) l",
+    ),
+    "source_batches_json": (source_batches_json, site_queries.QUERIES["url_batches"][1]),
     "family_slugs": (
         family_slugs,
         "SELECT lower(replace(p_brand, '#', '')) AS family, count(*) AS pages FROM part GROUP BY 1",

@@ -29,7 +29,12 @@ PROMPT = "Rate this page.\n\n{content}\n\nAnswer as {{\"score\": <0-100>}}."
 
 def page_static_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shipped checklist, score and decision of every page."""
-    reviewed = run_checks(pages(spark, sf_dir).select("doc_id", "path", "content"))
+    return static_review(spark, sf_dir, DEFAULT_CHECKLIST)
+
+
+def static_review(spark: SparkSession, sf_dir: str, checklist) -> DataFrame:
+    """Score and decision of every page by a checklist."""
+    reviewed = run_checks(pages(spark, sf_dir).select("doc_id", "path", "content"), checklist)
     failed = F.transform(F.filter("check_results", lambda r: ~r["passed"]), lambda r: r["id"])
     return reviewed.select(
         "doc_id",
@@ -76,14 +81,12 @@ def user_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A check that a user registered, and an id nobody registered."""
     from leafwright.operators.checks import register_check
 
-    register_check("has_section", lambda content, fm, body: body.contains("## Section"))
-    try:
-        flags = add_check_columns(
-            pages(spark, sf_dir).select("doc_id", "content"),
-            [CheckDef("has_section", "", 1), CheckDef("nobody_knows", "", 1)],
-        )
-    finally:
-        CHECKS.pop("has_section")
+    rules = register_check(CheckRules(), "has_section", lambda content, fm, body: body.contains("## Section"))
+    flags = add_check_columns(
+        pages(spark, sf_dir).select("doc_id", "content"),
+        [CheckDef("has_section", "", 1), CheckDef("nobody_knows", "", 1)],
+        rules=rules,
+    )
     return flags.select("doc_id", "passed_has_section", "passed_nobody_knows")
 
 

@@ -142,10 +142,14 @@ def search_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged search index, a row per page."""
+    return merged_text(merge_search(search_docs(spark, sf_dir)))
+
+
+def merged_text(out: DataFrame) -> DataFrame:
+    """A merged index with its maps as texts."""
     text = lambda m: F.array_join(
         F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";"
     )
-    out = merge_search(search_docs(spark, sf_dir))
     return out.select("lang", "page_path", "part", text("data").alias("data"), text("other").alias("other"))
 
 

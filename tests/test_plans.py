@@ -64,6 +64,16 @@ def test_batches_number_per_sitemap(spark):
     assert "row_number() windowspecdefinition(subdomain" in text and "step" in text.split("row_number()")[1][:200]
 
 
+def test_sitemap_bodies_are_read_once(spark, tmp_path):
+    """The expansion takes names and statuses from the payloads, all else from the locations worked out before."""
+    sitemap_docs(spark, SF).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    fr.locations(docs).write.parquet(str(tmp_path / "locs"))
+    visits = fr.expand_sitemaps(docs, hosts(spark, SF), ("words",), locs=spark.read.parquet(str(tmp_path / "locs")))
+    assert "body" not in plan(visits)
+    assert plan(fr.locations(docs)).count("body:string") == 1
+
+
 def _review(spark, **settings):
     answers = fixture(spark, SF, "ai_response").select("doc_id", "body")
     # Words are the last product here: their sets are all reviewed in the fixture.
