@@ -6,7 +6,9 @@ characters, are cut and encoded anew until a new cut falls on an old one after t
 changed leaves are worked out again.
 
 A null text is empty and counts 0 tokens.  Edits past the end of a text append; negative starts count as 0.  A
-document without edits keeps its counts.  Edits of a document are applied one after another in their given order.
+document without edits keeps its counts.  Edits of a document are applied one after another in their given order, those of
+one place too.  Rows that repeat an id are each edited.  A very long text is one tree, held by the task that has its
+row.  Other columns are left out, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

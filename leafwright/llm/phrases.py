@@ -6,7 +6,8 @@ hashes of the phrase set; the likeness of two fingerprints estimates the share o
 and for two empty ones).
 
 Null reads as empty, with the empty fingerprint.  Rows are in order of id, null first, equal ids by text; the row
-after the last is the first, so one row alone is its own next.
+after the last is the first, so one row alone is its own next.  Repeated rows each count, a text of any length is parsed
+whole, other columns are left out, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

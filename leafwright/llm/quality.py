@@ -5,7 +5,9 @@ letters and digits as one sign each, other signs as they are).  Each is hashed t
 its value is its share of the words, so a score is a sparse dot product whatever the length of the text.
 
 Null and empty texts, and texts of white space only, have the bias as their one feature.  A text of any length is
-read whole.  Repeated rows get the same score.  Rows without a label train nothing.
+read whole.  Repeated rows get the same score.  Rows without a label train nothing.  Of labels of one id the least counts;
+labelled rows of equal hash train in the order of their ids.  Other columns are left out, whatever their names, and an
+empty table gives an empty result; without labels every weight is 0 and every score a half.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ trace the lattice has one path, the text itself.
 
 The restored text is scored by logistic regression on hashed beginnings of words and whole words, as an attack word
 goes on in many ways.  Null and empty texts have the bias as their one feature; a text of any length is read whole;
-repeated rows get the same score; ties do not arise, as each row is scored by itself.
+repeated rows get the same score; ties do not arise, as each row is scored by itself, and spans that cost the same are
+restored the same way each time.  Columns that are kept may have any name but those of the result.  An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
