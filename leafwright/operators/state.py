@@ -18,16 +18,21 @@ from leafwright.operators.groups import last_by
 REVIEW_KEYS = ("repo_url", "pr_number")
 
 
-def upsert(state: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def upsert(
+    state: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = (), null_safe: bool = True
+) -> DataFrame:
     """Put ``new`` rows in the place of ``state`` rows with the same keys.
 
     Rows of ``new`` beat rows of ``state``, which has one row per key; among new
     rows the last by ``order`` wins.  Only new rows are grouped: the state is
-    filtered by their keys and, when these are few, does not move at all.
+    filtered by their keys and, when these are few, does not move at all.  A
+    state in buckets of its keys (:mod:`leafwright.sources.state_tables`) never
+    moves, if keys are compared plainly, not ``null_safe``.
     """
     last = last_by(new.select(*state.columns), list(keys), list(order) or list(keys)).select(*state.columns)
     fresh = last.select(*[F.col(c).alias(f"_new_{c}") for c in keys])
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in keys])
+    alike = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    same = reduce(and_, [alike(F.col(c), F.col(f"_new_{c}")) for c in keys])
     return state.join(fresh, same, "left_anti").unionByName(last)
 
 

@@ -11,12 +11,15 @@ from leafwright.operators import frontier as fr
 from leafwright.operators.catalog import apply_filter_rules, apply_updates, version_updates
 from leafwright.operators.checks import DEFAULT_CHECKLIST
 from leafwright.operators.keywords import keywords_by_page
+from leafwright.operators.manifest import write_manifest
 from leafwright.operators.search_index import merge_search
 from leafwright.operators.state import mark_processed
+from leafwright.plans import catalog
 from leafwright.session import work_path
 from leafwright.sources import readers as rd
 from leafwright.sources import sinks as sk
 from leafwright.sources.page_files import write_files
+from leafwright.sources.state_tables import read_state, upsert_state, write_state
 from leafwright.suite import catalog_queries, cleanup_queries, page_queries, review_queries, site_queries
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import feeds, fixture, query_rows, search_docs, sitemap_docs
@@ -254,6 +257,37 @@ def source_batches_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("subdomain", F.col("batch_no").cast("bigint").alias("batch_no"), F.array_join(F.col("u.url"), " ").alias("urls"))
 
 
+def ledger_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed URLs kept in buckets: written, read, upserted, written and read again."""
+    paths = [work_path(spark, "ledger-buckets") for _ in range(2)]
+    first = fixture(spark, sf_dir, "ledger").select("url", "processed_at")
+    write_state(first, paths[0], ["url"], 16)
+    ledger = read_state(spark, paths[0], rd.LEDGER_SCHEMA, ["url"], 16)
+    done = site_queries._outcomes(spark, sf_dir).filter("ok").select("url", now().alias("processed_at"))
+    write_state(upsert_state(ledger, done, ["url"], ["processed_at"]), paths[1], ["url"], 16)
+    after = read_state(spark, paths[1], rd.LEDGER_SCHEMA, ["url"], 16)
+    return after.select("url", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+
+
+def _published_and_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw pages, and clean ones as they were published: some are missing, some were others; whole families are as they are now."""
+    raw = fixture(spark, sf_dir, "raw_page").filter("name NOT LIKE 'Acme%'").select("p_partkey", "family_name", "version", "name", "content")
+    clean = cl.clean_pages(raw).withColumn("path", F.concat_ws("/", "family", "name"))
+    settled = F.col("family").rlike("[0-4]$")
+    old = clean.filter(settled | (F.col("p_partkey") % 3 != 0)).withColumn(
+        "content", F.when(~settled & (F.col("p_partkey") % 4 == 0), F.concat("content", F.lit("old"))).otherwise(F.col("content"))
+    )
+    return raw, old.select("path", "content")
+
+
+def pages_to_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are new or changed, found by a manifest of hashes."""
+    raw, old = _published_and_raw(spark, sf_dir)
+    path = work_path(spark, "manifest")
+    write_manifest(old, path)
+    return catalog.pages_to_publish(raw, path).select("path", "change")
+
+
 def family_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short names of families."""
     raw = fixture(spark, sf_dir, "raw_page")
@@ -315,6 +349,14 @@ QUERIES = {
         f"SELECT url, strftime(processed_at, '%Y-%m-%d %H:%M:%S') AS processed_at FROM ({fx.LEDGER}) l",
     ),
     "source_batches_json": (source_batches_json, site_queries.QUERIES["url_batches"][1]),
+    "ledger_upsert_bucketed": (ledger_upsert_bucketed, site_queries.QUERIES["ledger_upsert"][1]),
+    "pages_to_publish": (
+        pages_to_publish,
+        f"""SELECT fam || '/' || name AS path, CASE WHEN p_partkey % 3 = 0 THEN 'added' ELSE 'modified' END AS change
+        FROM (SELECT lower(replace(p_brand, '#', '')) AS fam, name, p_partkey FROM ({fx.RAW_PAGE}) r JOIN part USING (p_partkey)
+          WHERE name NOT LIKE 'Acme%') x
+        WHERE NOT regexp_matches(fam, '[0-4]$') AND (p_partkey % 3 = 0 OR p_partkey % 4 = 0)""",
+    ),
     "family_slugs": (
         family_slugs,
         "SELECT lower(replace(p_brand, '#', '')) AS family, count(*) AS pages FROM part GROUP BY 1",

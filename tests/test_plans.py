@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from leafwright.operators import frontier as fr
 from leafwright.operators.checks import CHECKS, CheckDef, add_check_columns, run_checks
 from leafwright.operators.cleanup import clean_pages
+from leafwright.operators.manifest import changed_by_manifest, write_manifest
 from leafwright.operators.metrics import run_counters
 from leafwright.operators.keywords import keywords_by_page
 from leafwright.plans import catalog, review, site
 from leafwright.plans.review import ReviewSettings
+from leafwright.sources.state_tables import read_state, upsert_state, write_state
 from leafwright.suite import fixtures as fx
 from leafwright.suite.inputs import change_sets, feeds, fixture, hosts, sitemap_docs
 
@@ -149,3 +151,43 @@ def test_catalog_job(spark):
     assert catalog.pages_to_publish(unique, none).filter("change = 'added'").count() == unique.count()
     published = clean_pages(unique).select(F.concat_ws("/", "family", "name").alias("path"), "content")
     assert catalog.pages_to_publish(unique, published).count() == 0
+
+
+def test_upsert_of_a_bucketed_state_moves_only_new_rows(spark, tmp_path):
+    rows = spark.range(5000).select(F.concat(F.lit("u"), "id").alias("url"), F.lit(1).alias("v"))
+    write_state(rows, str(tmp_path / "s"), ["url"], 8)
+    state = read_state(spark, str(tmp_path / "s"), "url string, v int", ["url"], 8)
+    new = spark.range(2000, 9000).select(F.concat(F.lit("u"), "id").alias("url"), F.lit(2).alias("v"))
+    new = new.unionByName(spark.createDataFrame([(None, 3)], "url string, v int"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = upsert_state(state, new, ["url"])
+        text = plan(after)
+        # The branch of the state: from the join up to the scan of its files.
+        branch = text[text.index("SortMergeJoin") :]
+        state_side = branch[: branch.index("FileScan")]
+        assert "Exchange" not in state_side and "Bucketed: true" in branch
+        write_state(after, str(tmp_path / "t"), ["url"], 8)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    back = read_state(spark, str(tmp_path / "t"), "url string, v int", ["url"], 8)
+    assert {r.v: r["count"] for r in back.groupBy("v").count().collect()} == {1: 2000, 2: 7000}
+    assert back.filter("url = 'u2500'").first().v == 2
+    with pytest.raises(Exception, match="non-empty directory"):
+        write_state(after, str(tmp_path / "t"), ["url"], 8)
+
+
+def test_folders_of_equal_digest_are_not_read(spark, tmp_path):
+    pages = [(f"f{i % 5}/{i}.md", f"text {i}") for i in range(100)]
+    df = spark.createDataFrame(pages, "path string, content string")
+    write_manifest(df, str(tmp_path / "m"))
+    now = [(p, c + "!" if p == "f2/7.md" else c) for p, c in pages] + [("f2/new.md", "x"), ("top.md", "y"), ("f4/none.md", None)]
+    new = spark.createDataFrame(now, "path string, content string")
+    # What is not asked for cannot be read: the other folders' files are damaged.
+    for folder in ("f0", "f1", "f3"):
+        for file in (tmp_path / "m" / "pages" / f"folder={folder}").glob("*.parquet"):
+            file.write_bytes(b"damaged")
+    got = {(r.path, r.change) for r in changed_by_manifest(new, str(tmp_path / "m")).collect()}
+    assert got == {("f2/7.md", "modified"), ("f2/new.md", "added"), ("top.md", "added"), ("f4/none.md", "added")}
+    assert changed_by_manifest(df, str(tmp_path / "m")).count() == 0
