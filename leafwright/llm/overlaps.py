@@ -11,10 +11,9 @@ that many texts share makes no cell.  In each cell an R-tree over 128 groups is
 while the summed minima of their boxes can reach the overlap that the threshold needs of their least sizes.  The pairs of
 points that are left are verified by their exact sets.
 
-Equal sets are one point.  In cells of many points these are compared with the cell's first before, and then with the
-first of those that it does not reach; what is joined by that needs no further comparison with each other, so families
-of near copies cost a pair or two each, and other cells are cut to parts that are joined pair by pair.  No result depends
-on that.
+Equal sets are one point.  In cells of many points these are compared with the cell's first before; what is joined by
+that needs no further comparison with each other, so close copies cost a pair each.  Cells that are not joined so are cut
+to parts that are joined pair by pair, and give a spanning forest of their links.  No result depends on that.
 
 Results for odd input: null texts and texts without words have an empty set, linked with nothing; fewer words than a
 shingle has are one shingle; texts of any length are taken whole; rows that repeat an id are each their own text, named
@@ -399,19 +398,13 @@ def join(docs: DataFrame, n: int = 4, like: int = 85, small: int = 8, part: int
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("head")).filter("size > 1")
     inside = settle(members.join(sizes, "key").select("key", "id", "size", "head"), "cells")
     sets = sets_of(docs, rows, inside.select("id").distinct(), n)
-    # Cells of many points: all with the first, then all that are not joined to it with the first of these.
+    # Cells of many points: all with the first of them.
     many = inside.filter(F.col("size") > small)
     star = many.filter(F.col("id") > F.col("head")).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     heads = settle(verified(star, sets, like), "star-links")
-    parted = _parted(many, _labels(heads))
-    own = parted.filter("id = head").select("key", F.col("label").alias("first"))
-    second = parted.join(own, "key").filter("label <> first").groupBy("key").agg(F.min(F.struct("id", "label")).alias("second"))
-    star = parted.join(second, "key").filter(F.col("label") != F.col("second.label"))
-    star = star.select(F.least("id", "second.id").alias("a"), F.greatest("id", "second.id").alias("b")).distinct()
-    heads = settle(heads.unionByName(verified(star, sets, like)), "star-links")
     # What is left is joined in tiles, with the sets there.
     label = _labels(heads)
-    tiled = settle(_tiles(_parted(parted, label), part).join(point, "id").join(sets, "id"), "tiles")
+    tiled = settle(_tiles(_parted(many, label), part).join(point, "id").join(sets, "id"), "tiles")
     tiled = tiled.repartition("cell").sortWithinPartitions("cell", "id").select("cell", "id", "n", "label", "side", "vector", "grams")
     heads = heads.unionByName(settle(tiled.mapInArrow(lambda b: _links_in(b, like), "a long, b long"), "tile-links"))
     # Cells of few points: candidates first, as many cells have the same ones.
