@@ -16,7 +16,9 @@ or before in the same one.  The job never compares documents with each other:
 Anchors with very many stretches are dealt out by window instead, each window by its own hash and, as one window may be
 as common, by a salt of its place.  Salted groups mark their own repeats first; only the first window of each kind in
 a group goes on to the shard where all groups meet.  So no shard grows with one anchor or one window.  Null texts are empty.  Ids are those of documents: rows that repeat an id are one document, and are
-treated alike.  Rows without an id take no part and stay whole.  Texts under ``least`` bytes stay whole.
+treated alike.  Rows without an id take no part and stay whole.  Texts under ``least`` bytes stay whole.  Of equal strings that of the
+smaller id, then of the earlier start, is first.  Very long texts are read whole, in blocks.  Other columns are left out,
+and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -101,96 +103,140 @@ def stretches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return kept.mapInArrow(run, "anchor long, doc_id long, start int, windows int, own boolean")
 
 
+def _sorted_suffixes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Suffixes of the joined texts in order, their signs, what is left of their text, and ranks by doubling lengths.
+
+    Texts are apart from each other: each ends in a sign of its own that sorts before all bytes, and by its place.
+    """
+    sizes = np.array([len(t) for t in texts])
+    joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+    end = np.repeat(np.cumsum(sizes + 1) - 1, sizes + 1)
+    n = len(joined)
+    left = end - np.arange(n)
+    signs = joined.astype(np.uint64) + np.uint64(1)
+    signs[left == 0] = 0
+    # Ranks by the first 7 signs (9 bits each), then by twice as many until the longest text is covered.
+    key = np.zeros(n, np.uint64)
+    for i in range(7):
+        key = key << np.uint64(9)
+        key[: n - i] |= np.where(left[: n - i] > i, signs[i:], np.uint64(0))
+    levels: list[tuple[int, np.ndarray]] = []
+    width = 7
+    while True:
+        order = np.argsort(key)
+        sorted_key = key[order]
+        rank = np.empty(n, np.uint32)
+        rank[order] = np.cumsum(np.append(False, sorted_key[1:] != sorted_key[:-1]), dtype=np.uint32)
+        levels.append((width, rank))
+        key = rank.astype(np.uint64) << np.uint64(32)
+        if rank[order[-1]] == n - 1:
+            break
+        if width > sizes.max(initial=0):
+            # Equal texts are told apart by their place.
+            order = np.argsort(key | np.arange(n, dtype=np.uint64))
+            break
+        key[: n - width] |= np.where(left[: n - width] > width, rank[width:] + np.uint32(1), 0).astype(np.uint64)
+        width *= 2
+    return order, signs, left, levels
+
+
+def _common(a: np.ndarray, b: np.ndarray, signs: np.ndarray, left: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """Length of the match of suffixes ``a`` and ``b``, by descending ranks."""
+    out = np.zeros(len(a), np.int64)
+    limit = np.minimum(left[a], left[b])
+    for width, rank in reversed(levels):
+        fits = out + width <= limit
+        x, y = np.where(fits, a + out, 0), np.where(fits, b + out, 0)
+        out += np.where(fits & (rank[x] == rank[y]), width, 0)
+    for _ in range(7):
+        fits = out < limit
+        x, y = np.where(fits, a + out, 0), np.where(fits, b + out, 0)
+        out += fits & (signs[x] == signs[y])
+    return out
+
+
 class RunIndex:
     """Run-compressed Burrows-Wheeler transform of a list of texts, with suffix-array samples at its run ends.
 
-    Texts are apart from each other: each ends in a sign of its own that sorts before all bytes, and by its place.
+    All that it keeps are arrays with a value per run: sign and length of each run of the transform, and for the first
+    suffix of each run its place, the place of the suffix before it in order, and the length of their match.  The
+    suffix array is there only while the index is built.
     """
 
     def __init__(self, texts: list[bytes]):
-        sizes = np.array([len(t) for t in texts])
-        joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
-        self.first = np.append(0, np.cumsum(sizes + 1))[:-1]
-        end = np.repeat(self.first + sizes, sizes + 1)
-        n = len(joined)
-        left = end - np.arange(n)
-        signs = joined.astype(np.uint64) + np.uint64(1)
-        signs[left == 0] = 0
-        # Ranks by the first 7 signs (9 bits each), then by twice as many until the longest text is covered.
-        key = np.zeros(n, np.uint64)
-        for i in range(7):
-            key = key << np.uint64(9)
-            key[: n - i] |= np.where(left[: n - i] > i, signs[i:], np.uint64(0))
-        self.levels: list[tuple[int, np.ndarray]] = []
-        width = 7
-        while True:
-            order = np.argsort(key)
-            sorted_key = key[order]
-            rank = np.empty(n, np.uint32)
-            rank[order] = np.cumsum(np.append(False, sorted_key[1:] != sorted_key[:-1]), dtype=np.uint32)
-            self.levels.append((width, rank))
-            key = rank.astype(np.uint64) << np.uint64(32)
-            if rank[order[-1]] == n - 1:
-                break
-            if width > sizes.max(initial=0):
-                # Equal texts are told apart by their place.
-                order = np.argsort(key | np.arange(n, dtype=np.uint64))
-                break
-            key[: n - width] |= np.where(left[: n - width] > width, rank[width:] + np.uint32(1), 0).astype(np.uint64)
-            width *= 2
-        self.suffixes = order
-        self.left, self.signs = left, signs
+        order, signs, left, levels = _sorted_suffixes(texts)
+        self.n = n = len(order)
         # The transform, and where its runs begin; a text's start is a run of its own.
         opens = np.zeros(n, bool)
-        opens[self.first] = True
+        opens[np.append(0, np.flatnonzero(left[:-1] == 0) + 1)] = True
         before = np.where(opens[order], np.uint64(0), signs[order - 1])
         starts = np.append(True, before[1:] != before[:-1]) | (before == 0)
-        self.heads = before[starts]
         run = np.flatnonzero(starts)
-        self.lengths = np.diff(np.append(run, n))
-        self.sample = order[run]  # of the first suffix of each run
-        self.sample_end = order[np.append(run[1:], n) - 1]  # of the last
-
-    def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the match of suffixes ``a`` and ``b``, by descending ranks."""
-        out = np.zeros(len(a), np.int64)
-        limit = np.minimum(self.left[a], self.left[b])
-        for width, rank in reversed(self.levels):
-            fits = out + width <= limit
-            x, y = np.where(fits, a + out, 0), np.where(fits, b + out, 0)
-            out += np.where(fits & (rank[x] == rank[y]), width, 0)
-        for _ in range(7):
-            fits = out < limit
-            x, y = np.where(fits, a + out, 0), np.where(fits, b + out, 0)
-            out += fits & (self.signs[x] == self.signs[y])
-        return out
+        self.heads = before[run].astype(np.uint16)
+        self.lengths = np.diff(np.append(run, n)).astype(np.int32)
+        sample, sample_end = order[run], order[np.append(run[1:], n) - 1]
+        size = np.zeros(len(sample), np.int64)
+        size[1:] = _common(sample[1:], sample_end[:-1], signs, left, levels)
+        by_place = np.argsort(sample)
+        self.at = sample[by_place]
+        self.before = np.append(-1, sample_end[:-1])[by_place]
+        self.match = size[by_place]
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (self.heads, self.lengths, self.at, self.before, self.match))
+
+    def occurrences(self, pattern: bytes) -> int:
+        """How often a pattern occurs, by backward steps over the runs."""
+        starts = np.append(0, np.cumsum(self.lengths))
+        low, high = 0, self.n
+        for sign in reversed(pattern):
+            mine = self.heads == sign + 1
+            smaller = int(self.lengths[self.heads < sign + 1].sum())
+            counted = np.append(0, np.cumsum(np.where(mine, self.lengths, 0)))
+
+            def rank(row: int) -> int:
+                i = int(np.searchsorted(starts, row, "right")) - 1
+                return int(counted[i]) + (row - int(starts[i]) if i < len(mine) and mine[i] else 0)
+
+            low, high = smaller + rank(low), smaller + rank(high)
+            if low >= high:
+                return 0
+        return high - low
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each position, the one before it in suffix order and the length of their match.
+        """For each position, the one before it in suffix order and the length of their match, streamed in text order.
 
-        Only the samples are compared: a run's first suffix with the last of the run before.  Inside a run both step
-        on by one sign when the text does, so the stream of positions fills in the rest.
+        Inside a run both step on by one sign when the text does, so the samples at the runs' ends fill in the rest.
         """
-        size = np.zeros(len(self.sample), np.int64)
-        size[1:] = self._common(self.sample[1:], self.sample_end[:-1])
-        order = np.argsort(self.sample)
-        at, before, size = self.sample[order], np.append(-1, self.sample_end[:-1])[order], size[order]
-        position = np.arange(len(self.suffixes))
-        held = np.searchsorted(at, position, "right") - 1
-        step = position - at[held]
-        neighbour = np.where(before[held] >= 0, before[held] + step, -1)
-        return neighbour, np.maximum(size[held] - step, 0)
+        position = np.arange(self.n)
+        held = np.searchsorted(self.at, position, "right") - 1
+        step = position - self.at[held]
+        neighbour = np.where(self.before[held] >= 0, self.before[held] + step, -1)
+        return neighbour, np.maximum(self.match[held] - step, 0)
 
 
 def later_windows(texts: list[bytes], least: int) -> np.ndarray:
-    """Positions in the joined texts (one sign between two) whose window also starts at an earlier position."""
-    index = RunIndex(texts)
-    _, match = index.statistics()
-    order = index.suffixes
-    group = np.flatnonzero(match[order] < least)
-    first = np.minimum.reduceat(order, group)
-    first = np.repeat(first, np.diff(np.append(group, len(order))))
-    return np.sort(order[first < order])
+    """Positions in the joined texts (one sign between two) whose window also starts at an earlier position.
+
+    A match of ``least`` signs with the position before in suffix order says that both start the same window, so the
+    positions of a window are a chain; all of them but the least are given.
+    """
+    neighbour, match = RunIndex(texts).statistics()
+    linked = np.flatnonzero(match >= least)
+    up = np.arange(len(match))
+    up[linked] = neighbour[linked]
+    while True:
+        above = up[up[linked]]
+        if (above == up[linked]).all():
+            break
+        up[linked] = above
+    # Linked positions are in order, so the first of each chain's is the least of them.
+    ends, first = np.unique(up[linked], return_index=True)
+    least_of = np.arange(len(match))
+    least_of[ends] = np.minimum(ends, linked[first])
+    all_ = np.concatenate([linked, ends])
+    return np.sort(all_[all_ > least_of[up[all_]]])
 
 
 def _marked(rows: pd.DataFrame, least: int) -> pd.DataFrame:
