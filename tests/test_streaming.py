@@ -120,6 +120,24 @@ def test_sliding_pairs_hold_one_state_row_per_pair(spark, tmp_path):
     assert max(held) <= len(days) and held[-1] < len(days)
 
 
+def test_pairs_share_groups_of_state(spark, tmp_path):
+    """A group of state, and a call of Python, is for many pairs; late days and pairs that go out leave the others right."""
+    seen = [(f"q{i % 300}", (i * 7) % 45) for i in range(900)] + [("late", 40), ("late", 2), ("new", 44)]
+    df = spark.createDataFrame([(["https://h/p", q], datetime(2024, 1, 1) + timedelta(days=d), d) for q, d in seen], "keys array<string>, ts timestamp, d int")
+    path, log, start = str(tmp_path / "in"), str(tmp_path / "log"), datetime(2024, 1, 1)
+    for lo, hi in ((0, 20), (20, 41), (41, 60)):
+        df.filter((F.col("d") >= lo) & (F.col("d") < hi)).drop("d").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(df.drop("d").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = run_to_log(jobs.sliding_pairs(stream, days=7, groups=8), log, str(tmp_path / "ckpt"), "append")
+    query.awaitTermination()
+    spans = read_log(spark, log, "page string, query string, first timestamp, last timestamp").cache()
+    for end in range(0, 60, 6):
+        got = {r.query for r in jobs.pairs_before(spans, F.lit(start + timedelta(days=end)), 7).collect()}
+        assert got == {q for q, d in seen if d < end <= d + 7}
+    held = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"] == "applyInPandasWithState" or "FlatMap" in s["operatorName"]]
+    assert max(held) == 8
+
+
 def test_compacted_log_is_read_in_bounded_parts(spark, tmp_path):
     """Files that a batch reads do not grow with the number of batches; a batch that runs again reads the same."""
     log, schema, keys = str(tmp_path / "log"), "k int, v int", ["k"]
