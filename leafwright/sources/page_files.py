@@ -45,11 +45,14 @@ class PageFilesWriter(DataSourceWriter):
     def write(self, iterator: Iterator[Row]) -> Written:
         system, base = file_system(self.staging)
         folder, names = posixpath.join(base, "attempts", uuid.uuid4().hex), []
+        made = set()
         for row in iterator:
             target = posixpath.normpath(posixpath.join(row["folder"], row["name"]))
             if target.startswith(("../", "/")) or "\n" in target:
                 raise ValueError(f"not below the folder: {target!r}")
-            system.create_dir(posixpath.join(folder, posixpath.dirname(target)), recursive=True)
+            if (parent := posixpath.dirname(target)) not in made:
+                system.create_dir(posixpath.join(folder, parent), recursive=True)
+                made.add(parent)
             with system.open_output_stream(posixpath.join(folder, target)) as f:
                 f.write(row["content"].encode())
             names.append(target)
@@ -88,12 +91,14 @@ class PageFiles(DataSource):
 def _move(batches: Iterator[pd.DataFrame], staging: str, folder: str) -> Iterator[pd.DataFrame]:
     system, base = file_system(staging)
     _, target = file_system(folder)
-    missing = fs.FileType.NotFound
+    missing, made = fs.FileType.NotFound, set()
     for rows in batches:
         for line in rows["value"]:
             attempt, name = line.split("\t", 1)
             source, end = posixpath.join(base, "attempts", attempt, name), posixpath.join(target, name)
-            system.create_dir(posixpath.dirname(end), recursive=True)
+            if (parent := posixpath.dirname(end)) not in made:
+                system.create_dir(parent, recursive=True)
+                made.add(parent)
             if system.get_file_info(source).type != missing:
                 system.move(source, end)
             elif system.get_file_info(end).type == missing:

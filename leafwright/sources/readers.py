@@ -78,13 +78,19 @@ def read_status(spark: SparkSession, path: str, strict: bool = False) -> DataFra
     )
 
 
-def read_version_feed(spark: SparkSession, path: str, glob: str = "*.json", by_folder: bool = False) -> DataFrame:
+def read_version_feed(
+    spark: SparkSession, path: str, glob: str = "*.json", by_folder: bool = False, encoded: bool = False
+) -> DataFrame:
     """Version feeds, one JSON file per package named after it: ``nuget, versions``.
 
-    With ``by_folder`` the folder ``nuget=..`` names the package, as in files that Spark wrote.
+    With ``by_folder`` the folder ``nuget=..`` names the package, as in files that Spark wrote; with ``encoded`` the
+    file's name does so, percent-encoded, as ``write_version_feeds`` leaves it.
     """
     folder = F.try_url_decode(F.regexp_extract("file_path", r"/nuget=([^/]+)/[^/]+$", 1))
     named = F.try_url_decode(folder) if by_folder else F.regexp_replace("name", r"\.json$", "")
+    if encoded:
+        # Spark gives the names of files percent-encoded once more.
+        named = F.try_url_decode(F.try_url_decode(F.regexp_replace("name", r"^nuget=|\.json$", "")))
     parsed = F.from_json("value", "versions array<string>")
     return _whole_files(spark, path, glob).select(
         F.lower(named).alias("nuget"),

@@ -122,10 +122,8 @@ def sink_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_version_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version feeds landed as a JSON file per package."""
     path = work_path(spark, "feeds")
-    # Spark names its own files, so the folder of a package names it.
-    landed = feeds(spark, sf_dir).select("nuget", F.to_json(F.struct("versions")).alias("value"))
-    landed.repartition("nuget").write.partitionBy("nuget").text(path)
-    rows = rd.read_version_feed(spark, path, glob="*.txt", by_folder=True)
+    sk.write_version_feeds(feeds(spark, sf_dir), path)
+    rows = rd.read_version_feed(spark, path, encoded=True)
     return rows.select("nuget", F.array_join("versions", " ").alias("versions"))
 
 

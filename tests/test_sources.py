@@ -56,6 +56,17 @@ def test_exported_pages_are_whole_or_not_there(spark, tmp_path):
         sk.export_pages(spark.createDataFrame([("..", "a.md", "x")], "family string, name string, content string"), str(out))
 
 
+def test_version_feeds_are_files_of_one_folder(spark, tmp_path):
+    """A file per package and no folder for each; any name comes back."""
+    rows = [(n, ["1", n]) for n in ("_a", "b/c", "d e+f", "g#1%23", "ü")] + [(None, []), ("twice", ["1"]), ("twice", ["1"])]
+    df = spark.createDataFrame(rows, "nuget string, versions array<string>")
+    assert sk.write_version_feeds(df, str(tmp_path / "f"), rows=2) == len(rows)
+    assert all(p.is_file() and p.suffix == ".json" for p in (tmp_path / "f").iterdir() if not p.name.startswith("."))
+    got = rd.read_version_feed(spark, str(tmp_path / "f"), encoded=True).collect()
+    want = {(n, tuple(v)) for n, v in rows[:5]} | {("__hive_default_partition__", ()), ("twice", ("1",))}
+    assert {(r.nuget, tuple(r.versions)) for r in got} == want and len(got) == len(want)
+
+
 def test_attempts_that_do_not_count_are_dropped(tmp_path):
     from leafwright.sources.page_files import PageFilesWriter
     from pyspark.sql import Row
