@@ -153,14 +153,12 @@ def pairs_before(spans: DataFrame, end: Column, days: int = 28) -> DataFrame:
     return spans.filter(held).select("page", "query").distinct()
 
 
-def grant_submissions(
-    requests: DataFrame, days: int = 30, ts: str = "ts", delay: str = "1 day", groups: int = GROUPS
-) -> DataFrame:
+def grant_submissions(requests: DataFrame, days: int = 30, ts: str = "ts", delay: str = "1 day") -> DataFrame:
     """``url, day`` of requests that may be submitted: none within ``days`` of the last one granted.
 
     Requests are cut to one per URL and day before they meet the state, so a
     URL with most of the rows is no load for its task.  State that is older
-    than ``days`` is dropped.  URLs share their state as pairs do in ``sliding_pairs``.
+    than ``days`` is dropped.
     """
     daily = (
         requests.select("url", F.date_trunc("day", F.col(ts).cast("timestamp")).alias("day"))
@@ -168,13 +166,27 @@ def grant_submissions(
         .dropDuplicatesWithinWatermark(["url", "day"])
     )
 
-    def grant(held: dict, rows: list[tuple]) -> Iterator[tuple]:
-        for url, day in rows:
-            if (url,) not in held or day - held[(url,)][0] > days:
-                held[(url,)] = (day,)
-                yield url, day
-
-    return _by_hash(daily, ["url"], grant, ["last"], "url string, day timestamp", lambda seen: seen[0] + days + 1, groups)
+    def grant(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        wanted = sorted(set().union(*[set(chunk["day"]) for chunk in chunks]))
+        last = pd.Timestamp(state.get[0]) if state.exists else None
+        granted = []
+        for day in wanted:
+            if last is None or (day - last).days > days:
+                granted.append(day)
+                last = day
+        if last is not None:
+            state.update((last.to_pydatetime(),))
+            end_ms = int((last + pd.Timedelta(days=days + 1)).timestamp() * 1000)
+            state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
+        if granted:
+            yield pd.DataFrame({"url": [key[0]] * len(granted), "day": granted})
+
+    return daily.groupBy("url").applyInPandasWithState(
+        grant, "url string, day timestamp", "last timestamp", "append", "EventTimeTimeout"
+    )
 
 
 def windowed_metrics(outcomes: DataFrame, ts: str = "ts", length: str = "4 hours", delay: str = "4 hours") -> DataFrame:
