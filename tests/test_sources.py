@@ -60,13 +60,28 @@ def test_version_feeds_are_files_of_one_folder(spark, tmp_path):
     """A file per package and no folder for each; any name comes back."""
     rows = [(n, ["1", n]) for n in ("_a", "b/c", "d e+f", "g#1%23", "ü")] + [(None, []), ("twice", ["1"]), ("twice", ["1"])]
     df = spark.createDataFrame(rows, "nuget string, versions array<string>")
-    assert sk.write_version_feeds(df, str(tmp_path / "f"), rows=2) == len(rows)
+    assert sk.write_version_feeds(df, str(tmp_path / "f"), rows=2) == len(rows) - 1
     assert all(p.is_file() and p.suffix == ".json" for p in (tmp_path / "f").iterdir() if not p.name.startswith("."))
     got = rd.read_version_feed(spark, str(tmp_path / "f"), encoded=True).collect()
     want = {(n, tuple(v)) for n, v in rows[:5]} | {("__hive_default_partition__", ()), ("twice", ("1",))}
     assert {(r.nuget, tuple(r.versions)) for r in got} == want and len(got) == len(want)
 
 
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    texts = {f"{i}.md": "ü\r\n" * (i % 3) for i in range(1600)}
+    for name, text in texts.items():
+        put(tmp_path / "f" / name, text)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4194304")
+    try:
+        pages = rd.read_pages(spark, str(tmp_path))
+        assert pages.rdd.getNumPartitions() <= 100
+        # Line ends stay as they are in the files.
+        assert {r.name: r.content for r in pages.collect()} == {n: (tmp_path / "f" / n).read_bytes().decode() for n in texts}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
 def test_attempts_that_do_not_count_are_dropped(tmp_path):
     from leafwright.sources.page_files import PageFilesWriter
     from pyspark.sql import Row
