@@ -53,6 +53,15 @@ def test_clean_up_is_row_local(pages):
     assert "Exchange" not in plan(clean_pages(raw))
 
 
+def test_raw_pages_of_one_row_group_are_cleaned_in_many_tasks(spark, tmp_path):
+    part = spark.range(50_000).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "'Brand#1' AS p_brand", "'t' AS p_type", "1 AS p_size", "1.0D AS p_retailprice"
+    )
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    sizes = [r["count"] for r in clean_pages(fixture(spark, str(tmp_path), "raw_page")).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 3 and max(sizes) <= 20_000 and sum(sizes) == 50_000
+
+
 def test_keywords_combine_before_the_shuffle(spark):
     page = F.concat(F.lit("https://h/"), F.col("id") % 2)
     rows = spark.range(10).select(F.array(page, F.col("id").cast("string")).alias("keys"))
