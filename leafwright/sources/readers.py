@@ -33,13 +33,24 @@ QUERY_ROW_SCHEMA = "keys array<string>, date date"
 SITEMAP_SCHEMA = "subdomain string, sitemap_url string, status int, body string"
 
 
+# Spark gives a task some thirty small files, which take less time than the task itself.
+SMALL_TASKS = 16
+
+
 def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    return (
-        spark.read.option("pathGlobFilter", glob)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .text(path, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("name"))
+        .load(path)
+        .select(
+            F.col("content").cast("string").alias("value"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("name"),
+        )
     )
+    tasks = files.rdd.getNumPartitions() // SMALL_TASKS
+    return files.coalesce(max(tasks, 4 * spark.sparkContext.defaultParallelism))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

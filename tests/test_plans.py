@@ -60,6 +60,9 @@ def test_raw_pages_of_one_row_group_are_cleaned_in_many_tasks(spark, tmp_path):
     part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     sizes = [r["count"] for r in clean_pages(fixture(spark, str(tmp_path), "raw_page")).groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 3 and max(sizes) <= 20_000 and sum(sizes) == 50_000
+    # Nor is a filter on clean texts worked out ahead of the shuffle.
+    kept = plan(clean_pages(fixture(spark, str(tmp_path), "raw_page")).filter("content IS NOT NULL AND name <> '_index.md'"))
+    assert "regexp" not in kept[kept.index("Exchange") :]
 
 
 def test_keywords_combine_before_the_shuffle(spark):
