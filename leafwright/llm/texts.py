@@ -19,8 +19,8 @@ SLICE_BYTES = 1 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts, and the ``len + 1`` offsets of the texts in them; null reads as empty."""
-    texts = pc.fill_null(column, "").cast(pa.large_string())
+    """UTF-8 bytes of all texts (or the bytes given), and the ``len + 1`` offsets of the texts in them; null reads as empty."""
+    texts = pc.fill_null(column.cast(pa.large_binary()), b"")
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
@@ -84,6 +84,14 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np
     return mixed((sums[stops] - sums[starts]) * down[starts])
 
 
+def gram_hashes(values: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of all spans of ``width`` values, in order."""
+    up, down = _power(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[1 : len(values) + 1], out=sums[1:])
+    return mixed((sums[width:] - sums[:-width]) * down[: len(values) - width + 1])
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no label may be learnt from: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
