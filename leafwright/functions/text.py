@@ -25,6 +25,7 @@ WHITESPACE = "".join(
 
 # The line ends at which a text is cut to lines.
 LINE_BREAK_CHAR = r"[\n\x0B\x0C\r\x1C-\x1E\x85\x{2028}\x{2029}]"
+OTHER_LINE_BREAK_CHAR = LINE_BREAK_CHAR.replace(r"\n", "")
 LINE_BREAK = r"\r\n|" + LINE_BREAK_CHAR
 
 
@@ -85,12 +86,24 @@ def single_line(col: Column) -> Column:
 
 def normalise_lines(col: Column) -> Column:
     """Join the lines of a text with ``\\n`` (no line end at the end)."""
-    return F.regexp_replace(_without_last_break(col), LINE_BREAK, "\n")
+
+    def joined(text: Column) -> Column:
+        # Where ``\\n`` is the only line end, all but the last stay as they are.
+        plain = F.when(text.endswith("\n"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+        other = F.regexp_replace(_without_last_break(text), LINE_BREAK, "\n")
+        return F.when(F.rlike(text, F.lit(OTHER_LINE_BREAK_CHAR)), other).otherwise(plain)
+
+    return let(col, joined)
 
 
 def drop_first_line(col: Column) -> Column:
     """Text without its first line, other lines joined with ``\\n``."""
-    return F.regexp_replace(normalise_lines(col), r"^[^\n]*\n?", "")
+
+    def rest(text: Column) -> Column:
+        end = F.locate("\n", text)
+        return F.when(end == 0, F.lit("")).otherwise(F.substr(text, end + 1))
+
+    return let(normalise_lines(col), rest)
 
 
 def truncate_text(col: Column, limit: int, marker: str = "\n...[truncated]") -> Column:

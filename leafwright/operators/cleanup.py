@@ -70,7 +70,10 @@ def rewrite_links(content: Column, family_name: Column, family: Column) -> Colum
         F.lit(r"(?U)Namespace: \["), quote_regex(family_name), F.lit(r"\]\(\s*"), quote_regex(family_name), F.lit(r"\.md\s*\)")
     )
     home = F.concat(F.lit("Namespace: ["), family_name, F.lit("](/"), family, F.lit("/)"))
-    content = replace_matches(content, own, lambda m: home)
+    # A name is a regular expression of its own in each row, so it is made once; in the new text ``\\`` and ``$`` stand for
+    # themselves.  Without a name the text stays.
+    literal = F.replace(F.replace(home, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    content = let(content, lambda text: F.coalesce(F.regexp_replace(text, own, F.coalesce(literal, F.lit(""))), text))
     # From the last bracket before the target: earlier ones that never close cost nothing and stay as they are.
     link = pattern(r"\[([^\[\]]+)\]\((?!https?://)([^)]+\.md)\)")
 

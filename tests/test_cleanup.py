@@ -34,6 +34,20 @@ def test_links(values, page, clean):
     assert values([page], lambda c: cl.rewrite_links(c, F.lit("Acme.Words"), F.lit("words"))) == [clean]
 
 
+def test_links_of_odd_names(spark):
+    """Signs of regular expressions in names are plain text; a page without a family name is not lost."""
+    names = ["Acme.$1", "A\\b(", None]
+    rows = [(f"Namespace: [{n}]({n}.md) [x](https://y.md)", n, n and n.lower()) for n in names]
+    df = spark.createDataFrame(rows, "content string, name string, family string")
+    links = cl.rewrite_links(F.col("content"), F.col("name"), F.col("family"))
+    got = [r[0] for r in df.select(links).collect()]
+    assert got[:2] == [f"Namespace: [{n}](/{n.lower()}/) [x](https://y.md)" for n in names[:2]]
+    assert got[2].endswith("[x](https://y.md)")
+    # A name is made a regular expression of its own once for a row.
+    plan = df.select(links.alias("text"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("(?U)Namespace") == 1
+
+
 def test_version(values):
     add = lambda once: lambda c: cl.add_version(c, F.lit("A.W"), F.lit("1.2"), once)
     page = "Assembly: A.W.dll\nAssembly: AxW.dll"
