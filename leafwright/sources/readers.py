@@ -15,6 +15,7 @@ from leafwright.operators.checks import CheckDef
 from leafwright.operators.frontier import explode_batches
 from leafwright.sources.json_map import read_json_map
 from leafwright.sources.page_files import file_system
+from leafwright.sources.whole_files import whole_files
 
 REVIEW_STATE_SCHEMA = (
     "repo_url string, pr_number int, product string, decision string, score int,"
@@ -33,26 +34,6 @@ QUERY_ROW_SCHEMA = "keys array<string>, date date"
 SITEMAP_SCHEMA = "subdomain string, sitemap_url string, status int, body string"
 
 
-# Spark gives a task some thirty small files, which take less time than the task itself.
-SMALL_TASKS = 16
-
-
-def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col("content").cast("string").alias("value"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("name"),
-        )
-    )
-    tasks = files.rdd.getNumPartitions() // SMALL_TASKS
-    return files.coalesce(max(tasks, 4 * spark.sparkContext.defaultParallelism))
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
@@ -64,7 +45,7 @@ def read_pages(spark: SparkSession, path: str, family: str | None = None) -> Dat
     The family is the folder of a page unless it is given.
     """
     folder = F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)
-    return _whole_files(spark, path, "*.md").select(
+    return whole_files(spark, path, "*.md", empty=True).select(
         (F.lit(family) if family else folder).alias("family"),
         F.col("file_path").alias("path"),
         "name",
@@ -103,7 +84,7 @@ def read_version_feed(
         # Spark gives the names of files percent-encoded once more.
         named = F.try_url_decode(F.try_url_decode(F.regexp_replace("name", r"^nuget=|\.json$", "")))
     parsed = F.from_json("value", "versions array<string>")
-    return _whole_files(spark, path, glob).select(
+    return whole_files(spark, path, glob).select(
         F.lower(named).alias("nuget"),
         F.coalesce(parsed["versions"], F.array().cast("array<string>")).alias("versions"),
     )
@@ -116,7 +97,7 @@ def read_search_index(spark: SparkSession, path: str, families: Sequence[str]) -
     are left out.
     """
     order = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    files = _whole_files(spark, path, "*.search-data.json").select(
+    files = whole_files(spark, path, "*.search-data.json").select(
         F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("family"),
         F.regexp_extract("name", r"^([^.]+)\.", 1).alias("lang"),
         F.from_json("value", "map<string, map<string, string>>").alias("docs"),

@@ -82,6 +82,41 @@ def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
 
 
+def test_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """No name of a file is on the driver; the files are those that Spark's own reader finds, and the empty ones."""
+    import pyarrow as pa
+
+    from leafwright.sources import whole_files as wf
+
+    odd = ["a b/x%20y.md", "a b/ü\u00a0z[1]{2}^`|#?+.md", "a b/deep/er/p.md", "p.md", "k=_v/_k=w.md", "_hidden/h.md", "a b/.h.md", "a b/q.txt", "a b/c.md._COPYING_"]
+    for i, name in enumerate(odd):
+        put(tmp_path / "t" / name, f"{i}\r\n")
+    put(tmp_path / "t" / "a b" / "none.md", "")
+    for path, glob in (("t", "*.md"), ("t/a*", "*.md"), ("t/{a,k}*", "[c-x]*.{md,txt}"), ("t/p.md", "*.md"), ("t/_hidden", "*")):
+        path = str(tmp_path / path)
+        plain = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+        want = sorted(plain.selectExpr("string(content)", "_metadata.file_path", "_metadata.file_name").collect())
+        files = wf.whole_files(spark, path, glob)
+        assert sorted(files.collect()) == want and want
+        assert not [f for f in files.inputFiles() if "/t/" in f]
+    assert not [f for f in rd.read_pages(spark, str(tmp_path / "t")).inputFiles() if "/t/" in f]
+    assert [r.content for r in rd.read_pages(spark, str(tmp_path / "t")).filter("name = 'none.md'").collect()] == [""]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        rd.read_pages(spark, str(tmp_path / "no"))
+    # A folder without pages, and large folders and files, which go to Spark in several batches.
+    assert rd.read_pages(spark, str(tmp_path / "t" / "k=_v"), "f").filter("name LIKE 'a%'").count() == 0
+    monkeypatch.setattr(wf, "LISTED", 2)
+    monkeypatch.setattr(wf, "READ", 5)
+    root = pa.RecordBatch.from_pydict({"root": [f"file:{tmp_path}/t"], "below": ["a b"]})
+    listed = list(wf._list(iter([root]), ".*", True))
+    assert len(listed) > 1 and sum(b.num_rows for b in listed) == 5
+    files = [b.filter(pa.compute.invert(b["folder"])) for b in listed]
+    assert [b.num_rows for b in wf._read(iter(files))] == [2, 2]
+    # Where Arrow has no file system, Spark reads.
+    monkeypatch.setattr(wf, "_opened", lambda root: (_ for _ in ()).throw(pa.ArrowInvalid(root)))
+    assert {r.name for r in rd.read_pages(spark, str(tmp_path / "t")).collect()} >= {"p.md", "_k=w.md"}
+
+
 def test_attempts_that_do_not_count_are_dropped(tmp_path):
     from leafwright.sources.page_files import PageFilesWriter
     from pyspark.sql import Row
