@@ -9,6 +9,7 @@ that is given up, leaves no file behind.  Files go through the file system that
 from __future__ import annotations
 
 import posixpath
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,11 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def is_staging(name: str) -> bool:
+    """True for the name of a folder of files that are not in their place yet."""
+    return re.fullmatch(r"_staging-[0-9a-f]{32}", name) is not None
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """Where one attempt of a task has its files; None if it had no rows."""

@@ -15,7 +15,7 @@ from leafwright.operators.checks import CheckDef
 from leafwright.operators.frontier import explode_batches
 from leafwright.sources.json_map import read_json_map
 from leafwright.sources.page_files import file_system
-from leafwright.sources.whole_files import whole_files
+from leafwright.sources.whole_files import hidden_from_exports, hidden_from_pages, whole_files
 
 REVIEW_STATE_SCHEMA = (
     "repo_url string, pr_number int, product string, decision string, score int,"
@@ -39,16 +39,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def read_pages(spark: SparkSession, path: str, family: str | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, family: str | None = None, exported: bool = False) -> DataFrame:
     """Markdown pages of a folder tree: ``family, path, name, content``.
 
-    The family is the folder of a page unless it is given.
+    The family is the folder of a page unless it is given.  Files whose names begin with ``_``, as home pages, are pages too.
+    With ``exported`` the tree is one that ``export_pages`` wrote: no name is hidden, and names are not percent-encoded.
     """
+    files = whole_files(spark, path, "*" if exported else "*.md", hidden_from_exports if exported else hidden_from_pages, empty=True)
+    # Decoding takes a plus for a blank.
+    plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))) if exported else c
     folder = F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)
-    return whole_files(spark, path, "*.md", empty=True).select(
-        (F.lit(family) if family else folder).alias("family"),
+    return files.select(
+        (F.lit(family) if family else plain(folder)).alias("family"),
         F.col("file_path").alias("path"),
-        "name",
+        plain(F.col("name")).alias("name"),
         F.col("value").alias("content"),
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import posixpath
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from urllib.parse import quote
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.session import settle
-from leafwright.sources.page_files import file_system
+from leafwright.sources.page_files import file_system, is_staging
 
 # What a task reads at most, single large files aside.
 FILES_PER_TASK = 2000
@@ -30,6 +30,9 @@ READ = 16 << 20
 ENTRY = "root string, below string, folder boolean, length long"
 FILE = "value binary, file_path string, name string"
 
+# True for the name of a file or, with True, of a folder that is passed by.
+Hidden = Callable[[str, bool], bool]
+
 # Signs that Spark writes percent-encoded in the paths of files.
 _ENCODED = re.compile(r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]""")
 
@@ -43,11 +46,21 @@ def _opened(root: str) -> tuple[fs.FileSystem, str]:
     return file_system(root if root.startswith("file:") else _encoded(root))
 
 
-def _hidden(name: str) -> bool:
-    """Names that Spark's readers pass by too."""
+def hidden(name: str, folder: bool) -> bool:
+    """Names that Spark's readers pass by."""
     return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
 
 
+def hidden_from_pages(name: str, folder: bool) -> bool:
+    """The same but for files whose names begin with ``_``, as home pages do."""
+    return hidden(name, folder) and (folder or not name.startswith("_"))
+
+
+def hidden_from_exports(name: str, folder: bool) -> bool:
+    """Folders of files that are not in their place yet."""
+    return folder and is_staging(name)
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, fs.FileSystem, str]]:
     """``root, below`` of each row, with the file system and the path in it."""
     systems: dict[str, tuple[fs.FileSystem, str]] = {}
@@ -59,22 +72,15 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, fs.Fi
             yield root, below, system, posixpath.join(base, below) if below else base
 
 
-def _list(batches: Iterator[pa.RecordBatch], names: str, empty: bool) -> Iterator[pa.RecordBatch]:
-    """What is right below the folders of the rows: folders, and files of these names."""
-    wanted = re.compile(names)
-
-    def kept(f: fs.FileInfo) -> bool:
-        if _hidden(f.base_name):
-            return False
-        return f.type == fs.FileType.Directory or f.type == fs.FileType.File and bool(wanted.fullmatch(f.base_name)) and (empty or f.size > 0)
-
+def _list(batches: Iterator[pa.RecordBatch], kept: Callable[[str, bool, int], bool]) -> Iterator[pa.RecordBatch]:
+    """What is right below the folders of the rows."""
     for root, below, system, path in _places(batches):
-        found = system.get_file_info(fs.FileSelector(path))
+        found = [f for f in system.get_file_info(fs.FileSelector(path)) if f.type in (fs.FileType.Directory, fs.FileType.File)]
         for i in range(0, len(found), LISTED):
             rows = [
                 (root, posixpath.join(below, f.base_name), f.type == fs.FileType.Directory, f.size)
                 for f in found[i : i + LISTED]
-                if kept(f)
+                if kept(f.base_name, f.type == fs.FileType.Directory, f.size)
             ]
             if rows:
                 yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*rows, strict=True))], names=["root", "below", "folder", "length"])
@@ -114,32 +120,36 @@ def _roots(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]] |
     return roots or None
 
 
-def list_files(spark: SparkSession, roots: list[tuple[str, str, bool, int]], glob: str, empty: bool) -> DataFrame:
+def list_files(spark: SparkSession, roots: list[tuple[str, str, bool, int]], glob: str, passed: Hidden, empty: bool) -> DataFrame:
     """The files below the roots: ``root, below, folder, length``; ``below`` is the path from the root on."""
     names = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
-    files = [r for r in roots if not r[2] and not _hidden(r[1]) and re.fullmatch(names, r[1]) and (empty or r[3])]
+
+    def kept(name: str, folder: bool, size: int) -> bool:
+        return not passed(name, folder) and (folder or re.fullmatch(names, name) is not None and (empty or size > 0))
+
+    files = [r for r in roots if not r[2] and kept(r[1], False, r[3])]
     levels = [spark.createDataFrame(files, ENTRY)]
     folders = spark.createDataFrame([r for r in roots if r[2]], ENTRY)
     tasks = 4 * spark.sparkContext.defaultParallelism
     while n := folders.count():
-        level = settle(folders.repartition(min(n, tasks)).mapInArrow(lambda rows: _list(rows, names, empty), ENTRY), "listing")
+        level = settle(folders.repartition(min(n, tasks)).mapInArrow(lambda rows: _list(rows, kept), ENTRY), "listing")
         levels.append(level.filter("NOT folder"))
         folders = level.filter("folder")
     return reduce(DataFrame.unionAll, levels)
 
 
-def whole_files(spark: SparkSession, path: str, glob: str, empty: bool = False) -> DataFrame:
+def whole_files(spark: SparkSession, path: str, glob: str, passed: Hidden = hidden, empty: bool = False) -> DataFrame:
     """Files of a folder tree whose names fit: ``value, file_path, name``, path and name percent-encoded as Spark gives them.
 
-    Hidden files and folders are passed by, and empty files unless ``empty`` is set.  A path that Arrow has no file system for
-    is read by Spark's own reader, which lists on the driver and passes by all empty files.
+    Folders and files that ``passed`` names are passed by, and empty files unless ``empty`` is set.  A path that Arrow has no
+    file system for is read by Spark's own reader, which lists on the driver and passes by all hidden and all empty files.
     """
     roots = _roots(spark, path)
     if roots is None:
         read = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
         rows = read.select(F.col("content").alias("value"), "_metadata.file_path", F.col("_metadata.file_name").alias("name"))
     else:
-        files = list_files(spark, roots, glob, empty)
+        files = list_files(spark, roots, glob, passed, empty)
         n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         tasks = max(n // FILES_PER_TASK, size // BYTES_PER_TASK, min(n, 4 * spark.sparkContext.defaultParallelism), 1)
         rows = files.repartition(tasks).mapInArrow(_read, FILE)

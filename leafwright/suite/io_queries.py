@@ -163,12 +163,12 @@ def sink_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_export_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean pages exported as Markdown files, a folder per family, and read back from them; pages of one name count once."""
+    """Clean pages, home pages too, exported as Markdown files, a folder per family, and read back from them; pages of one name
+    count once, the last of them."""
     path = work_path(spark, "export")
     raw = fixture(spark, sf_dir, "raw_page").select("p_partkey", "family_name", "version", "name", "content")
-    clean = cl.clean_pages(raw).filter("name <> '_index.md'")
-    sk.export_pages(clean.select("family", "name", "content"), path)
-    return rd.read_pages(spark, path).select("family", "name", "content")
+    sk.export_pages(cl.clean_pages(raw), path, order=["p_partkey"])
+    return rd.read_pages(spark, path, exported=True).select("family", "name", "content")
 
 
 def source_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +328,8 @@ QUERIES = {
     ),
     "sink_export_pages": (
         sink_export_pages,
-        f"SELECT family, name, content FROM ({cleanup_queries.QUERIES['page_clean'][1]}) c WHERE name <> '_index.md'",
+        f"""SELECT family, name, content FROM ({cleanup_queries.QUERIES['page_clean'][1]}) c
+        QUALIFY row_number() OVER (PARTITION BY family, name ORDER BY content IS NULL, p_partkey DESC NULLS LAST, content DESC) = 1""",
     ),
     "source_search_index": (source_search_index, site_queries.QUERIES["search_merge"][1]),
     "source_artifacts": (

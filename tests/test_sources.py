@@ -13,6 +13,7 @@ from leafwright.operators.search_index import merge_search
 from leafwright.sources import readers as rd
 from leafwright.sources import sinks as sk
 from leafwright.sources.json_map import read_json_map
+from leafwright.suite import io_queries
 
 
 def put(path, text):
@@ -56,6 +57,36 @@ def test_exported_pages_are_whole_or_not_there(spark, tmp_path):
         sk.export_pages(spark.createDataFrame([("..", "a.md", "x")], "family string, name string, content string"), str(out))
 
 
+def test_home_pages_are_exported_and_read_back(spark, tmp_path):
+    """Every page comes back, the home pages too; of pages of one name the last is there."""
+    rows = [("a", "_index.md", "first", 1), ("a", "_index.md", "last", 3), ("a", "_index.md", "Ü", 2), ("b", "_index.md", "b", None)]
+    rows += [("b", "_index.md", "a", None), ("b", "__x.md", "", 1), ("b", "p.md", None, 9), ("b", "p.md", "p", 1), ("b", "q.md", None, 1)]
+    rows += [(".net", "_.md", "", 1), ("_b+ %2", ".x ü.md", "x", 1)]
+    df = spark.createDataFrame(rows, "family string, name string, content string, n int").repartition(5)
+    plain = {("a", "_index.md", "last"), ("b", "_index.md", "b"), ("b", "__x.md", ""), ("b", "p.md", "p")}
+    out = tmp_path / "out"
+    assert sk.export_pages(df, str(out), order=["n"]) == 6
+    put(out / f"_staging-{'0' * 32}" / "a" / "z.md", "not yet")
+    read = lambda **k: [(r.family, r.name, r.content) for r in rd.read_pages(spark, str(out), **k).collect()]
+    assert sorted(read()) == sorted(plain)
+    assert sorted(read(exported=True)) == sorted(plain | {(".net", "_.md", ""), ("_b+ %2", ".x ü.md", "x")})
+    # Without an order the greatest content is there.
+    assert sk.export_pages(df, str(out)) == 6
+    assert {r.content for r in rd.read_pages(spark, str(out / "a")).collect()} == {"Ü"}
+
+
+def test_the_export_query_leaves_no_page_out(spark, tmp_path):
+    part = spark.range(30).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "concat('Brand#', id % 2) AS p_brand", "'t' AS p_type", "1 AS p_size", "1.0D AS p_retailprice"
+    )
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    got = [(r.family, r.name, r.content) for r in io_queries.sink_export_pages(spark, str(tmp_path)).collect()]
+    names = sorted((f, n) for f, n, _ in got)
+    assert names == sorted([("brand0", "_index.md"), ("brand1", "_index.md")] + [(f"brand{i % 2}", f"P{i}.md") for i in range(30) if i % 7])
+    home = {f: c for f, n, c in got if n == "_index.md"}
+    assert "N28" in home["brand0"] and "N21" in home["brand1"]
+
+
 def test_version_feeds_are_files_of_one_folder(spark, tmp_path):
     """A file per package and no folder for each; any name comes back."""
     rows = [(n, ["1", n]) for n in ("_a", "b/c", "d e+f", "g#1%23", "ü")] + [(None, []), ("twice", ["1"]), ("twice", ["1"])]
@@ -108,7 +139,7 @@ def test_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(wf, "LISTED", 2)
     monkeypatch.setattr(wf, "READ", 5)
     root = pa.RecordBatch.from_pydict({"root": [f"file:{tmp_path}/t"], "below": ["a b"]})
-    listed = list(wf._list(iter([root]), ".*", True))
+    listed = list(wf._list(iter([root]), lambda name, folder, size: not wf.hidden(name, folder)))
     assert len(listed) > 1 and sum(b.num_rows for b in listed) == 5
     files = [b.filter(pa.compute.invert(b["folder"])) for b in listed]
     assert [b.num_rows for b in wf._read(iter(files))] == [2, 2]
