@@ -29,6 +29,8 @@ READ = 16 << 20
 
 ENTRY = "root string, below string, folder boolean, length long"
 FILE = "value binary, file_path string, name string"
+ENTRY_ROWS = pa.schema([("root", pa.string()), ("below", pa.string()), ("folder", pa.bool_()), ("length", pa.int64())])
+FILE_ROWS = pa.schema([("value", pa.binary()), ("file_path", pa.string()), ("name", pa.string())])
 
 # True for the name of a file or, with True, of a folder that is passed by.
 Hidden = Callable[[str, bool], bool]
@@ -72,37 +74,37 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, fs.Fi
             yield root, below, system, posixpath.join(base, below) if below else base
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
 def _list(batches: Iterator[pa.RecordBatch], kept: Callable[[str, bool, int], bool]) -> Iterator[pa.RecordBatch]:
     """What is right below the folders of the rows."""
     for root, below, system, path in _places(batches):
         found = [f for f in system.get_file_info(fs.FileSelector(path)) if f.type in (fs.FileType.Directory, fs.FileType.File)]
         for i in range(0, len(found), LISTED):
             rows = [
-                (root, posixpath.join(below, f.base_name), f.type == fs.FileType.Directory, f.size)
+                (root, posixpath.join(below, f.base_name), f.type == fs.FileType.Directory, f.size or 0)
                 for f in found[i : i + LISTED]
-                if kept(f.base_name, f.type == fs.FileType.Directory, f.size)
+                if kept(f.base_name, f.type == fs.FileType.Directory, f.size or 0)
             ]
             if rows:
-                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*rows, strict=True))], names=["root", "below", "folder", "length"])
+                yield _batch(rows, ENTRY_ROWS)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple[bytes, str, str]] = []
     size = 0
-
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*map(pa.array, zip(*rows, strict=True))], names=["value", "file_path", "name"])
-
     for root, below, system, path in _places(batches):
         with system.open_input_stream(path, compression=None) as f:
             value = f.read()
         rows.append((value, _encoded(f"{root.rstrip('/')}/{below}"), _encoded(posixpath.basename(below))))
         size += len(value)
         if size >= READ or len(rows) >= LISTED:
-            yield batch()
+            yield _batch(rows, FILE_ROWS)
             rows, size = [], 0
     if rows:
-        yield batch()
+        yield _batch(rows, FILE_ROWS)
 
 
 def _roots(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]] | None:
